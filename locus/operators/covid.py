@@ -9,9 +9,10 @@ from locus.functions.columns import level_key, norm_key, null_of
 from locus.operators.dedup import dedup_latest
 from locus.operators.deltas import daily_deltas, refresh_deltas
 from locus.operators.dml import upsert
-from locus.operators.joins import bounded_broadcast
+from locus.operators.joins import DIMENSION_BROADCAST_ROWS, bounded_broadcast
 from locus.operators.routing import ROUTE_KEYS, lookup_route_keys
 from locus.schemas import COVID_FACT, FACT_KEY
+from locus.session import materialize
 
 SCOPES = ("us", "non_us")
 
@@ -62,7 +63,7 @@ def conform_covid(covid: DataFrame, lookup: DataFrame, scope: str) -> DataFrame:
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
     routed = route_covid(covid).filter((F.col("_scope") == scope) & F.col("_level").isNotNull())
-    keys = bounded_broadcast(lookup_route_keys(lookup, "country_region"))
+    keys = bounded_broadcast(lookup_route_keys(lookup, "country_region"), DIMENSION_BROADCAST_ROWS // 2, lookup)
     rows = routed.join(keys, ROUTE_KEYS).select(
         "location_identifier",
         "file_date",
@@ -92,14 +93,19 @@ def load_covid_fact(
     lookup: DataFrame,
     scope: str,
     deltas: str = "full",
+    stage_batch: bool = True,
 ) -> DataFrame:
     """conform -> dedup -> keyed upsert -> daily deltas.
 
     ``deltas='full'`` recomputes every location (original behaviour);
     ``'touched'`` only the locations present in the batch (same result when
     ``final`` already carries correct deltas).
+    The batch feeds both the key set of the upsert and the inserted rows, so
+    it is written once to the shared folder (``stage_batch``).
     """
     batch = conform_covid(covid, lookup, scope)
+    if stage_batch:
+        batch = materialize(batch, f"covid_batch_{scope}")
     merged = upsert(final.select(*COVID_FACT.fieldNames()), batch, FACT_KEY)
     if deltas == "full":
         return daily_deltas(merged)

@@ -33,7 +33,8 @@ def upsert(
     """
     keys = list(keys)
     batch_keys = incoming.select(*keys).distinct()
-    kept = final.join(bounded_broadcast(batch_keys, broadcast_rows), keys, "left_anti")
+    # the batch's row count bounds its key count
+    kept = final.join(bounded_broadcast(batch_keys, broadcast_rows, probe=incoming), keys, "left_anti")
     new_rows = incoming.select(*final.columns)
     if distinct_incoming:
         new_rows = new_rows.distinct()

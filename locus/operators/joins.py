@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,16 +11,31 @@ from pyspark.sql import functions as F
 # projection is ~60 bytes a row, so this bound keeps a broadcast < ~120 MB.
 DIMENSION_BROADCAST_ROWS = 2_000_000
 
+# Verdicts per DataFrame object. DataFrames are immutable plans; the engine
+# only checks materialised, never-overwritten tables or fresh plans, so a
+# verdict stays true for the object's lifetime.
+_VERDICTS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has <= max_rows rows. Reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    seen = _VERDICTS.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(
+    df: DataFrame,
+    max_rows: int = DIMENSION_BROADCAST_ROWS,
+    probe: DataFrame | None = None,
+) -> DataFrame:
     """Hint a broadcast only when the side is checked to be small.
 
-    Beyond the bound the side is returned as is, and the join falls back to a
-    shuffle join (sort-merge, with AQE skew-join splitting hot keys).
+    ``probe`` is a DataFrame whose row count bounds ``df``'s (e.g. the
+    dimension a key projection is derived from), so a check done once per
+    dimension serves every join on it. Beyond the bound the side is returned
+    as is and the join falls back to a shuffle join (sort-merge, with AQE
+    skew-join splitting hot keys).
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    return F.broadcast(df) if row_count_at_most(probe if probe is not None else df, max_rows) else df

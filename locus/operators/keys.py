@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locus.session import materialize
+
 _POS_BITS = 33  # monotonically_increasing_id = partition_index << 33 | position
 
 
@@ -21,20 +23,20 @@ def global_row_number(
     1. range-partition on the order and sort inside each partition (sampled
        bounds, so every task gets a similar share even for skewed values);
     2. tag rows with ``monotonically_increasing_id`` (partition, position);
-    3. checkpoint to the shared folder, so both uses below see the same rows
-       even if an executor is lost and the input is re-read;
+    3. write to the shared folder, so both uses below see the same rows even
+       if an executor is lost and the input is re-read;
     4. per-partition counts (one row per partition) -> running offsets ->
        broadcast back: number = offset + position + 1.
     ``order`` must be total for the numbering to be reproducible.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = materialize(
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()),
+        "row_number",
+    )
     tagged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
+        tagged.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
     )
     # One row per partition: its size is bounded by the partition count.

@@ -86,7 +86,8 @@ def missing_locations(
             norm_key("country_region").alias("_r"),
             norm_key("province_or_state").alias("_p"),
             norm_key("county_or_city").alias("_s"),
-        )
+        ),
+        probe=lookup,
     )
     p = places.select("*", norm_key("country_region").alias("_pr"), norm_key("sub_region_1").alias("_p1"),
                       norm_key("sub_region_2").alias("_p2"))

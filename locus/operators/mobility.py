@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from locus.functions.columns import level_key, norm_key, to_int_rounded
 from locus.operators.dedup import dedup_latest
 from locus.operators.dml import upsert
-from locus.operators.joins import bounded_broadcast
+from locus.operators.joins import DIMENSION_BROADCAST_ROWS, bounded_broadcast
 from locus.operators.routing import ROUTE_KEYS, granularity, lookup_route_keys
 from locus.schemas import FACT_KEY, MOBILITY_FACT, MOBILITY_MEASURES
+from locus.session import materialize
 
 SCOPES = ("us", "non_us")
 
@@ -61,7 +62,9 @@ def conform_mobility(mobility: DataFrame, lookup: DataFrame, scope: str, distinc
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
     routed = route_mobility(mobility).filter((F.col("_scope") == scope) & F.col("_level").isNotNull())
-    keys = bounded_broadcast(lookup_route_keys(lookup, "iso2_code", with_fips=(scope == "us")))
+    keys = bounded_broadcast(
+        lookup_route_keys(lookup, "iso2_code", with_fips=(scope == "us")), DIMENSION_BROADCAST_ROWS // 2, lookup
+    )
     out = routed.join(keys, ROUTE_KEYS).select(
         "location_identifier",
         F.col("date").alias("last_update_dt"),
@@ -84,9 +87,18 @@ def mobility_batch(mobility: DataFrame, lookup: DataFrame, scope: str) -> DataFr
     return latest.withColumnRenamed("last_update_dt", "file_date").select(*MOBILITY_FACT.fieldNames())
 
 
-def load_mobility_fact(final: DataFrame, mobility: DataFrame, lookup: DataFrame, scope: str) -> DataFrame:
-    """conform -> dedup -> keyed upsert into the fact (location, file_date)."""
-    return upsert(final.select(*MOBILITY_FACT.fieldNames()), mobility_batch(mobility, lookup, scope), FACT_KEY)
+def load_mobility_fact(
+    final: DataFrame, mobility: DataFrame, lookup: DataFrame, scope: str, stage_batch: bool = True
+) -> DataFrame:
+    """conform -> dedup -> keyed upsert into the fact (location, file_date).
+
+    The batch feeds both the upsert's key set and the inserted rows, so it is
+    written once to the shared folder (``stage_batch``).
+    """
+    batch = mobility_batch(mobility, lookup, scope)
+    if stage_batch:
+        batch = materialize(batch, f"mobility_batch_{scope}")
+    return upsert(final.select(*MOBILITY_FACT.fieldNames()), batch, FACT_KEY)
 
 
 def unmatched_mobility_places(mobility: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -94,7 +106,9 @@ def unmatched_mobility_places(mobility: DataFrame, lookup: DataFrame) -> DataFra
     from the facts silently); one row per place with its row count."""
     routed = route_mobility(mobility).filter(F.col("_level").isNotNull())
     keys = bounded_broadcast(
-        lookup_route_keys(lookup, "iso2_code", with_fips=True).select(*ROUTE_KEYS).distinct()
+        lookup_route_keys(lookup, "iso2_code", with_fips=True).select(*ROUTE_KEYS).distinct(),
+        DIMENSION_BROADCAST_ROWS // 2,
+        lookup,
     )
     missing = routed.join(keys, ROUTE_KEYS, "left_anti")
     return missing.groupBy(

@@ -21,6 +21,7 @@ from locus.operators.locations import upsert_location_dim, with_missing_location
 from locus.operators.mobility import load_mobility_fact
 from locus.plans.adapters import Adapters
 from locus.schemas import COVID_FACT, LOCATION_LOOKUP, MOBILITY_FACT
+from locus.session import materialize
 
 # The fact built from reports before SPLIT_OLD is the existing table; the
 # batch holds every report from SPLIT_NEW on (half a year of overlap).
@@ -44,8 +45,9 @@ class Scenario:
 
     @cached_property
     def lookup(self) -> DataFrame:
-        """Dimension after the dimension upsert and the missing-place insert."""
-        return with_missing_locations(self.lookup_dim, self.src.google_mobility_data_staging)
+        """Dimension after the dimension upsert and the missing-place insert,
+        materialised once: every load and report joins it."""
+        return materialize(with_missing_locations(self.lookup_dim, self.src.google_mobility_data_staging), "lookup")
 
     @cached_property
     def covid_fixed(self) -> DataFrame:

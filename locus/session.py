@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -70,3 +71,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as parquet below the shared folder, read it
+    back. Computes the plan once (a reliable checkpoint computes it twice),
+    survives executor loss, and gives the planner exact size statistics."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
