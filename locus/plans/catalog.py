@@ -206,3 +206,197 @@ ORDER BY ttl_confirmed_cases DESC NULLS FIRST, county ASC NULLS LAST, state ASC
 LIMIT 10"""))
 def _top_us_counties(s: Scenario) -> DataFrame:
     return A.top_us_counties(s.covid_fact("us"), s.lookup)
+
+
+# -- unmatched places ----------------------------------------------------------
+
+def _unmatched_branch(scope: str, gran: str, where: str, exists: str) -> str:
+    return f"""
+  SELECT '{scope}' AS scope, '{gran}' AS location_granularity, mbl.country_region_code, mbl.sub_region_1,
+         mbl.sub_region_2
+  FROM google_mobility_data_staging mbl
+  WHERE {where} AND NOT EXISTS (SELECT 1 FROM lookup_dim lkup WHERE {exists})"""
+
+
+_P = "mbl.metro_area IS NULL AND mbl.census_fips_code IS NULL"
+_CODE = "lower(lkup.iso2_code) = lower(mbl.country_region_code)"
+_S1 = "lower(mbl.sub_region_1) = lower(lkup.province_or_state)"
+_UNMATCHED = " UNION ALL".join([
+    _unmatched_branch("non_us", "county",
+                      f"mbl.sub_region_1 IS NOT NULL AND mbl.sub_region_2 IS NOT NULL AND {_P} "
+                      "AND mbl.iso_3166_2_code IS NULL AND mbl.country_region_code <> 'US'",
+                      f"{_CODE} AND {_S1} AND lower(mbl.sub_region_2) = lower(lkup.county_or_city) "
+                      "AND lkup.province_or_state IS NOT NULL AND lkup.county_or_city IS NOT NULL"),
+    _unmatched_branch("non_us", "state",
+                      f"mbl.sub_region_1 IS NOT NULL AND mbl.sub_region_2 IS NULL AND {_P} "
+                      "AND mbl.country_region_code <> 'US'",
+                      f"{_CODE} AND {_S1} AND lkup.province_or_state IS NOT NULL AND lkup.county_or_city IS NULL"),
+    _unmatched_branch("non_us", "country",
+                      f"mbl.sub_region_1 IS NULL AND mbl.sub_region_2 IS NULL AND {_P} "
+                      "AND mbl.iso_3166_2_code IS NULL AND mbl.country_region_code <> 'US'",
+                      f"{_CODE} AND lkup.province_or_state IS NULL AND lkup.county_or_city IS NULL"),
+    _unmatched_branch("us", "county", "mbl.country_region_code = 'US' AND mbl.census_fips_code IS NOT NULL",
+                      "lkup.fips_code = CAST(mbl.census_fips_code AS INTEGER)"),
+    _unmatched_branch("us", "state",
+                      f"mbl.country_region_code = 'US' AND mbl.sub_region_1 IS NOT NULL "
+                      f"AND mbl.sub_region_2 IS NULL AND {_P}",
+                      f"{_CODE} AND {_S1} AND lkup.province_or_state IS NOT NULL AND lkup.county_or_city IS NULL"),
+    _unmatched_branch("us", "country",
+                      f"mbl.country_region_code = 'US' AND mbl.sub_region_1 IS NULL "
+                      f"AND mbl.sub_region_2 IS NULL AND {_P}",
+                      f"{_CODE} AND lkup.province_or_state IS NULL AND lkup.county_or_city IS NULL"),
+])
+
+
+@register("unmatched_locations", _sql(
+    body=f"""SELECT scope, location_granularity, country_region_code, sub_region_1, sub_region_2,
+       CAST(count(*) AS BIGINT) AS row_count
+FROM ({_UNMATCHED}) u
+GROUP BY scope, location_granularity, country_region_code, sub_region_1, sub_region_2"""))
+def _unmatched(s: Scenario) -> DataFrame:
+    """Places the loaded dimension does not know yet (before the insert of
+    missing places): these rows would vanish from the mobility facts."""
+    return unmatched_mobility_places(s.src.google_mobility_data_staging, s.lookup_dim)
+
+
+# -- quality and table statistics ----------------------------------------------
+
+FACT_CTES = tuple(O.covid_fact_ctes(x) for x in ("us", "non_us")) + tuple(
+    O.mobility_fact_ctes(x) for x in ("us", "non_us"))
+FINAL_SQL = {
+    "location_lookup": "location_lookup",
+    "covid_data_us": "covid_us",
+    "covid_data_non_us": "covid_non_us",
+    "google_mobility_data_us": "mobility_us",
+    "google_mobility_data_non_us": "mobility_non_us",
+}
+
+
+def _dq_sql() -> str:
+    parts = []
+    for table, cte in sorted(FINAL_SQL.items()):
+        keys = TABLE_KEYS[table]
+        any_null = " OR ".join(f"{k} IS NULL" for k in keys)
+        tup = keys[0] if len(keys) == 1 else "(" + ", ".join(keys) + ")"
+        distinct = f"count(DISTINCT CASE WHEN NOT ({any_null}) THEN {tup} END)"
+        parts.append(f"""
+  SELECT '{table}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows,
+         CAST(count(*) FILTER (WHERE {any_null}) AS BIGINT) AS null_keys,
+         CAST(count(*) FILTER (WHERE NOT ({any_null})) - {distinct} AS BIGINT) AS duplicate_keys
+  FROM {cte}""")
+    return " UNION ALL".join(parts)
+
+
+@register("dq_report", _sql(*FACT_CTES, f"m AS ({_dq_sql()})", body="""
+SELECT table_name, 'has_rows' AS check_name, n_rows AS value, n_rows >= 1 AS passed FROM m
+UNION ALL SELECT table_name, 'check_nulls', null_keys, null_keys = 0 FROM m
+UNION ALL SELECT table_name, 'check_duplicates', duplicate_keys, duplicate_keys = 0 FROM m"""))
+def _dq_report(s: Scenario) -> DataFrame:
+    return quality_report(s.final_tables(), TABLE_KEYS)
+
+
+@register("table_counts", _sql(*FACT_CTES, body=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS count_of_records FROM {c}"
+    for t, c in sorted(FINAL_SQL.items()))))
+def _table_counts(s: Scenario) -> DataFrame:
+    return A.table_counts(s.final_tables())
+
+
+@register("distinct_keys", _sql(*FACT_CTES, body=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(DISTINCT "
+    + ("location_identifier" if t == "location_lookup" else "(location_identifier, file_date)")
+    + f") AS BIGINT) AS count_of_distinct_primary_key FROM {c}"
+    for t, c in sorted(FINAL_SQL.items()))))
+def _distinct_keys(s: Scenario) -> DataFrame:
+    return A.distinct_keys(s.final_tables(), TABLE_KEYS)
+
+
+@register("latest_dates", _sql(*FACT_CTES, body=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, max(file_date) AS max_file_date FROM {c}"
+    for t, c in sorted(FINAL_SQL.items()) if t != "location_lookup")))
+def _latest_dates(s: Scenario) -> DataFrame:
+    return A.latest_dates(s.final_tables())
+
+
+# -- incident rate and mobility ------------------------------------------------
+
+def _rate_sql(fact: str, gran: str, name_col: str, alias: str) -> str:
+    return f"""
+  SELECT ll.{name_col} AS {alias}, t.location_identifier, t.file_date AS latest_file_date, t.ttl_confirmed_cases,
+         ll.location_population AS population,
+         round(CAST(t.ttl_confirmed_cases AS DOUBLE) / NULLIF(ll.location_population, 0) * 100, 6)
+           AS incident_rate_pct
+  FROM (SELECT location_identifier, file_date, ttl_confirmed_cases,
+               row_number() OVER (PARTITION BY location_identifier ORDER BY file_date DESC NULLS FIRST,
+                                  ttl_confirmed_cases DESC NULLS FIRST) AS rn
+        FROM {fact} WHERE location_granularity = '{gran}') t
+  LEFT JOIN location_lookup ll ON ll.location_identifier = t.location_identifier
+  WHERE t.rn = 1"""
+
+
+def _avg_sql(fact: str, gran: str, name_col: str, alias: str) -> str:
+    avgs = ", ".join(f"round(avg({m}), 6) AS avg_{m}" for m in MOBILITY_MEASURES)
+    return f"""
+  SELECT a.*, ll.{name_col} AS {alias}
+  FROM (SELECT location_identifier, {avgs}, CAST(count(*) AS BIGINT) AS days
+        FROM {fact} WHERE location_granularity = '{gran}' GROUP BY location_identifier) a
+  LEFT JOIN location_lookup ll ON ll.location_identifier = a.location_identifier"""
+
+
+RATE_STATE = _rate_sql("covid_us", "state", "province_or_state", "state")
+
+
+@register("incident_rate_by_state", _sql(O.covid_fact_ctes("us"), body=RATE_STATE))
+def _rate_by_state(s: Scenario) -> DataFrame:
+    return A.incident_rate_by_state(s.covid_fact("us"), s.lookup)
+
+
+@register("incident_rate_extremes", _sql(O.covid_fact_ctes("us"), f"r AS ({RATE_STATE})", body="""
+SELECT side, CAST(rank AS INTEGER) AS rank, state, location_identifier, incident_rate_pct FROM (
+  SELECT 'top' AS side, row_number() OVER (ORDER BY incident_rate_pct DESC, state ASC NULLS LAST,
+         location_identifier ASC) AS rank, state, location_identifier, incident_rate_pct
+  FROM r WHERE incident_rate_pct IS NOT NULL
+  UNION ALL
+  SELECT 'bottom', row_number() OVER (ORDER BY incident_rate_pct ASC, state ASC NULLS LAST,
+         location_identifier ASC), state, location_identifier, incident_rate_pct
+  FROM r WHERE incident_rate_pct IS NOT NULL) x
+WHERE rank <= 5"""))
+def _rate_extremes(s: Scenario) -> DataFrame:
+    return A.incident_rate_extremes(A.incident_rate_by_state(s.covid_fact("us"), s.lookup))
+
+
+@register("avg_mobility_by_state", _sql(
+    O.mobility_fact_ctes("us"), body=_avg_sql("mobility_us", "state", "province_or_state", "state")))
+def _avg_mobility(s: Scenario) -> DataFrame:
+    return A.avg_mobility_by_state(s.mobility_fact("us"), s.lookup)
+
+
+@register("parks_vs_incident", _sql(
+    O.covid_fact_ctes("us"), O.mobility_fact_ctes("us"),
+    f"r AS ({RATE_STATE})", f"a AS ({_avg_sql('mobility_us', 'state', 'province_or_state', 'state')})",
+    body="""SELECT r.location_identifier, r.state, r.incident_rate_pct, a.avg_parks_percent_change_from_baseline
+FROM r JOIN a ON r.location_identifier = a.location_identifier"""))
+def _parks_vs_incident(s: Scenario) -> DataFrame:
+    return A.parks_vs_incident(s.covid_fact("us"), s.mobility_fact("us"), s.lookup)
+
+
+@register("country_profile", _sql(
+    O.covid_fact_ctes("non_us"), O.mobility_fact_ctes("non_us"),
+    f"r AS ({_rate_sql('covid_non_us', 'country', 'country_region', 'country')})",
+    f"a AS ({_avg_sql('mobility_non_us', 'country', 'country_region', 'country')})",
+    body=f"""SELECT r.*, {', '.join('a.avg_' + m for m in MOBILITY_MEASURES)}, a.days
+FROM r LEFT JOIN a ON r.location_identifier = a.location_identifier"""))
+def _country_profile(s: Scenario) -> DataFrame:
+    return A.country_profile(s.covid_fact("non_us"), s.mobility_fact("non_us"), s.lookup)
+
+
+@register("covid_mobility_trend", _sql(*FACT_CTES, body=f"""
+SELECT c.location_identifier, c.file_date, c.location_granularity, c.ttl_confirmed_cases, c.new_confirmed_cases,
+       {', '.join('m.' + x for x in MOBILITY_MEASURES)}
+FROM (SELECT * FROM covid_us UNION ALL SELECT * FROM covid_non_us) c
+JOIN (SELECT * FROM mobility_us UNION ALL SELECT * FROM mobility_non_us) m
+  ON c.location_identifier = m.location_identifier AND c.file_date = m.file_date"""))
+def _trend(s: Scenario) -> DataFrame:
+    covid = s.covid_fact("us").unionByName(s.covid_fact("non_us"))
+    mob = s.mobility_fact("us").unionByName(s.mobility_fact("non_us"))
+    return A.covid_mobility_trend(covid, mob)
