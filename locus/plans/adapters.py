@@ -22,6 +22,19 @@ from locus.schemas import COVID_STAGING, LOOKUP_STAGING, MOBILITY_STAGING
 PROVINCE_RENAMES = {"NATION_1": "Tennessee", "NATION_6": "Alaska"}
 US_REGION = "AMERICA"
 
+# Declared schemas of the driver's tables: no inference job per read.
+TEST_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 @dataclass
 class Adapters:
@@ -29,7 +42,10 @@ class Adapters:
     sf_dir: str
 
     def table(self, name: str, *cols: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        reader = self.spark.read
+        if name in TEST_TABLES:
+            reader = reader.schema(TEST_TABLES[name])
+        df = reader.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
         return df.select(*cols) if cols else df
 
     @staticmethod

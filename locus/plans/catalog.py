@@ -27,7 +27,7 @@ _SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Callable[[Scenario], DataFrame]) -> Callable[[Scenario], DataFrame]:
-        _QUERIES[name] = lambda spark, sf_dir: fn(Scenario(spark, sf_dir))
+        _QUERIES[name] = lambda spark, sf_dir: fn(Scenario.shared(spark, sf_dir))
         if sql is not None:
             _SQL[name] = sql
         return fn
@@ -400,3 +400,108 @@ def _trend(s: Scenario) -> DataFrame:
     covid = s.covid_fact("us").unionByName(s.covid_fact("non_us"))
     mob = s.mobility_fact("us").unionByName(s.mobility_fact("non_us"))
     return A.covid_mobility_trend(covid, mob)
+
+
+# -- sources and sinks ---------------------------------------------------------
+
+# Raw report timestamps in three historic layouts, chosen by order status.
+_RAW_TS_SPARK = {"F": "M/d/yyyy H:mm", "O": "yyyy-MM-dd'T'HH:mm:ss"}
+_RAW_TS_SQL = {"F": "%-m/%-d/%Y %-H:%M", "O": "%Y-%m-%dT%H:%M:%S"}
+
+
+def _raw_reports(s: Scenario) -> DataFrame:
+    """Case reports as a source publishes them: older header spellings and
+    mixed timestamp layouts (the adapter rows, un-typed)."""
+    o = s.src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                    "o_orderpriority")
+    st = s.src.covid_data_staging
+    # the staging view already carries every value; re-derive the raw text
+    ts = F.col("last_update_dts")
+    raw_ts = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    status = F.col("_status")
+    for k, fmt in _RAW_TS_SPARK.items():
+        raw_ts = F.when(status == k, F.date_format(ts, fmt)).otherwise(raw_ts)
+    withstatus = st.join(o.select(F.col("o_orderkey").alias("deaths"), F.col("o_orderstatus").alias("_status")),
+                         "deaths")
+    return withstatus.select(
+        F.col("fips").alias("FIPS"), F.col("admin2").alias("Admin2"),
+        F.col("province_state").alias("Province/State"), F.col("country_region").alias("Country/Region"),
+        raw_ts.alias("Last Update"), F.col("latitude").alias("Lat"), F.col("longitude").alias("Long_"),
+        F.col("confirmed").alias("Confirmed"), F.col("deaths").alias("Deaths"),
+        F.col("recovered").alias("Recovered"), F.col("active").alias("Active"),
+        F.col("combined_key").alias("Combined_Key"), F.col("incident_rate").alias("Incident_Rate"),
+        F.col("case_fatality_ratio").alias("Case_Fatality_Ratio"), "file_date",
+    )
+
+
+def _normalized(s: Scenario) -> DataFrame:
+    from locus.sources.readers import normalize_case_report
+
+    raw = _raw_reports(s).withColumnRenamed("file_date", "_fd")
+    return normalize_case_report(raw, F.col("_fd")).drop("_fd")
+
+
+_NORMALIZED_SQL = """SELECT fips AS "FIPS", admin2 AS "Admin2", province_state AS "Province_State",
+       country_region AS "Country_Region", strftime(last_update_dts, '%Y-%m-%d %H:%M:%S') AS "Last_Update",
+       latitude AS "Lat", longitude AS "Long_", confirmed AS "Confirmed", deaths AS "Deaths",
+       recovered AS "Recovered", active AS "Active", combined_key AS "Combined_Key",
+       incident_rate AS "Incident_Rate", case_fatality_ratio AS "Case_Fatality_Ratio",
+       strftime(file_date, '%m-%d-%Y') AS file_date
+FROM covid_data_staging"""
+
+
+@register("unify_headers", _sql(body=_NORMALIZED_SQL))
+def _unify_headers(s: Scenario) -> DataFrame:
+    """Raw reports with older headers and timestamp layouts -> the landed
+    layout (header aliases unified, one timestamp format, file date text)."""
+    return _normalized(s)
+
+
+@register("json_report_roundtrip", _sql(body="SELECT * FROM covid_data_staging"))
+def _json_roundtrip(s: Scenario) -> DataFrame:
+    """Normalise -> land JSON lines -> read back into typed staging rows;
+    equals the staging view."""
+    from locus.session import scratch_path
+    from locus.sources.readers import read_case_reports
+    from locus.sources.writers import land_json
+
+    path = land_json(_normalized(s), scratch_path(s.spark, "covid_json"))
+    return read_case_reports(s.spark, path)
+
+
+@register("psv_roundtrip", _sql(body="SELECT * FROM location_lookup_staging"))
+def _psv_roundtrip(s: Scenario) -> DataFrame:
+    """Lookup landed as gzip pipe-delimited text under its source header
+    (names hold commas) -> header-checked positional read into the staging
+    schema; equals the staging view."""
+    from locus.plans.jobs import LOOKUP_SOURCE_HEADER, _header_schema
+    from locus.schemas import LOOKUP_STAGING
+    from locus.session import scratch_path
+    from locus.sources.readers import read_psv
+    from locus.sources.writers import land_psv
+
+    src = s.src.location_lookup_staging
+    landed = src.toDF(*LOOKUP_SOURCE_HEADER)
+    path = land_psv(landed, scratch_path(s.spark, "lookup_psv"))
+    return read_psv(s.spark, path, LOOKUP_STAGING, _header_schema(LOOKUP_SOURCE_HEADER))
+
+
+@register("stream_ingest", _sql(body=O.deltas_sql(f"({O.covid_batch_sql('covid_fixed', 'us')}) b")))
+def _stream_ingest(s: Scenario) -> DataFrame:
+    """Landed daily reports arrive in two drops; each availableNow run of the
+    stream loads only the new files (foreachBatch: recode -> dedup -> upsert
+    -> deltas -> publish). The result equals a one-shot load."""
+    from locus.session import scratch_path
+    from locus.sources.tables import TableStore
+    from locus.sources.writers import land_json
+    from locus.streaming.ingest import ingest_new_reports
+
+    landing = scratch_path(s.spark, "landing")
+    store = TableStore(s.spark, scratch_path(s.spark, "store"))
+    ckpt = scratch_path(s.spark, "stream_ckpt")
+    reports = _normalized(s)
+    cut = F.to_date(F.col("file_date"), "MM-dd-yyyy") < F.lit(SPLIT_OLD)
+    for part, cond in (("a", cut), ("b", ~cut)):
+        land_json(reports.filter(cond), f"{landing}/{part}")
+        ingest_new_reports(s.spark, f"{landing}/*", store, ckpt, lookup=s.lookup, scopes=("us",))
+    return store.read("covid_data_us")

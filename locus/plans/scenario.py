@@ -29,12 +29,25 @@ SPLIT_OLD = dt.date(2000, 1, 1)
 SPLIT_NEW = dt.date(1999, 7, 1)
 
 
+_SHARED: dict[tuple[str, str], "Scenario"] = {}
+
+
 @dataclass
 class Scenario:
     spark: SparkSession
     sf_dir: str
     _facts: dict = field(default_factory=dict)
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Scenario":
+        """One scenario per application and input folder: its materialised
+        tables (dimension, fact batches) are immutable, so every registered
+        query of a session reuses them, as reports reuse published tables."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in _SHARED:
+            _SHARED[key] = cls(spark, sf_dir)
+        return _SHARED[key]
+
     @cached_property
     def src(self) -> Adapters:
         return Adapters(self.spark, self.sf_dir)
