@@ -72,6 +72,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def empty_like(spark_df_or_session, schema: T.StructType) -> DataFrame:
-    """An empty table of the given schema (CREATE TABLE IF NOT EXISTS)."""
+    """An empty table of the given schema (CREATE TABLE IF NOT EXISTS),
+    built JVM-side (no Python data source, no Python workers)."""
     spark = getattr(spark_df_or_session, "sparkSession", spark_df_or_session)
-    return spark.createDataFrame([], schema)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -70,12 +70,12 @@ merged AS (""" + O.upsert_sql("old_dim", "staged_dim", ["location_identifier"])
 FROM merged"""))
 def _location_dim_upsert(s: Scenario) -> DataFrame:
     stale = s.lookup.withColumn("location_population", F.lit(None).cast("double"))
-    return upsert_location_dim(stale, s.src.location_lookup_staging)
+    return upsert_location_dim(stale, s.lookup_staging)
 
 
 @register("missing_locations", _sql(body="SELECT * FROM missing_locs"))
 def _missing_locations(s: Scenario) -> DataFrame:
-    return missing_locations(s.lookup_dim, s.src.google_mobility_data_staging)
+    return missing_locations(s.lookup_dim, s.mobility_staging)
 
 
 # -- cleaning ------------------------------------------------------------------
@@ -128,7 +128,7 @@ def _recode_admin2(s: Scenario) -> DataFrame:
 
 for _scope in ("us", "non_us"):
     def _conformed(s: Scenario, scope=_scope) -> DataFrame:
-        return conform_mobility(s.src.google_mobility_data_staging, s.lookup, scope)
+        return conform_mobility(s.mobility_staging, s.lookup, scope)
 
     def _mfact(s: Scenario, scope=_scope) -> DataFrame:
         return s.mobility_fact(scope)
@@ -152,7 +152,7 @@ fu_batch AS ({O.mobility_batch_sql('fu_new', 'non_us')})""",
 def _fact_upsert(s: Scenario) -> DataFrame:
     """Keyed upsert where the batch corrects a measure: overlapping days
     take the corrected values, older days keep the existing ones."""
-    mob = s.src.google_mobility_data_staging
+    mob = s.mobility_staging
     old = mob.filter(F.col("date") < F.lit(SPLIT_OLD))
     last = MOBILITY_MEASURES[5]
     new = mob.filter(F.col("date") >= F.lit(SPLIT_NEW)).withColumn(last, F.col(last) + F.lit(1.0))
@@ -256,7 +256,7 @@ GROUP BY scope, location_granularity, country_region_code, sub_region_1, sub_reg
 def _unmatched(s: Scenario) -> DataFrame:
     """Places the loaded dimension does not know yet (before the insert of
     missing places): these rows would vanish from the mobility facts."""
-    return unmatched_mobility_places(s.src.google_mobility_data_staging, s.lookup_dim)
+    return unmatched_mobility_places(s.mobility_staging, s.lookup_dim)
 
 
 # -- quality and table statistics ----------------------------------------------
@@ -414,7 +414,7 @@ def _raw_reports(s: Scenario) -> DataFrame:
     mixed timestamp layouts (the adapter rows, un-typed)."""
     o = s.src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                     "o_orderpriority")
-    st = s.src.covid_data_staging
+    st = s.covid_staging
     # the staging view already carries every value; re-derive the raw text
     ts = F.col("last_update_dts")
     raw_ts = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
@@ -480,7 +480,7 @@ def _psv_roundtrip(s: Scenario) -> DataFrame:
     from locus.sources.readers import read_psv
     from locus.sources.writers import land_psv
 
-    src = s.src.location_lookup_staging
+    src = s.lookup_staging
     landed = src.toDF(*LOOKUP_SOURCE_HEADER)
     path = land_psv(landed, scratch_path(s.spark, "lookup_psv"))
     return read_psv(s.spark, path, LOOKUP_STAGING, _header_schema(LOOKUP_SOURCE_HEADER))

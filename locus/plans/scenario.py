@@ -52,19 +52,36 @@ class Scenario:
     def src(self) -> Adapters:
         return Adapters(self.spark, self.sf_dir)
 
+    # Staging tables: loaded once per run (truncate-and-load), then every
+    # step scans the loaded table instead of re-deriving the source.
+    @cached_property
+    def lookup_staging(self) -> DataFrame:
+        return materialize(self.src.location_lookup_staging, "location_lookup_staging")
+
+    @cached_property
+    def covid_staging(self) -> DataFrame:
+        return materialize(self.src.covid_data_staging, "covid_data_staging")
+
+    @cached_property
+    def mobility_staging(self) -> DataFrame:
+        return materialize(self.src.google_mobility_data_staging, "google_mobility_data_staging")
+
     @cached_property
     def lookup_dim(self) -> DataFrame:
-        return upsert_location_dim(empty_like(self.spark, LOCATION_LOOKUP), self.src.location_lookup_staging)
+        """Dimension after the upsert from staging (used three times by the
+        missing-place step: written once)."""
+        return materialize(upsert_location_dim(empty_like(self.spark, LOCATION_LOOKUP), self.lookup_staging),
+                           "lookup_dim")
 
     @cached_property
     def lookup(self) -> DataFrame:
         """Dimension after the dimension upsert and the missing-place insert,
         materialised once: every load and report joins it."""
-        return materialize(with_missing_locations(self.lookup_dim, self.src.google_mobility_data_staging), "lookup")
+        return materialize(with_missing_locations(self.lookup_dim, self.mobility_staging), "lookup")
 
     @cached_property
     def covid_fixed(self) -> DataFrame:
-        return recode(self.src.covid_data_staging, "admin2")
+        return recode(self.covid_staging, "admin2")
 
     def covid_fact(self, scope: str) -> DataFrame:
         if ("covid", scope) not in self._facts:
@@ -76,7 +93,7 @@ class Scenario:
 
     def mobility_fact(self, scope: str) -> DataFrame:
         if ("mobility", scope) not in self._facts:
-            mob = self.src.google_mobility_data_staging
+            mob = self.mobility_staging
             old = mob.filter(F.col("date") < F.lit(SPLIT_OLD))
             new = mob.filter(F.col("date") >= F.lit(SPLIT_NEW))
             final = load_mobility_fact(empty_like(self.spark, MOBILITY_FACT), old, self.lookup, scope)
