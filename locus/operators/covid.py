@@ -106,7 +106,9 @@ def load_covid_fact(
     batch = conform_covid(covid, lookup, scope)
     if stage_batch:
         batch = materialize(batch, f"covid_batch_{scope}")
-    merged = upsert(final.select(*COVID_FACT.fieldNames()), batch, FACT_KEY)
+    # After the dedup the rows are unique (the dedup keys are columns), so the
+    # INSERT's DISTINCT is a no-op; an anti join needs no distinct keys.
+    merged = upsert(final.select(*COVID_FACT.fieldNames()), batch, FACT_KEY, unique_keys=True)
     if deltas == "full":
         return daily_deltas(merged)
     if deltas == "touched":

@@ -23,6 +23,7 @@ def upsert(
     *,
     distinct_incoming: bool = True,
     broadcast_rows: int = DIMENSION_BROADCAST_ROWS,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """DELETE final rows whose key arrives again, INSERT every incoming row.
 
@@ -30,13 +31,18 @@ def upsert(
     Keys compare with '=' (a NULL key never deletes). The incoming key set is
     broadcast when a daily batch is small (no shuffle of the big final table);
     a whole-history batch falls back to a shuffle anti join.
+    ``unique_keys``: the caller guarantees distinct incoming rows (e.g. after
+    ``dedup_latest``), so both DISTINCT shuffles are skipped (an anti join's
+    result does not depend on duplicate keys).
     """
     keys = list(keys)
-    batch_keys = incoming.select(*keys).distinct()
+    batch_keys = incoming.select(*keys)
+    if not unique_keys:
+        batch_keys = batch_keys.distinct()
     # the batch's row count bounds its key count
     kept = final.join(bounded_broadcast(batch_keys, broadcast_rows, probe=incoming), keys, "left_anti")
     new_rows = incoming.select(*final.columns)
-    if distinct_incoming:
+    if distinct_incoming and not unique_keys:
         new_rows = new_rows.distinct()
     return kept.unionByName(new_rows)
 

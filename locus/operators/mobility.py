@@ -98,7 +98,8 @@ def load_mobility_fact(
     batch = mobility_batch(mobility, lookup, scope)
     if stage_batch:
         batch = materialize(batch, f"mobility_batch_{scope}")
-    return upsert(final.select(*MOBILITY_FACT.fieldNames()), batch, FACT_KEY)
+    # one row per (location, day) after the dedup: skip the DISTINCT shuffles
+    return upsert(final.select(*MOBILITY_FACT.fieldNames()), batch, FACT_KEY, unique_keys=True)
 
 
 def unmatched_mobility_places(mobility: DataFrame, lookup: DataFrame) -> DataFrame:

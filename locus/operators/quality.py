@@ -18,18 +18,21 @@ CHECKS = ("has_rows", "check_nulls", "check_duplicates")
 def quality_metrics(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: row count, rows with a NULL key part, duplicate keys.
 
-    Duplicates = rows whose key has no NULL part minus distinct keys (a NULL
-    part removes the row from both counts, as with a concatenated key).
+    One grouped pass: count rows per key (partial aggregation map-side, so a
+    hot key costs one row per task), then sum over the groups. Duplicates =
+    rows beyond the first of every key without a NULL part (a NULL part
+    removes the row from both counts, as with a concatenated key).
     """
     keys = list(keys)
     if not keys:
         return df.agg(F.count(F.lit(1)).alias("rows")).select(
             "rows", F.lit(0).cast("long").alias("null_keys"), F.lit(0).cast("long").alias("duplicate_keys"))
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(any_null).alias("null_keys"),
-        (F.count_if(~any_null) - F.count_distinct(*[F.col(k) for k in keys])).alias("duplicate_keys"),
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
+        F.coalesce(F.sum(F.when(any_null, F.col("_n"))), F.lit(0)).cast("long").alias("null_keys"),
+        F.coalesce(F.sum(F.when(~any_null, F.col("_n") - 1)), F.lit(0)).cast("long").alias("duplicate_keys"),
     )
 
 
