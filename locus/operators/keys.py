@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locus.session import materialize
@@ -25,8 +25,8 @@ def global_row_number(
     2. tag rows with ``monotonically_increasing_id`` (partition, position);
     3. write to the shared folder, so both uses below see the same rows even
        if an executor is lost and the input is re-read;
-    4. per-partition counts (one row per partition) -> running offsets ->
-       broadcast back: number = offset + position + 1.
+    4. per-partition counts (one number per partition, like zipWithIndex)
+       -> running offsets as an array literal: number = offset + position + 1.
     ``order`` must be total for the numbering to be reproducible.
     """
     spark = df.sparkSession
@@ -39,12 +39,13 @@ def global_row_number(
         tagged.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
     )
-    # One row per partition: its size is bounded by the partition count.
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_off") + F.col("_pos") + F.lit(1))
-        .drop("_mid", "_pid", "_pos", "_off")
-    )
+    # One number per partition (bounded by the partition count, never by the
+    # data): partition sizes -> running offsets, inlined as an array literal.
+    sizes = dict(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, total = [], 0
+    for pid in range(max(sizes, default=-1) + 1):
+        offsets.append(total)
+        total += sizes.get(pid, 0)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (F.col("_pid") + 1).cast("int")) \
+        if offsets else F.lit(0).cast("long")
+    return tagged.withColumn(name, offset + F.col("_pos") + F.lit(1)).drop("_mid", "_pid", "_pos")
