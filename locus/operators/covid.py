@@ -112,6 +112,6 @@ def load_covid_fact(
     if deltas == "full":
         return daily_deltas(merged)
     if deltas == "touched":
-        return refresh_deltas(merged, batch.select("location_identifier"))
+        return refresh_deltas(merged, batch.select("location_identifier", "file_date"))
     raise ValueError("deltas must be 'full' or 'touched'")
 

@@ -81,13 +81,17 @@ def run_load(
     return staged
 
 
-def run_daily(spark: SparkSession, store: TableStore, run_date: dt.date, sources: SourceTemplates) -> dict[str, str]:
-    """Load the files of the previous day (the run processes yesterday's data)."""
-    return run_backfill(spark, store, [run_date - dt.timedelta(days=1)], sources)
+def run_daily(spark: SparkSession, store: TableStore, run_date: dt.date, sources: SourceTemplates,
+              deltas: str = "touched") -> dict[str, str]:
+    """Load the files of the previous day (the run processes yesterday's data).
+
+    Deltas are refreshed only from each touched location's first new day on
+    (``refresh_deltas``), not over the whole history."""
+    return run_backfill(spark, store, [run_date - dt.timedelta(days=1)], sources, deltas)
 
 
 def run_backfill(spark: SparkSession, store: TableStore, dates: Iterable[dt.date],
-                 sources: SourceTemplates) -> dict[str, str]:
+                 sources: SourceTemplates, deltas: str = "touched") -> dict[str, str]:
     """Load several days in one job: every reader takes the list of paths,
     dedup and upsert are keyed by (location, date), so one pass equals
     day-by-day runs in date order."""
@@ -96,7 +100,7 @@ def run_backfill(spark: SparkSession, store: TableStore, dates: Iterable[dt.date
     lookup = read_psv(spark, source_paths(sources.lookup, dates[-1:]), LOOKUP_STAGING,
                       _header_schema(LOOKUP_SOURCE_HEADER))
     mobility = read_psv(spark, source_paths(sources.mobility, dates[-1:]), MOBILITY_STAGING)
-    return run_load(spark, store, covid, lookup, mobility)
+    return run_load(spark, store, covid, lookup, mobility, deltas=deltas)
 
 
 def run_historical(spark: SparkSession, store: TableStore, covid_prefix: str, lookup_path: str,

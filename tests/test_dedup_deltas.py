@@ -70,14 +70,39 @@ def test_deltas_cases(spark):
 
 
 def test_refresh_equals_full(spark):
-    f = fact(spark, [(1, D(2020, 1, d), 10 * d, d, d) for d in range(1, 6)]
-             + [(2, D(2020, 1, d), 7 * d, d, d) for d in range(1, 6)])
-    full = daily_deltas(f)
-    touched = spark.createDataFrame([(2,)], "location_identifier int")
-    assert rows(refresh_deltas(full, touched), *full.columns) == rows(full, *full.columns)
+    """Existing fact with correct deltas; a batch replaces day 3 of location
+    2 and adds day 7: the incremental refresh equals a full recompute,
+    including the changed delta of the row after the replaced day."""
+    from locus.operators.dml import upsert
+
+    old = daily_deltas(fact(spark, [(1, D(2020, 1, d), 10 * d, d, d) for d in range(1, 6)]
+                            + [(2, D(2020, 1, d), 7 * d, d, d) for d in range(1, 6)]))
+    batch = fact(spark, [(2, D(2020, 1, 3), 50, 9, None), (2, D(2020, 1, 7), 60, 9, 9)])
+    batch = batch.select(*[batch[c] if c in batch.columns else F.lit(None).cast("int").alias(c)
+                           for c in old.columns])
+    merged = upsert(old, batch, ["location_identifier", "file_date"])
+    full = daily_deltas(merged)
+    inc = refresh_deltas(merged, batch.select("location_identifier", "file_date"))
+    assert rows(inc, *full.columns) == rows(full, *full.columns)
 
 
 def test_sum_of_deltas_is_last_cumulative(spark):
     f = fact(spark, [(1, D(2020, 1, d), d * d, d, d) for d in range(1, 10)])
     s = daily_deltas(f).agg(F.sum("new_confirmed_cases")).first()[0]
     assert s == 81
+
+
+def test_touched_load_equals_full_load(spark):
+    from locus.operators.covid import load_covid_fact
+    from locus.operators.dml import empty_like
+    from locus.plans.scenario import SPLIT_NEW, SPLIT_OLD, Scenario
+    from locus.schemas import COVID_FACT
+
+    s = Scenario(spark, "/root/testdata/sf0.001")
+    old = s.covid_fixed.filter(F.col("file_date") < F.lit(SPLIT_OLD))
+    new = s.covid_fixed.filter(F.col("file_date") >= F.lit(SPLIT_NEW))
+    for scope in ("us", "non_us"):
+        final = load_covid_fact(empty_like(spark, COVID_FACT), old, s.lookup, scope)
+        full = load_covid_fact(final, new, s.lookup, scope, deltas="full")
+        inc = load_covid_fact(final, new, s.lookup, scope, deltas="touched")
+        assert rows(inc, *full.columns) == rows(full, *full.columns)
