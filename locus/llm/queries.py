@@ -9,9 +9,27 @@ from pyspark.sql import functions as F
 
 from locus.llm.common import documents
 from locus.llm.exact_dedup import exact_dedup
+from locus.llm.language_id import identify
+from locus.llm.packing import pack_documents
 from locus.llm.perspective import rotate_perspectives
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -21,7 +39,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_exact_dedup, op10_chat_formatting)
+    f.__name__: f for f in (op2_language_id, op4_packing, op7_exact_dedup, op10_chat_formatting)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
