@@ -12,14 +12,7 @@ from locus.llm.exact_dedup import exact_dedup
 from locus.llm.language_id import identify
 from locus.llm.packing import pack_documents
 from locus.llm.perspective import rotate_perspectives
-
-
-def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify(documents(spark, sf_dir))
-
-
-def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(documents(spark, sf_dir))
+from locus.llm.warc import archive_round_trip
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,12 +27,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(documents(spark, sf_dir, "pages"))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate_perspectives(documents(spark, sf_dir, "conversations"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op4_packing, op7_exact_dedup, op10_chat_formatting)
+    f.__name__: f for f in (op2_language_id, op4_packing, op7_exact_dedup, op9_warc, op10_chat_formatting)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -50,6 +47,16 @@ WITH n AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW same AS (PARTITION BY norm)
+""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+r AS (SELECT page_id, strlen(html) AS n, sha1(html) AS d,
+             CASE WHEN strlen(html) >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS first
+      FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM r
 """,
     "op10_chat_formatting": """
 WITH t AS (
