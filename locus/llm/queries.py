@@ -12,6 +12,7 @@ from locus.llm.exact_dedup import exact_dedup
 from locus.llm.language_id import identify
 from locus.llm.packing import pack_documents
 from locus.llm.perspective import rotate_perspectives
+from locus.llm.quality_votes import judge_quality
 from locus.llm.warc import archive_round_trip
 
 
@@ -27,6 +28,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(documents(spark, sf_dir))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(documents(spark, sf_dir, "pages"))
 
@@ -36,7 +41,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op4_packing, op7_exact_dedup, op9_warc, op10_chat_formatting)
+    f.__name__: f for f in (op2_language_id, op4_packing, op7_exact_dedup, op8_quality_rules, op9_warc, op10_chat_formatting)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
