@@ -12,7 +12,9 @@ from locus.llm.exact_dedup import exact_dedup
 from locus.llm.language_id import identify
 from locus.llm.packing import pack_documents
 from locus.llm.perspective import rotate_perspectives
+from locus.llm.pii import find_pii
 from locus.llm.quality_votes import judge_quality
+from locus.llm.secrets import find_secrets
 from locus.llm.warc import archive_round_trip
 
 
@@ -20,10 +22,18 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(documents(spark, sf_dir))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -41,7 +51,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op4_packing, op7_exact_dedup, op8_quality_rules, op9_warc, op10_chat_formatting)
+    f.__name__: f
+    for f in (
+        op2_language_id, op3_pii, op4_packing, op5_secret_scan, op7_exact_dedup,
+        op8_quality_rules, op9_warc, op10_chat_formatting,
+    )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
