@@ -36,7 +36,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +52,19 @@ _M, _B = len(MAGIC), len(BLANK)
 
 # -- writing ------------------------------------------------------------------
 
+def _squeeze(payload: pd.Series) -> pd.Series:
+    return payload.map(zstandard.ZstdCompressor(level=6, write_checksum=False).compress)
+
+
+def _expand(squeezed: pd.Series) -> pd.Series:
+    return squeezed.map(zstandard.ZstdDecompressor().decompress)
+
+
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                payload_col: str = "html", min_bytes: int = 1000, salts: int = 16) -> None:
-    """Write ``pages`` as WARC files below ``path`` (a new folder)."""
+    """Write ``pages`` as WARC files below ``path`` (a new folder).
+
+    Payloads go through the one shuffle compressed; revisits leave theirs behind."""
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     url = F.replace(F.replace(F.col(url_col), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), url.alias("url"), payload.alias("payload"))
@@ -62,7 +74,8 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     rows = rows.withColumn("sha2", F.when(large, F.sha2(F.col("payload").cast("binary"), 256)))
     first = rows.where(large).groupBy(*same).agg(
         F.max(F.struct("id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    rows = attach_salted(rows, first, same, F.struct("id", "url"), salts)
+    packed = rows.withColumn("payload", F.pandas_udf(_squeeze, "binary")(F.col("payload").cast("binary")))
+    rows = attach_salted(packed, first, same, F.struct("id", "url"), salts)
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first.id"))
 
     def uuid(id_, url_):
@@ -81,10 +94,10 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
         line("WARC-Refers-To", F.when(revisit, uuid(F.col("first.id"), F.col("first.url")))),
         line("X-Page-Id", F.col("id")),
         line("X-Refers-To-Page", F.when(revisit, F.col("first.id"))),
-        line("X-Payload-Bytes", F.col("size")),
+        line("X-Payload-Bytes", F.when(revisit, F.col("size"))),
         F.lit("Content-Type: text/html\r\nContent-Length: "),
         F.when(revisit, F.lit(0)).otherwise(F.col("size")).cast("string"), F.lit(BLANK))
-    body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
+    body = F.when(revisit, F.lit("")).otherwise(F.pandas_udf(_expand, "binary")(F.col("payload")).cast("string"))
     rows.select(F.concat(head, body).alias("value")).write.option("lineSep", BLANK).text(path)
 
 
