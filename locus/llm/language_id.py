@@ -1,8 +1,8 @@
 """Language identification by compression with per-language dictionaries.
 
 Fit: for every language a raw-content zstandard dictionary is made from a
-bounded sample of labelled texts (``texts_per_lang`` texts of the language by
-hash order, the first ``chars_per_text`` characters of each, at most
+bounded sample of labelled texts (``texts_per_lang`` texts of the language in
+the order of a hash of the id, the first ``chars_per_text`` characters of each, at most
 ``dictionary_bytes`` bytes; both bounds only concern the fit). Predict: the
 whole lower-cased text is cut into blocks of ``block_bytes``; every block is compressed
 with every dictionary, the sizes are summed per language and the smallest sum
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -44,22 +44,28 @@ def fit_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: str
                      dictionary_bytes: int = 112_640, max_langs: int = 256) -> dict[str, bytes]:
     """Raw dictionary content per language, from a bounded sample of rows.
 
-    The rank is a top-k per language, which Spark reduces inside each task
-    before the shuffle, so a hot language does not gather in one task. At most
-    ``max_langs * texts_per_lang * chars_per_text`` characters reach the
-    driver (the languages with most sampled rows, then by name)."""
-    order = F.xxhash64(F.col(id_col), F.lit("fit"))
-    by_lang = Window.partitionBy(lang_col).orderBy(order, id_col, "_sample")
+    Counts per language give a hash threshold that lets about
+    ``texts_per_lang`` rows of each language pass, so no language's rows
+    gather anywhere. The ``max_langs`` most frequent languages (then by name)
+    are learned; at most about 1.5 * max_langs * texts_per_lang *
+    chars_per_text characters reach the driver."""
+    usable = labelled.where(F.col(lang_col).isNotNull() & (F.trim(F.coalesce(text_col, F.lit(""))) != "")).select(
+        F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
+    counts = usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang").limit(max_langs)
+    share = {r["_lang"]: 1.5 * texts_per_lang / r["n"] for r in counts.collect()}
+    if not share:
+        return {}
+    order = F.pmod(F.xxhash64("_id", F.lit("fit")), F.lit(1 << 40)) / float(1 << 40)
+    limit = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])
     sample = (
-        labelled.where(F.col(lang_col).isNotNull() & (F.trim(F.coalesce(text_col, F.lit(""))) != ""))
-        .select(F.col(id_col), F.col(lang_col), F.substring(text_col, 1, chars_per_text).alias("_sample"))
-        .withColumn("_n", F.row_number().over(by_lang)).where(F.col("_n") <= texts_per_lang)
-        .groupBy(lang_col).agg(F.sort_array(F.collect_list(F.struct("_n", "_sample"))).alias("_texts"))
-        .orderBy(F.size("_texts").desc(), lang_col).limit(max_langs))
+        usable.withColumn("_at", order).where(F.col("_at") < limit[F.col("_lang")])
+        .select("_lang", "_at", "_id", F.substring("_text", 1, chars_per_text).alias("_sample"))
+        .groupBy("_lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("_at", "_id", "_sample"))),
+                                      1, texts_per_lang).alias("_texts")))
     out = {}
     for row in sample.collect():
         content = "\n".join(t["_sample"] for t in row["_texts"]).lower().encode()
-        out[row[lang_col]] = content[:dictionary_bytes]
+        out[row["_lang"]] = content[:dictionary_bytes]
     return out
 
 
@@ -93,14 +99,15 @@ class Classifier:
 
 
 def predict_language(df: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text",
-                     min_margin: float = MIN_MARGIN, block_bytes: int = 2_048,
-                     level: int = 5) -> DataFrame:
-    """``df`` with lang_pred, score and rejected (existing columns of these
-    names are replaced). Only ``text_col`` is looked at."""
-    added = ("lang_pred", "score", "rejected")
-    out_cols = [c for c in df.columns if c not in added]
-    source = df.withColumn("_text", F.col(text_col)).select(*[F.col(f"`{c}`") for c in out_cols], "_text")
-    schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes if c != "_text")
+                     min_margin: float = MIN_MARGIN, block_bytes: int = 2_048, level: int = 5,
+                     names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
+    """``df`` with the prediction, its score and whether it is rejected as
+    ``names`` (existing columns of these names are replaced). Only
+    ``text_col`` is looked at."""
+    out_cols = [c for c in df.columns if c not in names]
+    source = df.select(*[F.col(f"`{c}`") for c in out_cols], F.col(text_col).alias("__text"))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema][:-1])
+    pred, score, rejected = names
     small = 512  # rows that are predicted at a time
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,9 +122,18 @@ def predict_language(df: DataFrame, dictionaries: dict[str, bytes], text_col: st
                     [*cols, pa.array([l for l, _ in found], pa.string()),
                      pa.array([s for _, s in found], pa.float64()),
                      pa.array([l == UNKNOWN or s < min_margin for l, s in found], pa.bool_())],
-                    names=[*out_cols, *added])
+                    names=[*out_cols, *names])
 
-    return source.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    return source.mapInArrow(run, f"{schema}, `{pred}` string, `{score}` double, `{rejected}` boolean")
+
+
+def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang") -> DataFrame:
+    """The rows whose language is told apart, with their columns as they were."""
+    dictionaries = fit_dictionaries(df.where(~is_held_out(id_col)), text_col, lang_col, id_col)
+    names = ("__lang_pred", "__score", "__rejected")
+    found = predict_language(df, dictionaries, text_col, names=names)
+    return found.where("not __rejected").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
