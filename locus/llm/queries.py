@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from locus.llm.common import documents
 from locus.llm.exact_dedup import exact_dedup
+from locus.llm.jaccard_join import jaccard_components
 from locus.llm.language_id import identify
+from locus.llm.mixing import sampling_plan
 from locus.llm.packing import pack_documents
 from locus.llm.perspective import rotate_perspectives
 from locus.llm.pii import find_pii
@@ -18,6 +19,10 @@ from locus.llm.secrets import find_secrets
 from locus.llm.warc import archive_round_trip
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
@@ -34,6 +39,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(documents(spark, sf_dir))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling_plan(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -53,8 +62,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_language_id, op3_pii, op4_packing, op5_secret_scan, op7_exact_dedup,
-        op8_quality_rules, op9_warc, op10_chat_formatting,
+        op1_ngram_jaccard_join, op2_language_id, op3_pii, op4_packing, op5_secret_scan,
+        op6_source_mixing, op7_exact_dedup, op8_quality_rules, op9_warc, op10_chat_formatting,
     )
 }
 
