@@ -7,7 +7,7 @@ from locus.functions.columns import (
     parse_timestamp,
     to_int_rounded,
 )
-from locus.functions.recode import ADMIN2_RULES, Rule, recode, recode_column, recode_sql
+from locus.functions.recode import ADMIN2_RULES, Rule, recode, recode_column
 
 __all__ = [
     "ADMIN2_RULES",
@@ -20,6 +20,5 @@ __all__ = [
     "parse_timestamp",
     "recode",
     "recode_column",
-    "recode_sql",
     "to_int_rounded",
 ]

@@ -44,9 +44,33 @@ def empty_as_null(c: ColumnLike) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
+def or_raise(text: Column, parsed: Column, what: str) -> Column:
+    """``parsed``, but text that is there and did not parse stops the job:
+    as NULL it would sort first in the dedup and beat the good row."""
+    lost = (F.trim(text.cast("string")) != "") & parsed.isNull()
+    return F.when(lost, F.raise_error(F.concat(F.lit(f"unreadable {what}: "), text.cast("string")))).otherwise(parsed)
+
+
 def parse_timestamp(c: ColumnLike, formats: Sequence[str]) -> Column:
-    """First format that parses wins; unparseable text gives NULL."""
-    return F.coalesce(*[F.try_to_timestamp(col(c), F.lit(f)) for f in formats])
+    """First format that parses wins; empty text is NULL, other text raises."""
+    parsed = F.coalesce(*[F.try_to_timestamp(col(c), F.lit(f)) for f in formats])
+    return or_raise(col(c), parsed, "timestamp")
+
+
+def parse_date(c: ColumnLike, layout: str) -> Column:
+    """Text in one date layout; empty text is NULL, other text raises."""
+    return or_raise(col(c), F.try_to_timestamp(col(c), F.lit(layout)).cast("date"), "date")
+
+
+def parse_number(c: ColumnLike, target: T.DataType) -> Column:
+    """Text to a number. Counts may be written as ``5.0`` (a column with gaps
+    is often stored as floats) but must be whole; other text raises."""
+    if isinstance(target, (T.LongType, T.IntegerType)):
+        exact = or_raise(col(c), F.nullif(F.trim(col(c)), F.lit("")).try_cast("decimal(38,9)"), "number")
+        fraction = exact != F.floor(exact)
+        whole = F.when(fraction, F.raise_error(F.concat(F.lit("count is not whole: "), col(c)))).otherwise(exact)
+        return whole.cast(target)
+    return or_raise(col(c), F.nullif(F.trim(col(c)), F.lit("")).try_cast(target), "number")
 
 
 def desc_nulls_first_key(cols: Iterable[ColumnLike]) -> list[Column]:

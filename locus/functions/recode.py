@@ -53,18 +53,3 @@ def recode_column(column: str, rules: Sequence[Rule]) -> Column:
 def recode(df: DataFrame, column: str = "admin2", rules: Sequence[Rule] = ADMIN2_RULES) -> DataFrame:
     """Apply the correction rules to ``column`` (a narrow, fused projection)."""
     return df.withColumn(column, recode_column(column, rules))
-
-
-def recode_sql(column: str = "admin2", rules: Sequence[Rule] = ADMIN2_RULES) -> str:
-    """Same chain as ANSI SQL text (used by the SQL oracle)."""
-
-    def q(s: str) -> str:
-        return "'" + s.replace("'", "''") + "'"
-
-    parts = []
-    for r in rules:
-        cond = f"{column} = {q(r.value)}"
-        if r.when_column:
-            cond += f" AND {r.when_column} = {q(r.when_value)}"
-        parts.append(f"WHEN {cond} THEN {q(r.replacement)}")
-    return "CASE " + " ".join(parts) + f" ELSE {column} END"

@@ -11,11 +11,10 @@ from locus.operators.analytics import (
     top_countries,
     top_us_counties,
 )
-from locus.operators.covid import conform_covid, load_covid_fact, route_covid
+from locus.operators.covid import conform_covid, covid_batch, load_covid_fact, route_covid, upsert_covid_fact
 from locus.operators.dedup import dedup_latest
 from locus.operators.deltas import daily_deltas, refresh_deltas
 from locus.operators.dml import conform, patch_rows, upsert
-from locus.operators.joins import bounded_broadcast
 from locus.operators.keys import global_row_number
 from locus.operators.locations import (
     missing_locations,
@@ -30,6 +29,6 @@ from locus.operators.mobility import (
     route_mobility,
     unmatched_mobility_places,
 )
-from locus.operators.quality import assert_quality, has_rows, quality_metrics, quality_report
+from locus.operators.quality import assert_quality, quality_metrics, quality_report
 
 __all__ = [name for name in dir() if not name.startswith("_")]

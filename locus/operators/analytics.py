@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locus.operators.dedup import dedup_latest
-from locus.operators.joins import bounded_broadcast
 from locus.schemas import FACT_KEY, MOBILITY_MEASURES
 
 ROUND = 6  # doubles are compared at 6 decimals (summation order varies)
@@ -51,7 +50,7 @@ def latest_dates(tables: Mapping[str, DataFrame], date_col: str = "file_date") -
 # -- A4-A5: top-N ---------------------------------------------------------------
 
 def _labelled(fact: DataFrame, lookup: DataFrame, granularity: str, cols: Sequence[str]) -> DataFrame:
-    dim = bounded_broadcast(lookup.select("location_identifier", *cols))
+    dim = lookup.select("location_identifier", *cols)
     return fact.filter(F.col("location_granularity") == granularity).join(dim, "location_identifier", "left")
 
 
@@ -96,7 +95,7 @@ def _latest_cumulative(fact: DataFrame, granularity: str) -> DataFrame:
 def incident_rate(fact: DataFrame, lookup: DataFrame, granularity: str, name_col: str) -> DataFrame:
     """Latest cumulative confirmed / population x 100 per location; a zero
     or missing population gives NULL."""
-    dim = bounded_broadcast(lookup.select("location_identifier", name_col, "location_population"))
+    dim = lookup.select("location_identifier", name_col, "location_population")
     return _latest_cumulative(fact, granularity).join(dim, "location_identifier", "left").select(
         F.col(name_col).alias("state" if name_col == "province_or_state" else "country"),
         "location_identifier",
@@ -135,7 +134,7 @@ def incident_rate_extremes(rates: DataFrame, n: int = 5, name_col: str = "state"
 def avg_mobility(mobility: DataFrame, lookup: DataFrame, granularity: str, name_col: str,
                  names: Sequence[str] | None = None) -> DataFrame:
     """Average change from baseline of each measure per location."""
-    dim = bounded_broadcast(lookup.select("location_identifier", name_col))
+    dim = lookup.select("location_identifier", name_col)
     avgs = (
         mobility.filter(F.col("location_granularity") == granularity)
         .groupBy("location_identifier")

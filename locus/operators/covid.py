@@ -9,7 +9,6 @@ from locus.functions.columns import level_key, norm_key, null_of
 from locus.operators.dedup import dedup_latest
 from locus.operators.deltas import daily_deltas, refresh_deltas
 from locus.operators.dml import upsert
-from locus.operators.joins import DIMENSION_BROADCAST_ROWS, bounded_broadcast
 from locus.operators.routing import ROUTE_KEYS, lookup_route_keys
 from locus.schemas import COVID_FACT, FACT_KEY
 from locus.session import materialize
@@ -55,23 +54,24 @@ def route_covid(covid: DataFrame) -> DataFrame:
     )
 
 
-def conform_covid(covid: DataFrame, lookup: DataFrame, scope: str) -> DataFrame:
-    """Conformed, de-duplicated fact rows of one batch (deltas still NULL).
+def covid_batch(covid: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Conformed, de-duplicated fact rows of one batch for both scopes
+    (column ``_scope``; deltas still NULL): one scan, one join, one dedup.
 
     Dedup is per (granularity, location, file_date), i.e. per level branch.
     """
-    if scope not in SCOPES:
-        raise ValueError(f"scope must be one of {SCOPES}")
-    routed = route_covid(covid).filter((F.col("_scope") == scope) & F.col("_level").isNotNull())
-    keys = bounded_broadcast(lookup_route_keys(lookup, "country_region"), DIMENSION_BROADCAST_ROWS // 2, lookup)
-    rows = routed.join(keys, ROUTE_KEYS).select(
+    routed = route_covid(covid).filter(F.col("_scope").isNotNull() & F.col("_level").isNotNull())
+    rows = routed.join(lookup_route_keys(lookup, "country_region"), ROUTE_KEYS).select(
+        "_scope",
         "location_identifier",
         "file_date",
         F.col("_level").alias("location_granularity"),
         *COVID_DEDUP_ORDER,
     )
-    latest = dedup_latest(rows, ["location_granularity", "location_identifier", "file_date"], COVID_DEDUP_ORDER)
+    keys = ["_scope", "location_granularity", "location_identifier", "file_date"]
+    latest = dedup_latest(rows, keys, COVID_DEDUP_ORDER)
     return latest.select(
+        "_scope",
         "location_identifier",
         "file_date",
         F.col("confirmed").alias("ttl_confirmed_cases"),
@@ -87,25 +87,21 @@ def conform_covid(covid: DataFrame, lookup: DataFrame, scope: str) -> DataFrame:
     )
 
 
-def load_covid_fact(
-    final: DataFrame,
-    covid: DataFrame,
-    lookup: DataFrame,
-    scope: str,
-    deltas: str = "full",
-    stage_batch: bool = True,
-) -> DataFrame:
-    """conform -> dedup -> keyed upsert -> daily deltas.
+def conform_covid(covid: DataFrame, lookup: DataFrame, scope: str) -> DataFrame:
+    """One scope's rows of ``covid_batch``, in fact shape."""
+    if scope not in SCOPES:
+        raise ValueError(f"scope must be one of {SCOPES}")
+    return covid_batch(covid, lookup).filter(F.col("_scope") == scope).drop("_scope")
+
+
+def upsert_covid_fact(final: DataFrame, batch: DataFrame, deltas: str = "full") -> DataFrame:
+    """Keyed upsert of a conformed batch (a written table: it is used twice
+    and more), then daily deltas.
 
     ``deltas='full'`` recomputes every location (original behaviour);
     ``'touched'`` only the locations present in the batch (same result when
     ``final`` already carries correct deltas).
-    The batch feeds both the key set of the upsert and the inserted rows, so
-    it is written once to the shared folder (``stage_batch``).
     """
-    batch = conform_covid(covid, lookup, scope)
-    if stage_batch:
-        batch = materialize(batch, f"covid_batch_{scope}")
     # After the dedup the rows are unique (the dedup keys are columns), so the
     # INSERT's DISTINCT is a no-op; an anti join needs no distinct keys.
     merged = upsert(final.select(*COVID_FACT.fieldNames()), batch, FACT_KEY, unique_keys=True)
@@ -115,3 +111,14 @@ def load_covid_fact(
         return refresh_deltas(merged, batch.select("location_identifier", "file_date"))
     raise ValueError("deltas must be 'full' or 'touched'")
 
+
+def load_covid_fact(
+    final: DataFrame,
+    covid: DataFrame,
+    lookup: DataFrame,
+    scope: str,
+    deltas: str = "full",
+) -> DataFrame:
+    """conform -> dedup -> keyed upsert -> daily deltas, for one scope."""
+    batch = materialize(conform_covid(covid, lookup, scope), f"covid_batch_{scope}")
+    return upsert_covid_fact(final, batch, deltas)

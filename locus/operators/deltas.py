@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from locus.operators.joins import bounded_broadcast
-
 DELTA_COLUMNS: tuple[tuple[str, str], ...] = (
     ("ttl_confirmed_cases", "new_confirmed_cases"),
     ("ttl_deaths", "new_deaths"),
@@ -47,40 +45,16 @@ def refresh_deltas(
     date: str = "file_date",
     pairs: Sequence[tuple[str, str]] = DELTA_COLUMNS,
 ) -> DataFrame:
-    """Recompute deltas only where a batch can change them.
-
-    For every location in ``batch_keys`` (location, date) the rows from its
-    earliest incoming date on are recomputed (this includes the first later
-    row, whose previous value may have changed); the last row before that
-    date is the LAG context. All other rows keep their deltas. Equal to
-    ``daily_deltas(fact)`` when ``fact`` carried correct deltas before the
-    upsert, and the window only sees the recent rows plus one per location,
-    instead of the whole history.
+    """Recompute deltas only for the locations that a batch touches.
+
+    ``batch_keys`` (location, date) names them. Their whole series in ``fact``
+    goes through the LAG window; all other rows keep their deltas, rows
+    without a location too. Equal to ``daily_deltas(fact)`` when ``fact``
+    carried correct deltas before the upsert. A caller that passes a part of
+    the history adds each touched location's last row before it (see
+    ``load_fact_months``) and drops those rows afterwards.
     """
-    srcs = [src for src, _ in pairs]
-    start = batch_keys.groupBy(location).agg(F.min(date).alias("_from"))
-    tagged = fact.join(bounded_broadcast(start, probe=batch_keys), location, "left")
-    touched = F.col("_from").isNotNull() & (F.col(date) >= F.col("_from"))
-    recent = tagged.filter(touched).drop("_from")
-    # the last row before each location's start date (top-1 per location,
-    # reduced map-side before the shuffle)
-    before = tagged.filter(F.col("_from").isNotNull() & (F.col(date) < F.col("_from")))
-    w_last = Window.partitionBy(location).orderBy(F.col(date).desc())
-    context = (
-        before.select(location, date, *srcs)
-        .withColumn("_rn", F.row_number().over(w_last))
-        .filter(F.col("_rn") == 1)
-        .select(location, date, *[F.col(c).alias(f"_ctx_{c}") for c in srcs])
-    )
-    w = Window.partitionBy(location).orderBy(F.col(date).asc())
-    window_in = recent.select("*", F.lit(False).alias("_ctx")).unionByName(
-        context.select(location, date, *[F.col(f"_ctx_{c}").alias(c) for c in srcs], F.lit(True).alias("_ctx")),
-        allowMissingColumns=True,
-    )
-    redone = window_in
-    for src, dst in pairs:
-        cur = F.col(src)
-        redone = redone.withColumn(dst, F.coalesce(cur - F.lag(cur, 1).over(w), cur).cast("int"))
-    redone = redone.filter(~F.col("_ctx")).select(*fact.columns)
-    keep = tagged.filter(~touched | F.col("_from").isNull()).select(*fact.columns)
-    return keep.unionByName(redone)
+    touched = batch_keys.select(location).distinct()
+    redone = daily_deltas(fact.join(touched, location, "left_semi"), location, date, pairs)
+    keep = fact.join(touched, location, "left_anti")
+    return keep.select(*fact.columns).unionByName(redone.select(*fact.columns))

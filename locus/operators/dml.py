@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from locus.operators.joins import DIMENSION_BROADCAST_ROWS, bounded_broadcast
-
 
 def upsert(
     final: DataFrame,
@@ -22,15 +20,15 @@ def upsert(
     keys: Sequence[str],
     *,
     distinct_incoming: bool = True,
-    broadcast_rows: int = DIMENSION_BROADCAST_ROWS,
     unique_keys: bool = False,
 ) -> DataFrame:
     """DELETE final rows whose key arrives again, INSERT every incoming row.
 
     = final LEFT ANTI JOIN keys(incoming) UNION ALL DISTINCT incoming.
-    Keys compare with '=' (a NULL key never deletes). The incoming key set is
-    broadcast when a daily batch is small (no shuffle of the big final table);
-    a whole-history batch falls back to a shuffle anti join.
+    Keys compare with '=' (a NULL key never deletes). ``incoming`` is used
+    twice, so callers pass a written table; its size then tells Spark whether
+    the key set is small enough to broadcast (a daily batch, which leaves the
+    big final table unshuffled) or the anti join shuffles.
     ``unique_keys``: the caller guarantees distinct incoming rows (e.g. after
     ``dedup_latest``), so both DISTINCT shuffles are skipped (an anti join's
     result does not depend on duplicate keys).
@@ -39,8 +37,7 @@ def upsert(
     batch_keys = incoming.select(*keys)
     if not unique_keys:
         batch_keys = batch_keys.distinct()
-    # the batch's row count bounds its key count
-    kept = final.join(bounded_broadcast(batch_keys, broadcast_rows, probe=incoming), keys, "left_anti")
+    kept = final.join(batch_keys, keys, "left_anti")
     new_rows = incoming.select(*final.columns)
     if distinct_incoming and not unique_keys:
         new_rows = new_rows.distinct()

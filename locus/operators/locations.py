@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from locus.functions.columns import norm_key, null_of, to_int_rounded
 from locus.operators.dml import patch_rows, upsert
-from locus.operators.joins import bounded_broadcast
 from locus.operators.keys import global_row_number
 from locus.schemas import LOCATION_LOOKUP
 
@@ -80,14 +79,11 @@ def missing_locations(
         .distinct()
     )
     # Only dimension rows with a county can match (county is a join key).
-    known = bounded_broadcast(
-        lookup.filter(F.col("county_or_city").isNotNull()).select(
-            F.col("iso2_code").alias("_c"),
-            norm_key("country_region").alias("_r"),
-            norm_key("province_or_state").alias("_p"),
-            norm_key("county_or_city").alias("_s"),
-        ),
-        probe=lookup,
+    known = lookup.filter(F.col("county_or_city").isNotNull()).select(
+        F.col("iso2_code").alias("_c"),
+        norm_key("country_region").alias("_r"),
+        norm_key("province_or_state").alias("_p"),
+        norm_key("county_or_city").alias("_s"),
     )
     p = places.select("*", norm_key("country_region").alias("_pr"), norm_key("sub_region_1").alias("_p1"),
                       norm_key("sub_region_2").alias("_p2"))

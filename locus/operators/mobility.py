@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from locus.functions.columns import level_key, norm_key, to_int_rounded
 from locus.operators.dedup import dedup_latest
 from locus.operators.dml import upsert
-from locus.operators.joins import DIMENSION_BROADCAST_ROWS, bounded_broadcast
 from locus.operators.routing import ROUTE_KEYS, granularity, lookup_route_keys
 from locus.schemas import FACT_KEY, MOBILITY_FACT, MOBILITY_MEASURES
 from locus.session import materialize
@@ -53,24 +52,25 @@ def route_mobility(mobility: DataFrame) -> DataFrame:
     )
 
 
-def conform_mobility(mobility: DataFrame, lookup: DataFrame, scope: str, distinct: bool = True) -> DataFrame:
-    """Attach location id and granularity (secondary staging table rows).
-
-    One scan, one broadcast hash join on the routing keys; the dimension key
-    set is broadcast only after its row count is checked.
-    """
-    if scope not in SCOPES:
-        raise ValueError(f"scope must be one of {SCOPES}")
-    routed = route_mobility(mobility).filter((F.col("_scope") == scope) & F.col("_level").isNotNull())
-    keys = bounded_broadcast(
-        lookup_route_keys(lookup, "iso2_code", with_fips=(scope == "us")), DIMENSION_BROADCAST_ROWS // 2, lookup
-    )
-    out = routed.join(keys, ROUTE_KEYS).select(
+def conform_mobility_all(mobility: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Attach location id and granularity, both scopes at once (column
+    ``_scope``): one scan, one equi-join on the routing keys. Census codes
+    route US rows only, so one key table serves both scopes."""
+    routed = route_mobility(mobility).filter(F.col("_scope").isNotNull() & F.col("_level").isNotNull())
+    return routed.join(lookup_route_keys(lookup, "iso2_code", with_fips=True), ROUTE_KEYS).select(
+        "_scope",
         "location_identifier",
         F.col("date").alias("last_update_dt"),
         *MOBILITY_MEASURES,
         granularity(F.col("_level")).alias("location_granularity"),
     )
+
+
+def conform_mobility(mobility: DataFrame, lookup: DataFrame, scope: str, distinct: bool = True) -> DataFrame:
+    """One scope's conformed rows (secondary staging table)."""
+    if scope not in SCOPES:
+        raise ValueError(f"scope must be one of {SCOPES}")
+    out = conform_mobility_all(mobility, lookup).filter(F.col("_scope") == scope).drop("_scope")
     return out.distinct() if distinct else out
 
 
@@ -79,25 +79,27 @@ def conform_mobility(mobility: DataFrame, lookup: DataFrame, scope: str, distinc
 MOBILITY_DEDUP_ORDER = ["last_update_dt", "location_granularity", *MOBILITY_MEASURES]
 
 
+def latest_mobility(conformed: DataFrame) -> DataFrame:
+    """Conformed rows -> one row per location and day, in fact shape (with
+    ``_scope`` if they carry it)."""
+    scope = [c for c in ("_scope",) if c in conformed.columns]
+    latest = dedup_latest(conformed, [*scope, "location_identifier", "last_update_dt"], MOBILITY_DEDUP_ORDER)
+    return latest.withColumnRenamed("last_update_dt", "file_date").select(*scope, *MOBILITY_FACT.fieldNames())
+
+
 def mobility_batch(mobility: DataFrame, lookup: DataFrame, scope: str) -> DataFrame:
     """Conformed, de-duplicated rows of one batch, in fact-table shape."""
     # DISTINCT before the dedup would not change the winner: skip that shuffle.
-    conformed = conform_mobility(mobility, lookup, scope, distinct=False)
-    latest = dedup_latest(conformed, ["location_identifier", "last_update_dt"], MOBILITY_DEDUP_ORDER)
-    return latest.withColumnRenamed("last_update_dt", "file_date").select(*MOBILITY_FACT.fieldNames())
+    return latest_mobility(conform_mobility(mobility, lookup, scope, distinct=False))
 
 
-def load_mobility_fact(
-    final: DataFrame, mobility: DataFrame, lookup: DataFrame, scope: str, stage_batch: bool = True
-) -> DataFrame:
+def load_mobility_fact(final: DataFrame, mobility: DataFrame, lookup: DataFrame, scope: str) -> DataFrame:
     """conform -> dedup -> keyed upsert into the fact (location, file_date).
 
     The batch feeds both the upsert's key set and the inserted rows, so it is
-    written once to the shared folder (``stage_batch``).
+    written once to the shared folder.
     """
-    batch = mobility_batch(mobility, lookup, scope)
-    if stage_batch:
-        batch = materialize(batch, f"mobility_batch_{scope}")
+    batch = materialize(mobility_batch(mobility, lookup, scope), f"mobility_batch_{scope}")
     # one row per (location, day) after the dedup: skip the DISTINCT shuffles
     return upsert(final.select(*MOBILITY_FACT.fieldNames()), batch, FACT_KEY, unique_keys=True)
 
@@ -106,11 +108,7 @@ def unmatched_mobility_places(mobility: DataFrame, lookup: DataFrame) -> DataFra
     """Routed mobility places that no dimension row matches (they vanish
     from the facts silently); one row per place with its row count."""
     routed = route_mobility(mobility).filter(F.col("_level").isNotNull())
-    keys = bounded_broadcast(
-        lookup_route_keys(lookup, "iso2_code", with_fips=True).select(*ROUTE_KEYS).distinct(),
-        DIMENSION_BROADCAST_ROWS // 2,
-        lookup,
-    )
+    keys = lookup_route_keys(lookup, "iso2_code", with_fips=True).select(*ROUTE_KEYS).distinct()
     missing = routed.join(keys, ROUTE_KEYS, "left_anti")
     return missing.groupBy(
         F.col("_scope").alias("scope"),

@@ -65,12 +65,6 @@ def assert_quality(report: DataFrame) -> DataFrame:
     rows = report.collect()
     failed = [r for r in rows if not r["passed"]]
     if failed:
-        msg = "; ".join(f"{r['table_name']}.{r['check_name']} (value {r['value']})" for r in failed)
-        raise ValueError(f"Data quality check failed: {msg}")
+        found = "; ".join(f"{r['check_name']} of {r['table_name']} gave {r['value']}" for r in failed)
+        raise ValueError(f"load refused by its quality gate: {found}")
     return report
-
-
-def has_rows(df: DataFrame, what: str = "table") -> None:
-    """Fail fast when a source or table is empty (reads one row)."""
-    if df.isEmpty():
-        raise ValueError(f"Data quality check failed. {what} contained 0 rows")

@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locus.functions.recode import ADMIN2_RULES, recode
 from locus.operators import analytics as A
 from locus.operators.deltas import daily_deltas
-from locus.operators.dml import upsert
+from locus.operators.dml import conform, patch_rows
 from locus.operators.locations import missing_locations, upsert_location_dim
 from locus.operators.mobility import conform_mobility, mobility_batch, unmatched_mobility_places
-from locus.operators.covid import conform_covid
+from locus.operators.covid import covid_batch
 from locus.operators.quality import quality_report
 from locus.plans import oracle as O
+from locus.plans.jobs import (
+    LOOKUP_SOURCE_HEADER, SourceTemplates, read_lookup, gate_and_publish, land_reports, run_backfill, run_load,
+    stage_fact_months,
+)
 from locus.plans.scenario import SPLIT_NEW, SPLIT_OLD, Scenario
-from locus.schemas import FACT_KEY, MOBILITY_MEASURES, TABLE_KEYS
+from locus.schemas import (
+    ALL_TABLES, CASE_REPORT_FIELDS, COVID_FACT, FACT_KEY, MOBILITY_MEASURES, MOBILITY_STAGING, TABLE_KEYS,
+)
+from locus.session import materialize, scratch_path
+from locus.sources.readers import normalize_case_report, read_case_reports, read_psv
+from locus.sources.tables import TableStore
+from locus.sources.writers import land_json, land_psv
+from locus.streaming.ingest import ingest_new_reports
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -108,9 +121,9 @@ def _probe_case_sql() -> str:
 
 @register("recode_admin2", _sql(
     f"""
-rc_src AS (SELECT o_orderkey, province AS province_state, {_probe_case_sql()} AS admin2_raw FROM covid_src)""",
-    body=f"""SELECT o_orderkey, province_state, admin2_raw,
-       {O.recode_sql('admin2_raw')} AS admin2 FROM rc_src"""))
+rc_src AS (SELECT o_orderkey, province AS province_state, {_probe_case_sql()} AS admin2_raw FROM covid_src),
+rc_fixed AS ({O.corrected_sql('(SELECT *, admin2_raw AS admin2 FROM rc_src)', 'admin2')})""",
+    body="SELECT o_orderkey, province_state, admin2_raw, admin2 FROM rc_fixed"))
 def _recode_admin2(s: Scenario) -> DataFrame:
     o = s.src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = s.src.table("customer", "c_custkey", "c_name", "c_nationkey")
@@ -150,14 +163,17 @@ fu_final AS ({O.mobility_batch_sql('fu_old', 'non_us')}),
 fu_batch AS ({O.mobility_batch_sql('fu_new', 'non_us')})""",
     body=O.upsert_sql("fu_final", "fu_batch", FACT_KEY)))
 def _fact_upsert(s: Scenario) -> DataFrame:
-    """Keyed upsert where the batch corrects a measure: overlapping days
-    take the corrected values, older days keep the existing ones."""
-    mob = s.mobility_staging
-    old = mob.filter(F.col("date") < F.lit(SPLIT_OLD))
+    """Keyed upsert through the table store where the batch corrects a
+    measure: overlapping days take the corrected values, older days keep the
+    existing ones, and only the batch's months are rewritten."""
+    mob, table = s.mobility_staging, "google_mobility_data_non_us"
     last = MOBILITY_MEASURES[5]
-    new = mob.filter(F.col("date") >= F.lit(SPLIT_NEW)).withColumn(last, F.col(last) + F.lit(1.0))
-    final = mobility_batch(old, s.lookup, "non_us")
-    return upsert(final, mobility_batch(new, s.lookup, "non_us"), FACT_KEY)
+    store = TableStore(s.spark, scratch_path(s.spark, "upsert"))
+    for rows in (mob.filter(F.col("date") < F.lit(SPLIT_OLD)),
+                 mob.filter(F.col("date") >= F.lit(SPLIT_NEW)).withColumn(last, F.col(last) + F.lit(1.0))):
+        batch = materialize(mobility_batch(rows, s.lookup, "non_us"), "upsert_batch")
+        gate_and_publish(store, {table: stage_fact_months(store, table, batch, with_deltas=False)})
+    return store.read(table)
 
 
 # -- covid ---------------------------------------------------------------------
@@ -177,82 +193,47 @@ dd_batch AS ({O.covid_batch_sql('covid_fixed', 'us')}
     body=O.deltas_sql("dd_batch")))
 def _daily_deltas(s: Scenario) -> DataFrame:
     """Whole history in one batch, both scopes, deltas per location."""
-    batch = conform_covid(s.covid_fixed, s.lookup, "us").unionByName(conform_covid(s.covid_fixed, s.lookup, "non_us"))
-    return daily_deltas(batch)
+    return daily_deltas(covid_batch(s.covid_fixed, s.lookup).drop("_scope"))
 
 
 # -- analytics -----------------------------------------------------------------
 
-@register("top_countries", _sql(
-    O.covid_fact_ctes("non_us"),
-    body="""SELECT ll.country_region AS country, CAST(sum(cd.new_confirmed_cases) AS BIGINT) AS total_cases
-FROM covid_non_us cd LEFT JOIN location_lookup ll ON ll.location_identifier = cd.location_identifier
-WHERE cd.location_granularity = 'country'
-GROUP BY ll.country_region
-ORDER BY total_cases DESC NULLS FIRST, country ASC NULLS LAST
-LIMIT 5"""))
+def _top_sql(fact: str, granularity: str, names: dict[str, str], by: list[str], total: str, n: int) -> str:
+    """The n names with most new cases: summed per location, then per name."""
+    shown = ", ".join(f"{c} AS {alias}" for c, alias in names.items())
+    order = ", ".join(f"{alias} NULLS LAST" for alias in names.values())
+    return f"""WITH per_place AS (
+  SELECT location_identifier, sum(new_confirmed_cases) AS n FROM {fact}
+  WHERE location_granularity = '{granularity}' GROUP BY location_identifier),
+named AS (
+  SELECT {', '.join(by)}, sum(n) AS n
+  FROM per_place LEFT JOIN location_lookup USING (location_identifier) GROUP BY {', '.join(by)})
+SELECT {shown}, CAST(n AS BIGINT) AS {total} FROM named
+ORDER BY {total} DESC NULLS FIRST, {order} LIMIT {n}"""
+
+
+def _nested(*ctes: str, body: str) -> str:
+    """A body that has CTEs of its own, after the shared ones."""
+    own, _, rest = body.removeprefix("WITH ").partition("\nSELECT ")
+    return _sql(*ctes, own, body="SELECT " + rest)
+
+
+@register("top_countries", _nested(O.covid_fact_ctes("non_us"), body=_top_sql(
+    "covid_non_us", "country", {"country_region": "country"}, ["country_region"], "total_cases", 5)))
 def _top_countries(s: Scenario) -> DataFrame:
     return A.top_countries(s.covid_fact("non_us"), s.lookup)
 
 
-@register("top_us_counties", _sql(
-    O.covid_fact_ctes("us"),
-    body="""SELECT ll.county_or_city AS county, ll.province_or_state AS state,
-       CAST(sum(cd.new_confirmed_cases) AS BIGINT) AS ttl_confirmed_cases
-FROM covid_us cd LEFT JOIN location_lookup ll ON ll.location_identifier = cd.location_identifier
-WHERE cd.location_granularity = 'county'
-GROUP BY ll.county_or_city, ll.province_or_state, ll.country_region
-ORDER BY ttl_confirmed_cases DESC NULLS FIRST, county ASC NULLS LAST, state ASC NULLS LAST
-LIMIT 10"""))
+@register("top_us_counties", _nested(O.covid_fact_ctes("us"), body=_top_sql(
+    "covid_us", "county", {"county_or_city": "county", "province_or_state": "state"},
+    ["county_or_city", "province_or_state", "country_region"], "ttl_confirmed_cases", 10)))
 def _top_us_counties(s: Scenario) -> DataFrame:
     return A.top_us_counties(s.covid_fact("us"), s.lookup)
 
 
 # -- unmatched places ----------------------------------------------------------
 
-def _unmatched_branch(scope: str, gran: str, where: str, exists: str) -> str:
-    return f"""
-  SELECT '{scope}' AS scope, '{gran}' AS location_granularity, mbl.country_region_code, mbl.sub_region_1,
-         mbl.sub_region_2
-  FROM google_mobility_data_staging mbl
-  WHERE {where} AND NOT EXISTS (SELECT 1 FROM lookup_dim lkup WHERE {exists})"""
-
-
-_P = "mbl.metro_area IS NULL AND mbl.census_fips_code IS NULL"
-_CODE = "lower(lkup.iso2_code) = lower(mbl.country_region_code)"
-_S1 = "lower(mbl.sub_region_1) = lower(lkup.province_or_state)"
-_UNMATCHED = " UNION ALL".join([
-    _unmatched_branch("non_us", "county",
-                      f"mbl.sub_region_1 IS NOT NULL AND mbl.sub_region_2 IS NOT NULL AND {_P} "
-                      "AND mbl.iso_3166_2_code IS NULL AND mbl.country_region_code <> 'US'",
-                      f"{_CODE} AND {_S1} AND lower(mbl.sub_region_2) = lower(lkup.county_or_city) "
-                      "AND lkup.province_or_state IS NOT NULL AND lkup.county_or_city IS NOT NULL"),
-    _unmatched_branch("non_us", "state",
-                      f"mbl.sub_region_1 IS NOT NULL AND mbl.sub_region_2 IS NULL AND {_P} "
-                      "AND mbl.country_region_code <> 'US'",
-                      f"{_CODE} AND {_S1} AND lkup.province_or_state IS NOT NULL AND lkup.county_or_city IS NULL"),
-    _unmatched_branch("non_us", "country",
-                      f"mbl.sub_region_1 IS NULL AND mbl.sub_region_2 IS NULL AND {_P} "
-                      "AND mbl.iso_3166_2_code IS NULL AND mbl.country_region_code <> 'US'",
-                      f"{_CODE} AND lkup.province_or_state IS NULL AND lkup.county_or_city IS NULL"),
-    _unmatched_branch("us", "county", "mbl.country_region_code = 'US' AND mbl.census_fips_code IS NOT NULL",
-                      "lkup.fips_code = CAST(mbl.census_fips_code AS INTEGER)"),
-    _unmatched_branch("us", "state",
-                      f"mbl.country_region_code = 'US' AND mbl.sub_region_1 IS NOT NULL "
-                      f"AND mbl.sub_region_2 IS NULL AND {_P}",
-                      f"{_CODE} AND {_S1} AND lkup.province_or_state IS NOT NULL AND lkup.county_or_city IS NULL"),
-    _unmatched_branch("us", "country",
-                      f"mbl.country_region_code = 'US' AND mbl.sub_region_1 IS NULL "
-                      f"AND mbl.sub_region_2 IS NULL AND {_P}",
-                      f"{_CODE} AND lkup.province_or_state IS NULL AND lkup.county_or_city IS NULL"),
-])
-
-
-@register("unmatched_locations", _sql(
-    body=f"""SELECT scope, location_granularity, country_region_code, sub_region_1, sub_region_2,
-       CAST(count(*) AS BIGINT) AS row_count
-FROM ({_UNMATCHED}) u
-GROUP BY scope, location_granularity, country_region_code, sub_region_1, sub_region_2"""))
+@register("unmatched_locations", _sql(body=O.unmatched_sql("google_mobility_data_staging", "lookup_dim")))
 def _unmatched(s: Scenario) -> DataFrame:
     """Places the loaded dimension does not know yet (before the insert of
     missing places): these rows would vanish from the mobility facts."""
@@ -404,39 +385,19 @@ def _trend(s: Scenario) -> DataFrame:
 
 # -- sources and sinks ---------------------------------------------------------
 
-# Raw report timestamps in three historic layouts, chosen by order status.
-_RAW_TS_SPARK = {"F": "M/d/yyyy H:mm", "O": "yyyy-MM-dd'T'HH:mm:ss"}
-_RAW_TS_SQL = {"F": "%-m/%-d/%Y %-H:%M", "O": "%Y-%m-%dT%H:%M:%S"}
-
-
 def _raw_reports(s: Scenario) -> DataFrame:
-    """Case reports as a source publishes them: older header spellings and
-    mixed timestamp layouts (the adapter rows, un-typed)."""
-    o = s.src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-                    "o_orderpriority")
-    st = s.covid_staging
-    # the staging view already carries every value; re-derive the raw text
-    ts = F.col("last_update_dts")
-    raw_ts = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-    status = F.col("_status")
-    for k, fmt in _RAW_TS_SPARK.items():
-        raw_ts = F.when(status == k, F.date_format(ts, fmt)).otherwise(raw_ts)
-    withstatus = st.join(o.select(F.col("o_orderkey").alias("deaths"), F.col("o_orderstatus").alias("_status")),
-                         "deaths")
-    return withstatus.select(
-        F.col("fips").alias("FIPS"), F.col("admin2").alias("Admin2"),
-        F.col("province_state").alias("Province/State"), F.col("country_region").alias("Country/Region"),
-        raw_ts.alias("Last Update"), F.col("latitude").alias("Lat"), F.col("longitude").alias("Long_"),
-        F.col("confirmed").alias("Confirmed"), F.col("deaths").alias("Deaths"),
-        F.col("recovered").alias("Recovered"), F.col("active").alias("Active"),
-        F.col("combined_key").alias("Combined_Key"), F.col("incident_rate").alias("Incident_Rate"),
-        F.col("case_fatality_ratio").alias("Case_Fatality_Ratio"), "file_date",
-    )
+    """Case reports as sources have published them: older header spellings and
+    three timestamp layouts, all text."""
+    ts, slot = F.col("last_update_dts"), F.col("deaths") % 3
+    raw_ts = (F.when(slot == 0, F.date_format(ts, "M/d/yyyy H:mm")).when(slot == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+              .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss")))
+    old = {"Province_State": "Province/State", "Country_Region": "Country/Region", "Last_Update": "Last Update"}
+    cols = [(raw_ts if dst == "last_update_dts" else F.col(dst)).alias(old.get(src, src))
+            for src, dst in CASE_REPORT_FIELDS.items()]
+    return s.covid_staging.select(*cols)
 
 
 def _normalized(s: Scenario) -> DataFrame:
-    from locus.sources.readers import normalize_case_report
-
     raw = _raw_reports(s).withColumnRenamed("file_date", "_fd")
     return normalize_case_report(raw, F.col("_fd")).drop("_fd")
 
@@ -460,13 +421,36 @@ def _unify_headers(s: Scenario) -> DataFrame:
 @register("json_report_roundtrip", _sql(body="SELECT * FROM covid_data_staging"))
 def _json_roundtrip(s: Scenario) -> DataFrame:
     """Normalise -> land JSON lines -> read back into typed staging rows;
-    equals the staging view."""
-    from locus.session import scratch_path
-    from locus.sources.readers import read_case_reports
-    from locus.sources.writers import land_json
-
-    path = land_json(_normalized(s), scratch_path(s.spark, "covid_json"))
-    return read_case_reports(s.spark, path)
+    equals the staging view. The column with gaps is landed as floats."""
+    floats = _normalized(s).withColumn("Recovered", F.col("Recovered").cast("double"))
+    return read_case_reports(s.spark, land_json(floats, scratch_path(s.spark, "covid_json")))
+
+
+@register("report_load", _sql(body="SELECT * FROM covid_data_staging"))
+def _report_load(s: Scenario) -> DataFrame:
+    """Reports of another layout: other keys (mapped to staging columns by the
+    reader's argument), text values, empty text for what is missing, counts
+    written as floats and several timestamp layouts."""
+    keys = {dst: f"k_{dst}" for dst in CASE_REPORT_FIELDS.values()}
+    raw = _raw_reports(s).toDF(*CASE_REPORT_FIELDS.values()).withColumns({
+        "confirmed": F.concat("confirmed", F.lit(".0")), "file_date": F.date_format("file_date", "MM-dd-yyyy")})
+    texts = raw.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(keys[c]) for c in raw.columns])
+    path = land_json(texts, scratch_path(s.spark, "other_json"))
+    return read_case_reports(s.spark, path, {k: dst for dst, k in keys.items()})
+
+
+@register("land_and_load", _sql(
+    body="SELECT * REPLACE (CAST(date_trunc('year', file_date) AS DATE) AS file_date) FROM covid_data_staging"))
+def _land_and_load(s: Scenario) -> DataFrame:
+    """The landing job: raw comma CSV files, one per report day (here one a
+    year), -> normalised JSON per day -> staging rows."""
+    raw, landed = (scratch_path(s.spark, n) for n in ("raw", "landed"))
+    day = F.date_format(F.trunc("file_date", "year"), "MM-dd-yyyy")
+    reports = _raw_reports(s).withColumn("day", day).drop("file_date")
+    reports.write.partitionBy("day").option("header", True).csv(raw)
+    days = [dt.datetime.strptime(r[0], "%m-%d-%Y").date() for r in reports.select("day").distinct().collect()]
+    paths = land_reports(s.spark, raw + "/day={file_date}", landed + "/{file_date}", days)
+    return read_case_reports(s.spark, paths)
 
 
 @register("psv_roundtrip", _sql(body="SELECT * FROM location_lookup_staging"))
@@ -474,34 +458,158 @@ def _psv_roundtrip(s: Scenario) -> DataFrame:
     """Lookup landed as gzip pipe-delimited text under its source header
     (names hold commas) -> header-checked positional read into the staging
     schema; equals the staging view."""
-    from locus.plans.jobs import LOOKUP_SOURCE_HEADER, _header_schema
-    from locus.schemas import LOOKUP_STAGING
-    from locus.session import scratch_path
-    from locus.sources.readers import read_psv
-    from locus.sources.writers import land_psv
-
-    src = s.lookup_staging
-    landed = src.toDF(*LOOKUP_SOURCE_HEADER)
-    path = land_psv(landed, scratch_path(s.spark, "lookup_psv"))
-    return read_psv(s.spark, path, LOOKUP_STAGING, _header_schema(LOOKUP_SOURCE_HEADER))
-
-
-@register("stream_ingest", _sql(body=O.deltas_sql(f"({O.covid_batch_sql('covid_fixed', 'us')}) b")))
+    return read_lookup(s.spark, _landed_lookup(s))
+
+
+def _landed_lookup(s: Scenario, rows: DataFrame | None = None) -> str:
+    rows = s.lookup_staging if rows is None else rows
+    return land_psv(rows.toDF(*LOOKUP_SOURCE_HEADER), scratch_path(s.spark, "lookup_psv"))
+
+
+# -- loads ---------------------------------------------------------------------
+
+def _historical(s: Scenario) -> TableStore:
+    """A whole load from landed files into a store with all tables, staging kept."""
+    store = TableStore(s.spark, scratch_path(s.spark, "historical"))
+    store.create_all()
+    covid = land_json(_normalized(s), scratch_path(s.spark, "covid_json"))
+    mobility = land_psv(s.mobility_staging, scratch_path(s.spark, "mobility_psv"))
+    run_load(s.spark, store, read_case_reports(s.spark, covid), read_lookup(s.spark, _landed_lookup(s)),
+             read_psv(s.spark, mobility, MOBILITY_STAGING), keep_staging=True)
+    return store
+
+
+@register("staging_load", _sql(body=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS count_of_records FROM {x}" for t, x in {
+        "location_lookup_staging": "location_lookup_staging", "covid_data_staging": "covid_data_staging",
+        "google_mobility_data_staging": "google_mobility_data_staging", "location_lookup": "location_lookup",
+        **{f"google_mobility_data_{c}_staging": f"({O.mobility_conformed_sql('google_mobility_data_staging', c)})"
+           for c in ("us", "non_us")},
+        **{f"google_mobility_data_{c}": f"({O.mobility_batch_sql('google_mobility_data_staging', c)})"
+           for c in ("us", "non_us")},
+        **{f"covid_data_{c}": f"({O.covid_batch_sql('covid_fixed', c)})" for c in ("us", "non_us")},
+    }.items())))
+def _staging_load(s: Scenario) -> DataFrame:
+    """Landed files -> staging -> finals: the rows of all ten tables."""
+    store = _historical(s)
+    return A.table_counts({t: store.read(t) for t in ALL_TABLES})
+
+
+@register("table_list", _sql(body="SELECT table_name FROM (VALUES " + ", ".join(
+    f"('{t}')" for t in sorted(ALL_TABLES) if t != "covid_data_staging") + ") t(table_name) "
+    "WHERE EXISTS (SELECT 1 FROM location_lookup) ORDER BY table_name"))
+def _table_list(s: Scenario) -> DataFrame:
+    """Tables created up front, one loaded, one dropped: those that are there, by name."""
+    store = TableStore(s.spark, scratch_path(s.spark, "created"))
+    store.create_all()
+    store.publish("location_lookup", s.lookup)
+    store.drop("covid_data_staging", purge=True)
+    return store.list_tables()
+
+
+@register("backfill_load", O.with_ctes(
+    O.ADAPTERS, O.LOOKUP_DIM, f"""
+mb_1 AS (SELECT * FROM google_mobility_data_staging WHERE date < {O.SPLIT_OLD}),
+mb_2 AS (SELECT * FROM google_mobility_data_staging WHERE date >= {O.SPLIT_NEW}),
+new_1 AS ({O.missing_sql('lookup_dim', 'mb_1')}),
+dim_1 AS (SELECT * FROM lookup_dim UNION ALL SELECT * FROM new_1),
+staged_2 AS (SELECT * REPLACE (location_population + 1 AS location_population) FROM lookup_dim),
+merged_2 AS ({O.upsert_sql('dim_1', 'staged_2', ['location_identifier'])}),
+new_2 AS ({O.missing_sql('merged_2', 'mb_2')})""") + "SELECT * FROM merged_2 UNION ALL SELECT * FROM new_2")
+def _backfill_load(s: Scenario) -> DataFrame:
+    """Two days loaded by one call, each with its own three files: the
+    dimension takes the second day's attributes and, after the first day's new
+    places, the second day's."""
+    root = scratch_path(s.spark, "backfill")
+    days = [dt.date(2021, 3, 1), dt.date(2021, 3, 2)]
+    templates = SourceTemplates(**{n: f"{root}/{n}_{{file_date}}" for n in ("covid", "lookup", "mobility")})
+    reports, staged, mob = _normalized(s), s.lookup_staging, s.mobility_staging
+    day = F.to_date("file_date", "MM-dd-yyyy")
+    parts = [
+        (reports.filter(day < F.lit(SPLIT_OLD)), staged, mob.filter(F.col("date") < F.lit(SPLIT_OLD))),
+        (reports.filter(day >= F.lit(SPLIT_NEW)), staged.withColumn("population", F.col("population") + 1),
+         mob.filter(F.col("date") >= F.lit(SPLIT_NEW))),
+    ]
+    for when, (covid, lookup, mobility) in zip(days, parts):
+        name = when.strftime("%m-%d-%Y")
+        land_json(covid, f"{root}/covid_{name}")
+        land_psv(lookup.toDF(*LOOKUP_SOURCE_HEADER), f"{root}/lookup_{name}")
+        land_psv(mobility, f"{root}/mobility_{name}")
+    store = TableStore(s.spark, f"{root}/warehouse")
+    run_backfill(s.spark, store, days, templates)
+    return store.read("location_lookup")
+
+
+@register("stream_ingest", _sql(body=O.deltas_sql(
+    f"({O.covid_batch_sql('covid_fixed', 'us')} UNION ALL {O.covid_batch_sql('covid_fixed', 'non_us')}) b")))
 def _stream_ingest(s: Scenario) -> DataFrame:
-    """Landed daily reports arrive in two drops; each availableNow run of the
-    stream loads only the new files (foreachBatch: recode -> dedup -> upsert
-    -> deltas -> publish). The result equals a one-shot load."""
-    from locus.session import scratch_path
-    from locus.sources.tables import TableStore
-    from locus.sources.writers import land_json
-    from locus.streaming.ingest import ingest_new_reports
-
+    """Landed daily reports arrive in three drops, the first without a row for
+    the non-US fact; each availableNow run of the stream loads only the new
+    files (foreachBatch: recode -> dedup -> upsert -> deltas -> gate ->
+    publish). Both facts equal a one-shot load."""
     landing = scratch_path(s.spark, "landing")
     store = TableStore(s.spark, scratch_path(s.spark, "store"))
     ckpt = scratch_path(s.spark, "stream_ckpt")
     reports = _normalized(s)
-    cut = F.to_date(F.col("file_date"), "MM-dd-yyyy") < F.lit(SPLIT_OLD)
-    for part, cond in (("a", cut), ("b", ~cut)):
+    early = F.to_date(F.col("file_date"), "MM-dd-yyyy") < F.lit(SPLIT_OLD)
+    us = (F.col("Country_Region") == "US") & F.col("Province_State").isNotNull()
+    for part, cond in (("a", early & us), ("b", early & ~us), ("c", ~early)):
         land_json(reports.filter(cond), f"{landing}/{part}")
-        ingest_new_reports(s.spark, f"{landing}/*", store, ckpt, lookup=s.lookup, scopes=("us",))
-    return store.read("covid_data_us")
+        ingest_new_reports(s.spark, f"{landing}/*", store, ckpt, lookup=s.lookup)
+    return store.read("covid_data_us").unionByName(store.read("covid_data_non_us"))
+
+
+# -- single statements on data that meets their cases --------------------------
+
+@register("patch_rows", _sql(body="""SELECT * REPLACE (
+  CASE WHEN location_identifier = 1001 THEN 'Patched' ELSE province_or_state END AS province_or_state,
+  CASE WHEN location_identifier = 1001 THEN 7.0 ELSE location_population END AS location_population)
+FROM location_lookup"""))
+def _patch_rows(s: Scenario) -> DataFrame:
+    """UPDATE of one key that exists."""
+    return patch_rows(s.lookup, F.col("location_identifier") == 1001,
+                      {"province_or_state": "Patched", "location_population": 7})
+
+
+@register("insert_narrowing", """SELECT o_orderkey AS location_identifier, CAST(o_orderdate AS DATE) AS file_date,
+  CAST(round_even(o_totalprice, 0) AS BIGINT) AS ttl_confirmed_cases, CAST(NULL AS BIGINT) AS ttl_deaths
+FROM orders""")
+def _insert_narrowing(s: Scenario) -> DataFrame:
+    """INSERT with a column list: fractions go to integers by rounding half to
+    even, a column that is not given is NULL."""
+    target = T.StructType([f for f in COVID_FACT.fields if f.name in ("file_date", "ttl_confirmed_cases", "ttl_deaths")])
+    target = T.StructType([T.StructField("location_identifier", T.LongType()), *target.fields])
+    o = s.src.table("orders", "o_orderkey", "o_orderdate", "o_totalprice")
+    return conform(o.toDF("location_identifier", "file_date", "ttl_confirmed_cases"), target)
+
+
+_TIED = "tied AS (SELECT * REPLACE (date_trunc('year', last_update_dts) AS last_update_dts) FROM covid_fixed)"
+
+
+@register("tied_reports", _sql(_TIED, body=f"""SELECT * FROM (
+{O.covid_batch_sql('tied', 'us')} UNION ALL {O.covid_batch_sql('tied', 'non_us')}) b"""))
+def _tied_reports(s: Scenario) -> DataFrame:
+    """Dedup where many reports of a place and day carry the same time."""
+    year = F.date_trunc("year", F.col("last_update_dts")).cast("timestamp_ntz")
+    return covid_batch(s.covid_fixed.withColumn("last_update_dts", year), s.lookup).drop("_scope")
+
+
+_DIRTY = """dirty AS (SELECT location_identifier, file_date FROM covid_us
+  UNION ALL SELECT location_identifier, file_date FROM covid_us WHERE location_granularity = 'state'
+  UNION ALL SELECT location_identifier, NULL FROM covid_us WHERE location_granularity = 'county')"""
+
+
+@register("dq_report_dirty", _sql(O.covid_fact_ctes("us"), _DIRTY, """m AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE file_date IS NULL) AS nulls,
+         count(*) FILTER (WHERE file_date IS NOT NULL)
+           - count(DISTINCT CASE WHEN file_date IS NOT NULL THEN (location_identifier, file_date) END) AS dups
+  FROM dirty)""", body="""SELECT 'dirty' AS table_name, c.check_name,
+  CAST(CASE c.check_name WHEN 'has_rows' THEN n WHEN 'check_nulls' THEN nulls ELSE dups END AS BIGINT) AS value,
+  c.check_name = 'has_rows' AS passed
+FROM m, (VALUES ('has_rows'), ('check_nulls'), ('check_duplicates')) c(check_name)"""))
+def _dq_report_dirty(s: Scenario) -> DataFrame:
+    """The gate on a table with repeated keys and keys without a date."""
+    fact = s.covid_fact("us")
+    again = fact.filter("location_granularity = 'state'")
+    undated = fact.filter("location_granularity = 'county'").withColumn("file_date", F.lit(None).cast("date"))
+    return quality_report({"dirty": fact.unionByName(again).unionByName(undated)}, {"dirty": FACT_KEY})

@@ -1,27 +1,41 @@
-"""End-to-end batch jobs: daily load, backfill, historical load.
+"""End-to-end batch jobs: land, daily load, backfill, historical load.
 
-Each job is a chain of lazy DataFrames; work runs only at the staging
-checks, the materialised dimension, the version writes and the final
-checks. New versions become visible only after the final checks pass.
+A load writes each staging table once, builds the dimension, conforms both
+scopes of each source in one pass, merges the batch into the months of the
+facts that it touches, checks what it has staged, and only then publishes:
+the dimension first, so facts never name an unknown place, then the facts'
+months. Every step is keyed, so running a load again after a failure completes
+it. Staging tables and scratch files are removed at the end.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locus.functions.recode import recode
-from locus.operators.covid import load_covid_fact
-from locus.operators.locations import upsert_location_dim, with_missing_locations
-from locus.operators.mobility import load_mobility_fact
+from locus.operators.covid import covid_batch
+from locus.operators.deltas import refresh_deltas
+from locus.operators.dml import conform, upsert
+from locus.operators.locations import NEW_LOCATION_OFFSET, upsert_location_dim, with_missing_locations
+from locus.operators.mobility import conform_mobility_all, latest_mobility
 from locus.operators.quality import assert_quality, quality_report
-from locus.schemas import LOCATION_LOOKUP, LOOKUP_STAGING, MOBILITY_STAGING, TABLE_KEYS
-from locus.session import materialize
-from locus.sources.readers import ensure_not_empty, read_case_reports, read_psv, source_paths
+from locus.schemas import (
+    CASE_REPORT_FIELDS, COVID_FACT, COVID_STAGING, FACT_KEY, LOCATION_LOOKUP, LOOKUP_STAGING, MOBILITY_CONFORMED,
+    MOBILITY_FACT, MOBILITY_STAGING, STAGING_TABLES, TABLE_KEYS,
+)
+from locus.session import materialize, scratch_scope
+from locus.sources.readers import (
+    ensure_each_not_empty, ensure_not_empty, normalize_case_report, read_case_reports, read_psv, read_source_csv,
+    source_paths,
+)
 from locus.sources.tables import TableStore
+from locus.sources.writers import land_json
 
 SCOPES = ("us", "non_us")
 
@@ -43,78 +57,206 @@ LOOKUP_SOURCE_HEADER = [
 
 
 def _header_schema(names):
-    from pyspark.sql import types as T
-
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+# -- landing ------------------------------------------------------------------
+
+def land_reports(spark: SparkSession, raw: str, landed: str, dates: Iterable[dt.date]) -> list[str]:
+    """Raw comma CSV reports of some days -> normalised JSON lines, one folder
+    per day. Both are path templates with ``{file_date}``."""
+    out = []
+    for day in sorted(dates):
+        source, target = source_paths(raw, [day])[0], source_paths(landed, [day])[0]
+        report = ensure_not_empty(read_source_csv(spark, source), source)
+        out.append(land_json(normalize_case_report(report, day), target))
+    return out
+
+
+# -- facts --------------------------------------------------------------------
+
+def _month(col: str = "file_date"):
+    return F.date_format(col, "yyyy-MM")
+
+
+def _months_of(df: DataFrame) -> list[str]:
+    """The months of a batch (a few)."""
+    return sorted(r[0] for r in df.select(_month().alias("m")).distinct().collect() if r[0])
+
+
+def _span(months: list[str], known: list[str]) -> list[str]:
+    """All known months from the first to the last of ``months``."""
+    return sorted({m for m in known if months[0] <= m <= months[-1]} | set(months))
+
+
+def _months_after(store: TableStore, table: str, batch: DataFrame, first: str, known: list[str]) -> list[str]:
+    """Months of rows that follow a row of the batch in their location's
+    series: their delta changes too."""
+    later = [m for m in known if m >= first]
+    if not later:
+        return []
+    places = batch.select("location_identifier").distinct()
+    old = store.read(table, later).select(*FACT_KEY).join(places, "location_identifier", "left_semi")
+    both = old.withColumn("new", F.lit(0)).unionByName(batch.select(*FACT_KEY).withColumn("new", F.lit(1)))
+    series = both.groupBy(*FACT_KEY).agg(F.max("new").alias("new"))
+    w = Window.partitionBy("location_identifier").orderBy("file_date")
+    after = series.withColumn("prev", F.lag("new").over(w)).filter((F.col("new") == 0) & (F.col("prev") == 1))
+    return _months_of(after)
+
+
+def _context(store: TableStore, table: str, batch: DataFrame, earlier: list[str]) -> DataFrame:
+    """Each touched location's last row in the ``earlier`` months, looked for
+    in the last one, then a year, then all of the history."""
+    places = batch.select("location_identifier").distinct()
+    w = Window.partitionBy("location_identifier").orderBy(F.col("file_date").desc())
+    found = None
+    for count in (1, 12, len(earlier)):
+        months, earlier = earlier[-count:], earlier[:-count] if count else []
+        rows = store.read(table, months).join(places, "location_identifier", "left_semi")
+        rows = materialize(rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"), "context")
+        found = rows if found is None else found.unionByName(rows)
+        places = materialize(places.join(rows, "location_identifier", "left_anti"), "context")
+        if not earlier or places.isEmpty():
+            break
+    return found
+
+
+def stage_fact_months(store: TableStore, table: str, batch: DataFrame, with_deltas: bool) -> DataFrame | None:
+    """The new content of every month of ``table`` that ``batch`` (written,
+    de-duplicated) changes, written to scratch; None for an empty batch."""
+    if batch.isEmpty():
+        return None
+    columns = batch.columns
+    touched, known = _months_of(batch), store.months(table)
+    if not touched:  # no date at all: the gate refuses these rows
+        return batch
+    if with_deltas:
+        touched = sorted({*touched, *_months_after(store, table, batch, touched[0], known)})
+        touched = _span(touched, known)
+    merged = upsert(store.read(table, touched).select(*columns), batch, FACT_KEY, unique_keys=True)
+    if with_deltas:
+        earlier = [m for m in known if m < touched[0]]
+        if earlier:
+            merged = merged.unionByName(_context(store, table, batch, earlier).select(*columns))
+        merged = refresh_deltas(merged, batch).filter(F.col("file_date").isNull() | (_month() >= touched[0]))
+    return materialize(merged.select(*columns), f"months_{table}")
+
+
+def gate_and_publish(store: TableStore, facts: Mapping[str, DataFrame | None],
+                     dimension: DataFrame | None = None) -> None:
+    """Check everything that is staged (months that are not rewritten cannot
+    gain a fault: fact keys hold the date), then publish it. With a dimension
+    it is a whole load, after which no table may be empty."""
+    staged = {t: df for t, df in facts.items() if df is not None}
+    if dimension is not None:
+        bare = [t for t in facts if t not in staged and store.read(t).isEmpty()]
+        if bare:
+            raise ValueError(f"load refused by its quality gate: no rows for {', '.join(bare)}")
+    checked = staged | ({"location_lookup": dimension} if dimension is not None else {})
+    if checked:
+        assert_quality(quality_report(checked, TABLE_KEYS))
+    if dimension is not None:
+        store.publish("location_lookup", dimension)
+    for table, df in staged.items():
+        store.replace_months(table, df)
+
+
+def load_covid_months(store: TableStore, covid: DataFrame, dim: DataFrame) -> dict[str, DataFrame | None]:
+    """Staged months of both case facts: one routing pass, one dedup."""
+    batch = materialize(covid_batch(recode(covid, "admin2"), dim), "covid_batch")
+    return {
+        f"covid_data_{scope}": stage_fact_months(
+            store, f"covid_data_{scope}",
+            batch.filter(F.col("_scope") == scope).select(*COVID_FACT.fieldNames()), with_deltas=True)
+        for scope in SCOPES
+    }
+
+
+def load_mobility_months(store: TableStore, mobility: DataFrame, dim: DataFrame) -> dict[str, DataFrame | None]:
+    """Staged months of both mobility facts. The conformed rows are written to
+    their two staging tables on the way."""
+    conformed = materialize(conform_mobility_all(mobility, dim), "mobility_conformed")
+    for scope in SCOPES:
+        rows = conformed.filter(F.col("_scope") == scope).drop("_scope").distinct()
+        store.publish(f"google_mobility_data_{scope}_staging", conform(rows, MOBILITY_CONFORMED))
+    out = {}
+    for scope in SCOPES:
+        table = f"google_mobility_data_{scope}"
+        batch = materialize(latest_mobility(store.read(f"{table}_staging")), f"batch_{table}")
+        out[table] = stage_fact_months(store, table, batch.select(*MOBILITY_FACT.fieldNames()), with_deltas=False)
+    return out
+
+
+# -- loads --------------------------------------------------------------------
+
+def load_staging(store: TableStore, name: str, rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Truncate and load one staging table: the source is parsed once, here.
+    The rebalance spreads what one unsplittable file put into one task."""
+    store.publish(name, conform(rows, schema).hint("rebalance"))
+    return ensure_not_empty(store.read(name), name)
+
+
 def run_load(
     spark: SparkSession,
     store: TableStore,
     covid: DataFrame,
-    lookup_staging: DataFrame,
+    lookup: DataFrame,
     mobility: DataFrame,
-    deltas: str = "full",
-) -> dict[str, str]:
-    """One load of the three staged sources into the five final tables."""
-    for name, df in (("covid_data_staging", covid), ("location_lookup_staging", lookup_staging),
-                     ("google_mobility_data_staging", mobility)):
-        ensure_not_empty(df, name)
-
-    # dimension: upsert + known fixes, then places only mobility knows
-    dim = materialize(upsert_location_dim(store.read("location_lookup"), lookup_staging), "dim_upserted")
-    dim = materialize(with_missing_locations(dim, mobility).select(*LOCATION_LOOKUP.fieldNames()), "dim")
-
-    fixed = recode(covid, "admin2")
-    staged: dict[str, str] = {"location_lookup": store.stage("location_lookup", dim)}
-    for scope in SCOPES:
-        t = f"covid_data_{scope}"
-        staged[t] = store.stage(t, load_covid_fact(store.read(t), fixed, dim, scope, deltas=deltas))
-        t = f"google_mobility_data_{scope}"
-        staged[t] = store.stage(t, load_mobility_fact(store.read(t), mobility, dim, scope))
+    key_offset: int = NEW_LOCATION_OFFSET,
+    keep_staging: bool = False,
+) -> None:
+    """One load of the three sources into the five final tables.
+
+    ``key_offset``: new places get ids that far above the current maximum;
+    choose a smaller one before repeated loads reach the end of INT."""
+    with scratch_scope(spark):
+        covid = load_staging(store, "covid_data_staging", covid, COVID_STAGING)
+        lookup = load_staging(store, "location_lookup_staging", lookup, LOOKUP_STAGING)
+        mobility = load_staging(store, "google_mobility_data_staging", mobility, MOBILITY_STAGING)
+        # dimension: upsert + known fixes, then places only mobility knows
+        dim = materialize(upsert_location_dim(store.read("location_lookup"), lookup), "dim_upserted")
+        dim = with_missing_locations(dim, mobility, key_offset=key_offset)
+        dim = materialize(dim.select(*LOCATION_LOOKUP.fieldNames()), "dim")
+        facts = load_covid_months(store, covid, dim) | load_mobility_months(store, mobility, dim)
+        gate_and_publish(store, facts, dim)
+        if not keep_staging:
+            cleanup_staging(store)
+
 
-    # gate the new versions, then make them current
-    report = quality_report({t: spark.read.parquet(p) for t, p in staged.items()}, TABLE_KEYS)
-    assert_quality(report)
-    for t, p in staged.items():
-        store.commit(t, p)
-    return staged
+def read_lookup(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    rows = read_psv(spark, paths, LOOKUP_STAGING, _header_schema(LOOKUP_SOURCE_HEADER))
+    return ensure_each_not_empty(rows, paths)
 
 
 def run_daily(spark: SparkSession, store: TableStore, run_date: dt.date, sources: SourceTemplates,
-              deltas: str = "touched") -> dict[str, str]:
-    """Load the files of the previous day (the run processes yesterday's data).
+              fields: Mapping[str, str] = CASE_REPORT_FIELDS, key_offset: int = NEW_LOCATION_OFFSET) -> None:
+    """Load the files of the previous day (the run processes yesterday's data)."""
+    run_backfill(spark, store, [run_date - dt.timedelta(days=1)], sources, fields, key_offset)
 
-    Deltas are refreshed only from each touched location's first new day on
-    (``refresh_deltas``), not over the whole history."""
-    return run_backfill(spark, store, [run_date - dt.timedelta(days=1)], sources, deltas)
 
+def run_backfill(spark: SparkSession, store: TableStore, dates: Iterable[dt.date], sources: SourceTemplates,
+                 fields: Mapping[str, str] = CASE_REPORT_FIELDS, key_offset: int = NEW_LOCATION_OFFSET) -> None:
+    """Load several days, in date order, each with its own three files.
 
-def run_backfill(spark: SparkSession, store: TableStore, dates: Iterable[dt.date],
-                 sources: SourceTemplates, deltas: str = "touched") -> dict[str, str]:
-    """Load several days in one job: every reader takes the list of paths,
-    dedup and upsert are keyed by (location, date), so one pass equals
-    day-by-day runs in date order."""
-    dates = sorted(dates)
-    covid = read_case_reports(spark, source_paths(sources.covid, dates))
-    lookup = read_psv(spark, source_paths(sources.lookup, dates[-1:]), LOOKUP_STAGING,
-                      _header_schema(LOOKUP_SOURCE_HEADER))
-    mobility = read_psv(spark, source_paths(sources.mobility, dates[-1:]), MOBILITY_STAGING)
-    return run_load(spark, store, covid, lookup, mobility, deltas=deltas)
+    A day's files are conformed with the dimension as it stands that day, and
+    ids of new places follow from it, so the days are loaded one after the
+    other; each touches its own months only. ``fields`` maps the reports' keys
+    to staging columns."""
+    for day in sorted(dates):
+        covid, lookup, mobility = (source_paths(t, [day]) for t in (sources.covid, sources.lookup, sources.mobility))
+        run_load(spark, store, read_case_reports(spark, covid, fields), read_lookup(spark, lookup),
+                 read_psv(spark, mobility, MOBILITY_STAGING), key_offset)
 
 
 def run_historical(spark: SparkSession, store: TableStore, covid_prefix: str, lookup_path: str,
-                   mobility_path: str) -> dict[str, str]:
+                   mobility_path: str, fields: Mapping[str, str] = CASE_REPORT_FIELDS) -> None:
     """All past case reports under a prefix (glob) plus one snapshot of the
     lookup and mobility files."""
-    covid = read_case_reports(spark, covid_prefix)
-    lookup = read_psv(spark, lookup_path, LOOKUP_STAGING, _header_schema(LOOKUP_SOURCE_HEADER))
-    mobility = read_psv(spark, mobility_path, MOBILITY_STAGING)
-    return run_load(spark, store, covid, lookup, mobility)
+    run_load(spark, store, read_case_reports(spark, covid_prefix, fields), read_lookup(spark, lookup_path),
+             read_psv(spark, mobility_path, MOBILITY_STAGING))
 
 
 def cleanup_staging(store: TableStore) -> None:
-    """DROP TABLE IF EXISTS for the staging tables."""
-    for name in ("covid_data_staging", "google_mobility_data_staging", "google_mobility_data_us_staging",
-                 "google_mobility_data_non_us_staging", "location_lookup_staging"):
-        store.drop(name)
+    """DROP TABLE IF EXISTS for the staging tables, files included."""
+    for name in STAGING_TABLES:
+        store.drop(name, purge=True)

@@ -8,20 +8,20 @@ overlapping batch) -> analytics. Nothing here collects.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.functions.recode import recode
-from locus.operators.covid import load_covid_fact
 from locus.operators.dml import empty_like
 from locus.operators.locations import upsert_location_dim, with_missing_locations
-from locus.operators.mobility import load_mobility_fact
 from locus.plans.adapters import Adapters
-from locus.schemas import COVID_FACT, LOCATION_LOOKUP, MOBILITY_FACT
-from locus.session import materialize
+from locus.plans.jobs import gate_and_publish, load_covid_months, load_mobility_months
+from locus.schemas import LOCATION_LOOKUP
+from locus.session import file_system, materialize, scratch_path
+from locus.sources.tables import TableStore
 
 # The fact built from reports before SPLIT_OLD is the existing table; the
 # batch holds every report from SPLIT_NEW on (half a year of overlap).
@@ -29,21 +29,27 @@ SPLIT_OLD = dt.date(2000, 1, 1)
 SPLIT_NEW = dt.date(1999, 7, 1)
 
 
-_SHARED: dict[tuple[str, str], "Scenario"] = {}
+_SHARED: dict[tuple, "Scenario"] = {}
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files, so that changed input is
+    never answered from tables built before."""
+    fs, p = file_system(spark, sf_dir)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))
 
 
 @dataclass
 class Scenario:
     spark: SparkSession
     sf_dir: str
-    _facts: dict = field(default_factory=dict)
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Scenario":
-        """One scenario per application and input folder: its materialised
-        tables (dimension, fact batches) are immutable, so every registered
-        query of a session reuses them, as reports reuse published tables."""
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        """One scenario per application and state of the input folder: every
+        registered query of a session reuses its published tables, as reports
+        do."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _input_state(spark, sf_dir))
         if key not in _SHARED:
             _SHARED[key] = cls(spark, sf_dir)
         return _SHARED[key]
@@ -83,22 +89,31 @@ class Scenario:
     def covid_fixed(self) -> DataFrame:
         return recode(self.covid_staging, "admin2")
 
+    @cached_property
+    def store(self) -> TableStore:
+        return TableStore(self.spark, scratch_path(self.spark, "warehouse"))
+
+    @cached_property
+    def covid_facts(self) -> TableStore:
+        """Both case facts, published: the history before SPLIT_OLD, then the
+        overlapping batch merged into the months it touches."""
+        for rows in (self.covid_staging.filter(F.col("file_date") < F.lit(SPLIT_OLD)),
+                     self.covid_staging.filter(F.col("file_date") >= F.lit(SPLIT_NEW))):
+            gate_and_publish(self.store, load_covid_months(self.store, rows, self.lookup))
+        return self.store
+
+    @cached_property
+    def mobility_facts(self) -> TableStore:
+        for rows in (self.mobility_staging.filter(F.col("date") < F.lit(SPLIT_OLD)),
+                     self.mobility_staging.filter(F.col("date") >= F.lit(SPLIT_NEW))):
+            gate_and_publish(self.store, load_mobility_months(self.store, rows, self.lookup))
+        return self.store
+
     def covid_fact(self, scope: str) -> DataFrame:
-        if ("covid", scope) not in self._facts:
-            old = self.covid_fixed.filter(F.col("file_date") < F.lit(SPLIT_OLD))
-            new = self.covid_fixed.filter(F.col("file_date") >= F.lit(SPLIT_NEW))
-            final = load_covid_fact(empty_like(self.spark, COVID_FACT), old, self.lookup, scope)
-            self._facts[("covid", scope)] = load_covid_fact(final, new, self.lookup, scope)
-        return self._facts[("covid", scope)]
+        return self.covid_facts.read(f"covid_data_{scope}")
 
     def mobility_fact(self, scope: str) -> DataFrame:
-        if ("mobility", scope) not in self._facts:
-            mob = self.mobility_staging
-            old = mob.filter(F.col("date") < F.lit(SPLIT_OLD))
-            new = mob.filter(F.col("date") >= F.lit(SPLIT_NEW))
-            final = load_mobility_fact(empty_like(self.spark, MOBILITY_FACT), old, self.lookup, scope)
-            self._facts[("mobility", scope)] = load_mobility_fact(final, new, self.lookup, scope)
-        return self._facts[("mobility", scope)]
+        return self.mobility_facts.read(f"google_mobility_data_{scope}")
 
     def final_tables(self) -> dict[str, DataFrame]:
         return {

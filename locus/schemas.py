@@ -6,6 +6,8 @@ these declared types (positional for delimited files, by name for JSON).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import types as T
 
 S, D, L, I, DT, TS = (
@@ -139,20 +141,21 @@ CASE_REPORT_FIELDS = {
     "file_date": "file_date",
 }
 
-# Landed JSON keeps text for everything that needs parsing (timestamps,
-# MM-dd-yyyy dates, FIPS codes); numbers stay numbers.
-CASE_REPORT_RAW = T.StructType(
-    [
-        T.StructField(
-            src,
-            S
-            if COVID_STAGING[dst].dataType in (S, TS, DT)
-            else COVID_STAGING[dst].dataType,
-            True,
-        )
-        for src, dst in CASE_REPORT_FIELDS.items()
-    ]
-)
+
+def raw_report_schema(fields: Mapping[str, str] = CASE_REPORT_FIELDS) -> T.StructType:
+    """Landed JSON is read as text (a number's literal as it stands) and parsed
+    with checks, so that no value is lost to a wrong declared type."""
+    return T.StructType([T.StructField(src, S, True) for src in fields])
+
+
+CASE_REPORT_RAW = raw_report_schema()
+
+# Columns of the landed report that are numbers there.
+CASE_REPORT_NUMBERS = {
+    src: COVID_STAGING[dst].dataType
+    for src, dst in CASE_REPORT_FIELDS.items()
+    if COVID_STAGING[dst].dataType in (D, L)
+}
 
 STAGING_TABLES = {
     "covid_data_staging": COVID_STAGING,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,14 +43,15 @@ def get_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the operator (a folder every executor
-    can reach). Only a local session without it gets a private folder.
+    can reach). Only a session that runs in this one process (tests, bench)
+    and has none set gets a private folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -64,19 +66,51 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Paths given out inside a scratch scope, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path below the shared folder."""
-    root = checkpoint_root(spark)
-    path = f"{root}/locus-scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
+    """A fresh, never reused path below the shared folder (Spark's writers
+    create it)."""
+    path = f"{checkpoint_root(spark)}/locus-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of ``path``, whatever store it is in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are deleted at the end: for jobs whose
+    results are published elsewhere by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_path(spark, path)
+
+
 def materialize(df, name: str):
     """Cut lineage: write ``df`` as parquet below the shared folder, read it
     back. Computes the plan once (a reliable checkpoint computes it twice),
     survives executor loss, and gives the planner exact size statistics."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,20 +3,24 @@
 The file source remembers which report files it has processed (in the
 checkpoint), so each run picks up only new daily files. History-dependent
 work (dedup, keyed upsert, LAG deltas) runs per micro-batch inside
-``foreachBatch`` against the current published fact: non-time windows are
-not allowed on a stream, and a replayed batch simply upserts the same rows
-again (idempotent), so a restart after a failure gives the same table.
+``foreachBatch`` against the months of the published facts that the batch
+touches: non-time windows are not allowed on a stream, and a replayed batch
+simply upserts the same rows again (idempotent), so a restart after a failure
+gives the same tables. The batch loads' quality gate applies.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
-from locus.functions.recode import recode
-from locus.operators.covid import load_covid_fact
+from locus.plans.jobs import gate_and_publish, load_covid_months
+from locus.schemas import CASE_REPORT_FIELDS, COVID_STAGING, raw_report_schema
+from locus.operators.dml import conform
+from locus.session import materialize, scratch_scope
 from locus.sources.readers import parse_case_reports
 from locus.sources.tables import TableStore
-from locus.schemas import CASE_REPORT_RAW
 
 
 def ingest_new_reports(
@@ -25,8 +29,8 @@ def ingest_new_reports(
     store: TableStore,
     checkpoint: str,
     lookup: DataFrame | None = None,
-    scopes: tuple[str, ...] = ("us", "non_us"),
     max_files_per_trigger: int | None = None,
+    fields: Mapping[str, str] = CASE_REPORT_FIELDS,
 ) -> int:
     """Process every report file not seen before, then stop (availableNow).
 
@@ -34,18 +38,17 @@ def ingest_new_reports(
     defaults to the published location dimension. Returns the number of
     micro-batches run.
     """
-    reader = spark.readStream.schema(CASE_REPORT_RAW)
+    reader = spark.readStream.schema(raw_report_schema(fields)).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    reports = parse_case_reports(reader.json(landing))
+    reports = parse_case_reports(reader.json(landing), fields)
     batches: list[int] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
         dim = lookup if lookup is not None else store.read("location_lookup")
-        fixed = recode(batch, "admin2")
-        for scope in scopes:
-            table = f"covid_data_{scope}"
-            store.publish(table, load_covid_fact(store.read(table), fixed, dim, scope))
+        with scratch_scope(spark):
+            staged = materialize(conform(batch, COVID_STAGING), "stream_batch")
+            gate_and_publish(store, load_covid_months(store, staged, dim))
         batches.append(batch_id)
 
     query = (

@@ -106,3 +106,15 @@ def test_touched_load_equals_full_load(spark):
         full = load_covid_fact(final, new, s.lookup, scope, deltas="full")
         inc = load_covid_fact(final, new, s.lookup, scope, deltas="touched")
         assert rows(inc, *full.columns) == rows(full, *full.columns)
+
+
+def test_refresh_keeps_rows_without_a_date(spark):
+    import datetime as dt
+
+    cols = "location_identifier int, file_date date, ttl_confirmed_cases long, ttl_deaths long, ttl_recovered_cases long, " \
+           "new_confirmed_cases int, new_deaths int, new_recoveries int"
+    rows = [(1, dt.date(2020, 1, 1), 5, 1, 1, 5, 1, 1), (1, None, 7, 1, 1, 7, 1, 1), (2, None, 3, 0, 0, 3, 0, 0),
+            (None, dt.date(2020, 1, 2), 1, 1, 1, 1, 1, 1)]
+    fact = spark.createDataFrame(rows, cols)
+    keys = spark.createDataFrame([(1, dt.date(2020, 1, 1))], "location_identifier int, file_date date")
+    assert refresh_deltas(fact, keys).count() == 4

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from locus.schemas import LOOKUP_STAGING
 from locus.sources.readers import (
+    ensure_each_not_empty,
     ensure_not_empty,
     normalize_case_report,
     read_case_reports,
@@ -36,8 +37,54 @@ def test_psv_header_mismatch(spark, tmp_dir):
     os.makedirs(tmp_dir)
     with gzip.open(f"{tmp_dir}/f.psv.gz", "wt") as f:
         f.write("a|b\n1|2\n")
-    with pytest.raises(ValueError, match="header mismatch"):
-        read_psv(spark, tmp_dir, LOOKUP_STAGING)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_psv(spark, tmp_dir, LOOKUP_STAGING).collect()
+
+
+def test_psv_second_file_with_swapped_columns(spark, tmp_dir):
+    os.makedirs(tmp_dir)
+    names = LOOKUP_STAGING.fieldNames()
+    for n, header in enumerate((names, [names[1], names[0], *names[2:]])):
+        with gzip.open(f"{tmp_dir}/f{n}.psv.gz", "wt") as f:
+            f.write("|".join(header) + "\n" + "|".join(["1"] * len(names)) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_psv(spark, [f"{tmp_dir}/f0.psv.gz", f"{tmp_dir}/f1.psv.gz"], LOOKUP_STAGING).collect()
+
+
+def _reports(tmp_dir, *lines):
+    os.makedirs(tmp_dir)
+    with open(f"{tmp_dir}/r.json", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return f"{tmp_dir}/r.json"
+
+
+def test_counts_written_as_floats_are_kept(spark, tmp_dir):
+    path = _reports(tmp_dir, '{"Confirmed": 5.0, "Deaths": "7", "Active": 1.5, "Last_Update": "", "file_date": "03-04-2021"}')
+    row = read_case_reports(spark, path).first()
+    assert (row["confirmed"], row["deaths"], row["active"], row["last_update_dts"]) == (5, 7, 1.5, None)
+    assert row["file_date"] == dt.date(2021, 3, 4)
+
+
+@pytest.mark.parametrize("line,what", [
+    ('{"Confirmed": 5.5}', "not whole"), ('{"Confirmed": "many"}', "unreadable number"),
+    ('{"Last_Update": "4th of May"}', "unreadable timestamp"), ('{"file_date": "2021-03-04"}', "unreadable date"),
+    ('{"Confirmed": 1, ', "(?i)malformed"), ('{"Lat": "north"}', "unreadable number"),
+])
+def test_unreadable_values_stop_the_read(spark, tmp_dir, line, what):
+    with pytest.raises(Exception, match=what):
+        read_case_reports(spark, _reports(tmp_dir, line)).collect()
+
+
+def test_every_listed_file_must_have_rows(spark, tmp_dir):
+    os.makedirs(tmp_dir)
+    names = LOOKUP_STAGING.fieldNames()
+    for n, rows in enumerate((["|".join(["1"] * len(names))], [])):
+        with gzip.open(f"{tmp_dir}/f {n}.psv.gz", "wt") as f:
+            f.write("\n".join(["|".join(names), *rows]) + "\n")
+    paths = [f"{tmp_dir}/f 0.psv.gz", f"{tmp_dir}/f 1.psv.gz"]
+    assert ensure_each_not_empty(read_psv(spark, paths[:1], LOOKUP_STAGING), paths[:1]).count() == 1
+    with pytest.raises(ValueError, match="f 1.psv.gz is empty"):
+        ensure_each_not_empty(read_psv(spark, paths, LOOKUP_STAGING), paths)
 
 
 def test_case_reports_aliases_formats_prefix_and_missing_keys(spark, tmp_dir):
@@ -60,7 +107,7 @@ def test_case_reports_aliases_formats_prefix_and_missing_keys(spark, tmp_dir):
 
 
 def test_empty_source_raises(spark, tmp_dir):
-    with pytest.raises(ValueError, match="no data"):
+    with pytest.raises(ValueError, match="is empty"):
         ensure_not_empty(spark.createDataFrame([], "a int"), "covid")
 
 
@@ -77,3 +124,50 @@ def test_table_store_versions(spark, tmp_dir):
     assert [r[0] for r in store.list_tables().collect()] == ["t1", "t2"]
     store.drop("t2")
     assert [r[0] for r in store.list_tables().collect()] == ["t1"]
+
+
+def test_unreadable_log_is_not_an_absent_table(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    store.publish("t1", spark.createDataFrame([(1,)], "a int"))
+    log = [f for f in os.listdir(f"{tmp_dir}/t1/_log") if f.startswith("part")]
+    with open(f"{tmp_dir}/t1/_log/zz-damaged.json", "w") as f:
+        f.write('{"seq": ')
+    assert log
+    with pytest.raises(Exception, match="(?i)malformed"):
+        store.read("t1")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        store.list_tables().collect()
+
+
+def test_month_replacement_keeps_other_months(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    cols = "location_identifier int, file_date date, ttl_confirmed_cases long"
+    full = store.schemas["covid_data_us"].fieldNames()
+
+    def fact(rows):
+        df = spark.createDataFrame(rows, cols)
+        have = store.read("covid_data_us").select(*full).limit(0)
+        return have.unionByName(df, allowMissingColumns=True)
+
+    store.publish("covid_data_us", fact([(1, dt.date(2020, 1, 5), 1), (1, dt.date(2020, 2, 5), 2)]))
+    where = store.current_path("covid_data_us")
+
+    def files():
+        return {(d, f) for d, _, names in os.walk(where) for f in names if f.startswith("part")}
+
+    before = files()
+    store.replace_months("covid_data_us", fact([(1, dt.date(2020, 2, 5), 9)]))
+    after = files()
+    assert {x for x in before if "2020-01" in x[0]} == {x for x in after if "2020-01" in x[0]}
+    assert {x for x in before if "2020-02" in x[0]}.isdisjoint(after)
+    got = sorted((r["file_date"].month, r["ttl_confirmed_cases"]) for r in store.read("covid_data_us").collect())
+    assert got == [(1, 1), (2, 9)]
+    assert store.months("covid_data_us") == ["2020-01", "2020-02"]
+    assert store.read("covid_data_us", ["2020-02"]).count() == 1
+
+
+def test_empty_fact_is_readable(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    store.create_all()
+    assert store.read("covid_data_non_us").count() == 0 and store.months("covid_data_non_us") == []
+    assert store.list_tables().count() == 10
