@@ -11,8 +11,10 @@ it. Staging tables and scratch files are removed at the end.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -75,6 +77,13 @@ def land_reports(spark: SparkSession, raw: str, landed: str, dates: Iterable[dt.
 
 # -- facts --------------------------------------------------------------------
 
+def together(jobs: Mapping[str, Callable[[], object]]) -> dict:
+    """Run independent Spark jobs side by side (the scheduler shares the cores)."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 def _month(col: str = "file_date"):
     return F.date_format(col, "yyyy-MM")
 
@@ -157,34 +166,33 @@ def gate_and_publish(store: TableStore, facts: Mapping[str, DataFrame | None],
         assert_quality(quality_report(checked, TABLE_KEYS))
     if dimension is not None:
         store.publish("location_lookup", dimension)
-    for table, df in staged.items():
-        store.replace_months(table, df)
+    together({table: partial(store.replace_months, table, df) for table, df in staged.items()})
 
 
 def load_covid_months(store: TableStore, covid: DataFrame, dim: DataFrame) -> dict[str, DataFrame | None]:
     """Staged months of both case facts: one routing pass, one dedup."""
     batch = materialize(covid_batch(recode(covid, "admin2"), dim), "covid_batch")
-    return {
-        f"covid_data_{scope}": stage_fact_months(
-            store, f"covid_data_{scope}",
-            batch.filter(F.col("_scope") == scope).select(*COVID_FACT.fieldNames()), with_deltas=True)
-        for scope in SCOPES
-    }
+
+    def stage(scope: str) -> DataFrame | None:
+        rows = batch.filter(F.col("_scope") == scope).select(*COVID_FACT.fieldNames())
+        return stage_fact_months(store, f"covid_data_{scope}", rows, with_deltas=True)
+
+    return together({f"covid_data_{scope}": partial(stage, scope) for scope in SCOPES})
 
 
 def load_mobility_months(store: TableStore, mobility: DataFrame, dim: DataFrame) -> dict[str, DataFrame | None]:
     """Staged months of both mobility facts. The conformed rows are written to
     their two staging tables on the way."""
     conformed = materialize(conform_mobility_all(mobility, dim), "mobility_conformed")
-    for scope in SCOPES:
-        rows = conformed.filter(F.col("_scope") == scope).drop("_scope").distinct()
-        store.publish(f"google_mobility_data_{scope}_staging", conform(rows, MOBILITY_CONFORMED))
-    out = {}
-    for scope in SCOPES:
+
+    def stage(scope: str) -> DataFrame | None:
         table = f"google_mobility_data_{scope}"
+        rows = conformed.filter(F.col("_scope") == scope).drop("_scope").distinct()
+        store.publish(f"{table}_staging", conform(rows, MOBILITY_CONFORMED))
         batch = materialize(latest_mobility(store.read(f"{table}_staging")), f"batch_{table}")
-        out[table] = stage_fact_months(store, table, batch.select(*MOBILITY_FACT.fieldNames()), with_deltas=False)
-    return out
+        return stage_fact_months(store, table, batch.select(*MOBILITY_FACT.fieldNames()), with_deltas=False)
+
+    return together({f"google_mobility_data_{scope}": partial(stage, scope) for scope in SCOPES})
 
 
 # -- loads --------------------------------------------------------------------
@@ -217,8 +225,9 @@ def run_load(
         dim = materialize(upsert_location_dim(store.read("location_lookup"), lookup), "dim_upserted")
         dim = with_missing_locations(dim, mobility, key_offset=key_offset)
         dim = materialize(dim.select(*LOCATION_LOOKUP.fieldNames()), "dim")
-        facts = load_covid_months(store, covid, dim) | load_mobility_months(store, mobility, dim)
-        gate_and_publish(store, facts, dim)
+        loads = together({"covid": partial(load_covid_months, store, covid, dim),
+                          "mobility": partial(load_mobility_months, store, mobility, dim)})
+        gate_and_publish(store, loads["covid"] | loads["mobility"], dim)
         if not keep_staging:
             cleanup_staging(store)
 

@@ -18,7 +18,7 @@ from locus.functions.recode import recode
 from locus.operators.dml import empty_like
 from locus.operators.locations import upsert_location_dim, with_missing_locations
 from locus.plans.adapters import Adapters
-from locus.plans.jobs import gate_and_publish, load_covid_months, load_mobility_months
+from locus.plans.jobs import SCOPES, gate_and_publish, load_covid_months, load_mobility_months
 from locus.schemas import LOCATION_LOOKUP
 from locus.session import file_system, materialize, scratch_path
 from locus.sources.tables import TableStore
@@ -109,11 +109,19 @@ class Scenario:
             gate_and_publish(self.store, load_mobility_months(self.store, rows, self.lookup))
         return self.store
 
+    @cached_property
+    def _covid_tables(self) -> dict[str, DataFrame]:
+        return {scope: self.covid_facts.read(f"covid_data_{scope}") for scope in SCOPES}
+
+    @cached_property
+    def _mobility_tables(self) -> dict[str, DataFrame]:
+        return {scope: self.mobility_facts.read(f"google_mobility_data_{scope}") for scope in SCOPES}
+
     def covid_fact(self, scope: str) -> DataFrame:
-        return self.covid_facts.read(f"covid_data_{scope}")
+        return self._covid_tables[scope]
 
     def mobility_fact(self, scope: str) -> DataFrame:
-        return self.mobility_facts.read(f"google_mobility_data_{scope}")
+        return self._mobility_tables[scope]
 
     def final_tables(self) -> dict[str, DataFrame]:
         return {
