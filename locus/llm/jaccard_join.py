@@ -16,16 +16,18 @@ well. Three refinements keep this exact and small:
   too, and again, until it has more. If one of two sets has enough they share
   a signature there; if neither has, both go on to the finer partitions;
 * at most k partitions that one set fills are lost to the other, so of the
-  filled partitions the k + 1 with the smallest signatures suffice on both
-  sides (the prefix principle);
+  filled partitions any k + 1 that come first in an order of all signatures
+  suffice on both sides (the prefix principle). The order puts partitions with
+  more elements first: a passage that many texts share seldom fills one alone;
 * sets equal in content are signed once per task, and stand for one class.
 
 Candidates. Signatures travel packed, dealt by value. Sets that share one
-(a bucket) are first compared with the bucket's smallest id only; verified
-links give components. Buckets that then still hold several components have
-their remaining pairs compared, in blocks, by size and by a 32-cell histogram
-of the hashes, whose distance bounds the number of differing elements from
-below; pairs that pass are verified. So no link is lost, and a large group of
+(a bucket) are paired with the bucket's smallest id. Of these pairs each set's
+smallest partner is verified first; the links give components, and of the
+other pairs only those across components are verified. Buckets that then still
+hold several components have their remaining pairs compared, in blocks. Size
+and a 128-cell histogram of the hashes (a finer one besides for large sets), whose distance bounds the
+number of differing elements from below, come before every verification. So no link is lost, and a large group of
 near copies costs as many comparisons as it has members. A signature that
 many sets of one task share travels once for that task, and its members go
 as a list to the second comparison.
@@ -56,13 +58,18 @@ from locus.llm.components import connected_components
 from locus.llm.shingles import mix, shingle_sets
 
 _U = np.uint64
-CELLS = 32
+#: Cells of a set's histogram, and how many of them make one coarse cell; sets
+#: of BIG or more have a finer histogram of FINE cells besides.
+CELLS, COARSE, BIG, FINE = 128, 8, 512, 2048
 
 
 class Scheme:
-    """Sizes of bands and bounds for a threshold num / den."""
+    """Sizes of bands and bounds for a threshold num / den above one half (up
+    to there a set may be outnumbered by what it lacks, and k reaches n)."""
 
     def __init__(self, num: int, den: int):
+        if not den < 2 * num <= 2 * den:
+            raise ValueError("the threshold must be above 1/2 and at most 1")
         self.num, self.den = num, den
 
     def k(self, n: int, m: int) -> int:
@@ -98,12 +105,15 @@ def signatures(features: np.ndarray, scheme: Scheme) -> np.ndarray:
             part = ((low * _U(parts)) >> _U(32)).astype(np.int64)
             sums = np.zeros(parts, dtype=_U)
             np.add.at(sums, part, content)
-            filled = np.flatnonzero(np.bincount(part, minlength=parts))
+            counts = np.bincount(part, minlength=parts)
+            filled = np.flatnonzero(counts)
             seed = _U((top * 0x9E3779B97F4A7C15 + parts * 0xD6E8FEB86659FD93) % (1 << 64))
             sig = mix(sums[filled] + mix(filled.astype(_U) + seed))
             good = len(filled) > k
             if len(sig) > k + 1:
-                sig = np.partition(sig, k)[: k + 1]
+                # equal signatures have equal counts, so this is one order for all sets
+                few = (255 - np.minimum(counts[filled], 255)).astype(_U)
+                sig = sig[np.argpartition((few << _U(56)) | (sig >> _U(8)), k)[: k + 1]]
             out.append(sig)
             if good:
                 break
@@ -111,17 +121,19 @@ def signatures(features: np.ndarray, scheme: Scheme) -> np.ndarray:
     return np.concatenate(out)
 
 
-def histogram(features: np.ndarray) -> bytes:
-    counts = np.bincount((features >> _U(59)).astype(np.int64), minlength=CELLS)
-    return np.minimum(counts, 65535).astype("<u2").tobytes()
+def histogram(features: np.ndarray, cells: int = CELLS) -> bytes:
+    """How many features fall into each of the cells, at most 255."""
+    bits = _U(64 - (cells.bit_length() - 1))
+    counts = np.bincount((features >> bits).astype(np.int64), minlength=cells)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 # -- signing ------------------------------------------------------------------
 
-SIGNED = ("kind int, part int, doc long, n long, digest binary, cells binary, "
+SIGNED = ("kind int, part int, doc long, n long, digest binary, cells binary, fine binary, "
           "sigs binary, owners binary, dense boolean")
 _SIGNED = [("kind", pa.int32()), ("part", pa.int32()), ("doc", pa.int64()), ("n", pa.int64()),
-           ("digest", pa.binary()), ("cells", pa.binary()), ("sigs", pa.binary()),
+           ("digest", pa.binary()), ("cells", pa.binary()), ("fine", pa.binary()), ("sigs", pa.binary()),
            ("owners", pa.binary()), ("dense", pa.bool_())]
 
 
@@ -171,7 +183,7 @@ def _sign(num: int, den: int, width: int, parts: int, flush: int, dense_from: in
                 members = np.unique(owner[start : start + n])
                 sig = values[start : start + 1]
                 for at in range(0, len(members), 4096):
-                    rows.append((2, int(_part_of(sig, parts)[0]), None, None, None, None, sig.tobytes(),
+                    rows.append((2, int(_part_of(sig, parts)[0]), None, None, None, None, None, sig.tobytes(),
                                  members[at : at + 4096].tobytes(), True))
                 owner[start] = members[0]
                 keep[start + 1 : start + n] = False
@@ -184,7 +196,8 @@ def _sign(num: int, den: int, width: int, parts: int, flush: int, dense_from: in
                 cuts = np.flatnonzero(np.diff(p)) + 1
                 for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(p)]):
                     if b > a:
-                        rows.append((1, int(p[a]), None, None, None, None, v[a:b].tobytes(), o[a:b].tobytes(), dense))
+                        rows.append((1, int(p[a]), None, None, None, None, None, v[a:b].tobytes(), o[a:b].tobytes(),
+                                     dense))
             sigs.clear()
             docs.clear()
             seen.clear()
@@ -197,7 +210,8 @@ def _sign(num: int, den: int, width: int, parts: int, flush: int, dense_from: in
                 n = len(features)
                 digest = hashlib.blake2b(features.tobytes(), digest_size=16).digest() if n else None
                 light.append((0, hash(doc) % parts if doc is not None else 0, doc, n, digest,
-                              histogram(features) if n else None, None, None, None))
+                              histogram(features) if n else None, histogram(features, FINE) if n >= BIG else None,
+                              None, None, None))
                 if n and doc is not None and digest not in seen:
                     seen.add(digest)
                     sigs.append(signatures(features, scheme))
@@ -214,9 +228,10 @@ def _sign(num: int, den: int, width: int, parts: int, flush: int, dense_from: in
 
 # -- buckets ------------------------------------------------------------------
 
-FOUND = "kind int, doc long, n long, digest binary, cells binary, a long, b long, bucket long, members array<long>"
+FOUND = ("kind int, doc long, n long, digest binary, cells binary, fine binary, "
+         "a long, b long, bucket long, members array<long>")
 _FOUND = [("kind", pa.int32()), ("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-          ("cells", pa.binary()), ("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int64()),
+          ("cells", pa.binary()), ("fine", pa.binary()), ("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int64()),
           ("members", pa.list_(pa.int64()))]
 
 
@@ -259,13 +274,13 @@ def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 if key not in done:
                     done.add(key)
-                    rows.append((2, None, None, None, None, None, None, key, members))
+                    rows.append((2, None, None, None, None, None, None, None, key, members))
         for key, members in lists:
             pairs.append(np.stack([np.full(len(members) - 1, members[0]), members[1:]], axis=1))
-            rows.append((2, None, None, None, None, None, None, key, members))
+            rows.append((2, None, None, None, None, None, None, None, key, members))
         if pairs:
             for a, b in np.unique(np.concatenate(pairs), axis=0).tolist():
-                rows.append((1, None, None, None, None, a, b, None, None))
+                rows.append((1, None, None, None, None, None, a, b, None, None))
         for held in (sigs, owners, dense, lists):
             held.clear()
         return _batch(rows, _FOUND)
@@ -273,13 +288,13 @@ def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         light = []
         cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-        for kind, part, doc, n, digest, cells, sig, own, is_dense in zip(*cols):
+        for kind, part, doc, n, digest, cells, fine, sig, own, is_dense in zip(*cols):
             if part != now:
                 if sigs or lists:
                     yield bucketed()
                 now = part
             if kind == 0:
-                light.append((0, doc, n, digest, cells, None, None, None, None))
+                light.append((0, doc, n, digest, cells, fine, None, None, None, None))
             elif kind == 1:
                 sigs.append(np.frombuffer(sig, dtype=_U))
                 owners.append(np.frombuffer(own, dtype=np.int64))
@@ -300,9 +315,10 @@ def verified(pairs: DataFrame, texts: DataFrame, num: int, den: int, width: int,
     dealt = attach_salted(pairs, fans, ["u"], F.col("v")).select(
         "u", "v", F.pmod(F.xxhash64("v"), F.col("portions")).cast("int").alias("portion"))
     dealt = materialize(dealt, "pairs")
-    firsts = dealt.select("u", "portion").distinct()
-    one = firsts.join(texts, firsts.u == texts.doc).select("u", "portion", F.lit(None).cast("long").alias("v"), "text")
-    two = dealt.join(texts, dealt.v == texts.doc).select("u", "portion", "v", "text")
+    none = F.lit(None).cast("long")
+    asked = dealt.select("u", "portion").distinct().select("u", "portion", none.alias("v"), F.col("u").alias("doc"))
+    asked = asked.unionByName(dealt.withColumn("doc", F.col("v")))
+    told = asked.join(texts, "doc").select("u", "portion", "v", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -318,7 +334,7 @@ def verified(pairs: DataFrame, texts: DataFrame, num: int, den: int, width: int,
                     out.append((u, v))
             yield _batch(out, [("u", pa.int64()), ("v", pa.int64())])
 
-    meet = one.unionByName(two).repartition(parts, "u", "portion").sortWithinPartitions(
+    meet = told.repartition(parts, "u", "portion").sortWithinPartitions(
         "u", "portion", F.col("v").asc_nulls_first())
     return meet.mapInArrow(run, "u long, v long").distinct()
 
@@ -332,19 +348,63 @@ def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(x) + len(y) - common)
 
 
-def _plausible(num: int, den: int, block: int):
+def _may_link(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sizes n, m and histograms x, y leave room for a link. A full
+    cell may hide more, so it counts for nothing."""
+    gap = np.abs(x - y)
+    gap[(x == 255) | (y == 255)] = 0
+    sizes = (den * np.minimum(n, m) >= num * np.maximum(n, m))
+    return sizes & (gap.sum(axis=1, dtype=np.int64) * (den + num) <= (den - num) * (n + m))
+
+
+def _coarse(cells: np.ndarray) -> np.ndarray:
+    """Sums of neighbouring cells; one that holds a full cell says nothing (255)."""
+    grouped = cells.reshape(len(cells), -1, COARSE)
+    return np.where((grouped == 255).any(axis=2), 255, np.minimum(grouped.sum(axis=2), 255)).astype(np.int16)
+
+
+def _cells(column, width: int = CELLS) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, width).astype(np.int16)
+
+
+def plausible(pairs: DataFrame, sized: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (u, v) that sizes and histograms don't rule out."""
+    one, two = (sized.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("cells").alias(f"c{x}"),
+                             F.col("fine").alias(f"f{x}")) for x in ("u", "v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            u, v, nu, nv = (batch.column(i).to_numpy() for i in range(4))
+            cu, cv, fu, fv = (batch.column(i).to_pylist() for i in range(4, 8))
+            keep = _may_link(nu, nv, _cells(cu), _cells(cv), num, den)
+            big = np.flatnonzero(keep & np.array([a is not None and b is not None for a, b in zip(fu, fv)]))
+            for at in range(0, len(big), 1024):
+                some = big[at : at + 1024]
+                keep[some] = _may_link(nu[some], nv[some], _cells((fu[i] for i in some), FINE),
+                                       _cells((fv[i] for i in some), FINE), num, den)
+            yield pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep])], names=["u", "v"])
+
+    both = pairs.join(one, "u").join(two, "v").select("u", "v", "nu", "nv", "cu", "cv", "fu", "fv")
+    return both.mapInArrow(run, "u long, v long")
+
+
+def _across(num: int, den: int):
     """Pairs across components in the rows (bucket, i, j, side, doc, comp, n,
-    cells) of a block pair that size and histogram don't rule out."""
-    fields = [("u", pa.int64()), ("v", pa.int64())]
+    cells, fine) of a block pair that size and histograms don't rule out."""
 
-    def pairs_of(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def pairs_of(rows: list[tuple]) -> list[np.ndarray]:
         side, doc, comp, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in (3, 4, 5, 6))
-        cells = np.frombuffer(b"".join(r[7] for r in rows), dtype="<u2").reshape(-1, CELLS).astype(np.int32)
+        cells = _cells(r[7] for r in rows)
         diagonal = rows[0][1] == rows[0][2]
         left = np.arange(len(rows)) if diagonal else np.flatnonzero(side == 0)
         right = left if diagonal else np.flatnonzero(side == 1)
         right = right[np.argsort(n[right], kind="stable")]
-        sizes = n[right]
+        sizes, rough, found = n[right], _coarse(cells), []
+        has_fine = np.array([r[8] is not None for r in rows])
+        place = np.cumsum(has_fine) - 1
+        fine = _cells((r[8] for r in rows if r[8] is not None), FINE)
         for i in left:
             lo = np.searchsorted(sizes, -(-n[i] * num // den), side="left")
             hi = np.searchsorted(sizes, n[i] * den // num, side="right")
@@ -354,24 +414,36 @@ def _plausible(num: int, den: int, block: int):
                 other = other[doc[other] > doc[i]]
             if not len(other):
                 continue
-            # a full cell may hide more, so it counts for nothing
-            gap = np.abs(cells[other] - cells[i])
-            gap[(cells[other] == 65535) | (cells[i] == 65535)] = 0
-            other = other[gap.sum(axis=1) * (den + num) <= (den - num) * (n[other] + n[i])]
+            for level in (rough, cells):
+                if len(other):
+                    other = other[_may_link(n[other], n[i], level[other], level[i][None, :], num, den)]
+            if len(other) and has_fine[i]:
+                keep = np.ones(len(other), bool)
+                big = np.flatnonzero(has_fine[other])
+                keep[big] = _may_link(n[other[big]], n[i], fine[place[other[big]]], fine[place[i]][None, :], num, den)
+                other = other[keep]
             if len(other):
-                yield _batch([(min(int(doc[i]), x), max(int(doc[i]), x)) for x in doc[other].tolist()], fields)
+                found.append(np.stack([np.minimum(doc[i], doc[other]), np.maximum(doc[i], doc[other])], axis=1))
+        return found
+
+    def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
+        now, rows, found = None, [], []
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)]):
                 if row[:3] != now:
-                    if rows:
-                        yield from pairs_of(rows)
+                    found += pairs_of(rows) if rows else []
+                    if sum(map(len, found)) >= 500_000:
+                        yield batch_of(found)
+                        found = []
                     now, rows = row[:3], []
                 rows.append(row)
-        if rows:
-            yield from pairs_of(rows)
+        found += pairs_of(rows) if rows else []
+        if found:
+            yield batch_of(found)
 
     return run
 
@@ -389,7 +461,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     signed = rows.mapInArrow(_sign(num, den, width, 4 * p, flush, dense_from), SIGNED)
     found = materialize(signed.repartition(p, "part").sortWithinPartitions("part").mapInArrow(
         _collide, FOUND), "jaccard-found")
-    light = found.where("kind = 0").select("doc", "n", "digest", "cells")
+    light = found.where("kind = 0").select("doc", "n", "digest", "cells", "fine")
 
     # classes of equal sets: every member but the first points at it
     filled = light.where("n > 0 and doc is not null")
@@ -406,11 +478,28 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "jaccard-pairs")
     lists = found.where("kind = 2").select("bucket", F.explode("members").alias("doc"))
     lists = materialize(to_rep(lists, "doc").distinct(), "jaccard-lists")
-    wanted = pairs.select(F.col("u").alias("doc")).union(pairs.select("v")).union(lists.select("doc")).distinct()
+    wanted = pairs.select(F.col("u").alias("doc")).union(pairs.select("v")).distinct()
     texts = materialize(rows.join(wanted, "doc", "left_semi"), "jaccard-texts")
+    sized = materialize(filled.select("doc", "n", "cells", "fine").dropDuplicates(["doc"]).join(
+        wanted, "doc", "left_semi"), "jaccard-sizes")
+
+    def linked_among(some: DataFrame) -> DataFrame:
+        return materialize(verified(materialize(plausible(some, sized, num, den), "jaccard-plausible"),
+                                    texts, num, den, width), "jaccard-links")
 
-    links = materialize(verified(pairs, texts, num, den, width), "jaccard-links")
+    # every document against its smallest candidate first: of a group of near
+    # copies that leaves few pairs across components
+    first = materialize(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "jaccard-first")
+    links = linked_among(first)
     comps = materialize(connected_components(links), "jaccard-components")
+    rest = pairs.join(first, ["u", "v"], "left_anti")
+    for end in ("u", "v"):
+        named = comps.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
+        rest = rest.join(named, end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
+    more = linked_among(rest.where("c_u <> c_v").select("u", "v"))
+    if not more.isEmpty():
+        links = links.union(more)
+        comps = materialize(connected_components(links), "jaccard-components")
 
     # buckets that still hold several components: all their pairs that may link
     lists = lists.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
@@ -420,14 +509,13 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     blocks = F.ceil(F.col("m") / block).cast("int")
     held = attach_salted(lists, open_.select("bucket", blocks.alias("blocks")), ["bucket"], F.col("doc")).where(
         "blocks is not null")
-    sized = filled.select("doc", "n", "cells").dropDuplicates(["doc"])
     held = held.join(sized, "doc").withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     held = held.select(
         "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        (F.col("mine") > F.col("other")).cast("int").alias("side"), "doc", "comp", "n", "cells")
+        (F.col("mine") > F.col("other")).cast("int").alias("side"), "doc", "comp", "n", "cells", "fine")
     more = held.repartition(p, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(
-        _plausible(num, den, block), "u long, v long").distinct()
+        _across(num, den), "u long, v long").distinct()
     more = materialize(more.join(pairs, ["u", "v"], "left_anti"), "jaccard-pairs")
     if not more.isEmpty():
         links = links.union(materialize(verified(more, texts, num, den, width), "jaccard-links"))

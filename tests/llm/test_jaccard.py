@@ -59,7 +59,7 @@ def test_empty(frame):
     assert jaccard_components(frame(EDGE).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("num,den", [(75, 100), (9, 10), (1, 2)])
+@pytest.mark.parametrize("num,den", [(75, 100), (9, 10), (3, 5), (1, 1)])
 def test_linked_sets_share_a_signature(num, den):
     rng, scheme, seen = np.random.default_rng(num), Scheme(num, den), 0
     for _ in range(1500):
