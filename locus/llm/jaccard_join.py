@@ -436,9 +436,11 @@ def _across(num: int, den: int):
             for row in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)]):
                 if row[:3] != now:
                     found += pairs_of(rows) if rows else []
-                    if sum(map(len, found)) >= 500_000:
-                        yield batch_of(found)
-                        found = []
+                    if sum(map(len, found)) >= 1_000_000:
+                        found = [np.unique(np.concatenate(found), axis=0)]
+                        if len(found[0]) >= 500_000:
+                            yield batch_of(found)
+                            found = []
                     now, rows = row[:3], []
                 rows.append(row)
         found += pairs_of(rows) if rows else []
@@ -507,14 +509,17 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     open_ = lists.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                         F.count(F.lit(1)).alias("m")).where("c0 <> c1")
     blocks = F.ceil(F.col("m") / block).cast("int")
-    held = attach_salted(lists, open_.select("bucket", blocks.alias("blocks")), ["bucket"], F.col("doc")).where(
+    held = attach_salted(lists, open_.select("bucket", "c0", blocks.alias("blocks")), ["bucket"], F.col("doc")).where(
         "blocks is not null")
+    # buckets of one group meet in few tasks, where a pair that many of them hold is made once
+    near = F.pmod(F.xxhash64("bucket"), F.lit(4))
     held = held.join(sized, "doc").withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = held.select(
-        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+    held = held.withColumn("near", near).select(
+        "c0", "near", "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"), "doc", "comp", "n", "cells", "fine")
-    more = held.repartition(p, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(
+    dealt = held.repartition(p, "c0", "near", "i", "j").drop("c0", "near")
+    more = dealt.sortWithinPartitions("bucket", "i", "j").mapInArrow(
         _across(num, den), "u long, v long").distinct()
     more = materialize(more.join(pairs, ["u", "v"], "left_anti"), "jaccard-pairs")
     if not more.isEmpty():
