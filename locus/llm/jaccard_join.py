@@ -160,7 +160,8 @@ def _runs(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _sign(num: int, den: int, width: int, parts: int, flush: int, dense_from: int):
     """Per document a light row (kind 0); packed signatures by part (kind 1).
     A signature that ``dense_from`` or more sets of a flush share: one entry,
-    and its members as a list (kind 2), each dealt by the signature."""
+    dealt by the signature, and its members as a list (kind 2), dealt by
+    signature and first member."""
     scheme = Scheme(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +184,9 @@ def _sign(num: int, den: int, width: int, parts: int, flush: int, dense_from: in
                 members = np.unique(owner[start : start + n])
                 sig = values[start : start + 1]
                 for at in range(0, len(members), 4096):
-                    rows.append((2, int(_part_of(sig, parts)[0]), None, None, None, None, None, sig.tobytes(),
+                    # lists need not meet: one signature's are spread over all parts
+                    spread = mix(sig + mix(members[at : at + 1].astype(_U)))
+                    rows.append((2, int(_part_of(spread, parts)[0]), None, None, None, None, None, sig.tobytes(),
                                  members[at : at + 4096].tobytes(), True))
                 owner[start] = members[0]
                 keep[start + 1 : start + n] = False
@@ -235,74 +238,157 @@ _FOUND = [("kind", pa.int32()), ("doc", pa.int64()), ("n", pa.int64()), ("digest
           ("members", pa.list_(pa.int64()))]
 
 
+#: Members of a list row, and entries or pairs of a batch.
+CHUNK, LOT = 4096, 1 << 18
+
+
 def _list_key(members: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(members.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _found(rows: int, **cols: pa.Array) -> pa.RecordBatch:
+    """A batch of FOUND whose other columns are null."""
+    return pa.RecordBatch.from_arrays([cols[f] if f in cols else pa.nulls(rows, t) for f, t in _FOUND],
+                                      names=[f for f, _ in _FOUND])
+
+
+def _lists_batch(keys: list[int], lists: list[np.ndarray]) -> pa.RecordBatch:
+    offsets = np.concatenate([[0], np.cumsum([len(m) for m in lists])]).astype(np.int32)
+    return _found(len(keys), kind=pa.array(np.full(len(keys), 2, np.int32)), bucket=pa.array(keys, pa.int64()),
+                  members=pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists))))
+
+
+def _pairs_batches(pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    both = np.unique(np.concatenate(pairs), axis=0)
+    for at in range(0, len(both), LOT):
+        a, b = both[at : at + LOT].T
+        yield _found(len(a), kind=pa.array(np.full(len(a), 1, np.int32)), a=pa.array(a), b=pa.array(b))
+
+
+class _Out:
+    """Pairs (first, other) and rows of member lists, given out when a lot is full."""
+
+    def __init__(self):
+        self.pairs: list[np.ndarray] = []
+        self.keys: list[int] = []
+        self.lists: list[np.ndarray] = []
+        self.n_pairs = self.n_listed = 0
+
+    def add(self, members: np.ndarray, key: int | None) -> None:
+        """A bucket (sorted distinct members); with a key also its list."""
+        self.pairs.append(np.stack([np.full(len(members) - 1, members[0]), members[1:]], axis=1))
+        self.n_pairs += len(members) - 1
+        if key is not None:
+            self.keys.append(key)
+            self.lists.append(members)
+            self.n_listed += len(members)
+
+    def given(self, at_least: int | None = None) -> Iterator[pa.RecordBatch]:
+        at_least = at_least or LOT
+        if self.pairs and self.n_pairs >= at_least:
+            yield from _pairs_batches(self.pairs)
+            self.pairs, self.n_pairs = [], 0
+        if self.keys and self.n_listed >= at_least:
+            yield _lists_batch(self.keys, self.lists)
+            self.keys, self.lists, self.n_listed = [], [], 0
+
+
+def _collide(dense_from: int, room: int):
     """Light rows pass (kind 0); pairs (smallest, other) of each bucket (kind
     1); member lists of buckets of three or more (kind 2). Rows come in order
-    of part, and one part is held at a time. Lists of equal members are one,
-    but a signature with dense lists keeps its own lists, under its value."""
-    sigs: list[np.ndarray] = []
-    owners: list[np.ndarray] = []
-    dense: list[np.ndarray] = []
-    lists: list[tuple[int, np.ndarray]] = []
-    now = None
-
-    def bucketed() -> pa.RecordBatch:
-        rows: list[tuple] = []
-        pairs: list[np.ndarray] = []
-        done: set[int] = set()
-        if sigs:
-            values, owner = np.concatenate(sigs), np.concatenate(owners)
-            thick = np.concatenate(dense)
+    of part. Of a part only the entries are held; dense lists pass as they
+    come, wherever they are dealt. Whenever ``room`` entries are held, a
+    signature with ``dense_from`` of them or more gives its pairs and its list
+    and keeps one entry, a dense one, so what is held grows with the
+    signatures of a part, not with a signature's members. Lists of equal
+    members are one, but a signature with dense entries keeps its own lists,
+    under its value: they meet again by it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sigs: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
+        dense: list[np.ndarray] = []
+        out = _Out()
+        now, held, limit = None, 0, room
+
+        def in_order() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            values, owner, thick = np.concatenate(sigs), np.concatenate(owners), np.concatenate(dense)
+            for lot in (sigs, owners, dense):
+                lot.clear()
             order = np.lexsort((owner, values))
-            values, owner, thick = values[order], owner[order], thick[order]
-            for start, n in zip(*_runs(values)):
-                members = owner[start : start + n]
-                if n > 2 or members[0] == members[1]:
-                    members = np.unique(members)
-                if len(members) < 2:
-                    continue
-                pairs.append(np.stack([np.full(len(members) - 1, members[0]), members[1:]], axis=1))
-                if thick[start : start + n].any():
-                    key = int(values[start].view(np.int64))
-                elif len(members) > 2:
-                    key = _list_key(members)
-                else:
+            return values[order], owner[order], thick[order]
+
+        def listed(sig: np.ndarray, members: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """A dense signature's members, in rows that share their first."""
+            for at in range(1, len(members), CHUNK - 1):
+                out.add(np.append(members[:1], members[at : at + CHUNK - 1]), int(sig.view(np.int64)))
+                yield from out.given()
+
+        def thinned() -> Iterator[pa.RecordBatch]:
+            nonlocal held, limit
+            values, owner, thick = in_order()
+            keep = np.ones(len(values), bool)
+            starts, lens = _runs(values)
+            for start, n in zip(starts[lens >= dense_from], lens[lens >= dense_from]):
+                yield from listed(values[start], np.unique(owner[start : start + n]))
+                keep[start + 1 : start + n] = False
+                thick[start] = True
+            sigs.append(values[keep])
+            owners.append(owner[keep])
+            dense.append(thick[keep])
+            held = len(sigs[0])
+            limit = max(room, 2 * held)
+
+        def bucketed() -> Iterator[pa.RecordBatch]:
+            nonlocal held, limit
+            done: set[int] = set()
+            if sigs:
+                values, owner, thick = in_order()
+                for start, n in zip(*_runs(values)):
+                    members = owner[start : start + n]
+                    if n > 2 or members[0] == members[1]:
+                        members = np.unique(members)
+                    if len(members) < 2:
+                        continue
+                    if thick[start : start + n].any() or len(members) > CHUNK:
+                        yield from listed(values[start], members)
+                        continue
+                    key = _list_key(members) if len(members) > 2 else None
+                    out.add(members, None if key in done else key)
+                    if key is not None:
+                        done.add(key)
+                    yield from out.given()
+            yield from out.given(1)
+            held, limit = 0, room
+
+        for batch in batches:
+            kinds = batch.column(0).to_numpy()
+            light = batch.filter(pa.array(kinds == 0))
+            if light.num_rows:
+                yield _found(light.num_rows, **{f: light.column(f) for f in
+                                                ("kind", "doc", "n", "digest", "cells", "fine")})
+            some = batch.filter(pa.array(kinds != 0))
+            kinds, parts = some.column(0).to_numpy(), some.column(1).to_numpy()
+            packed, own, is_dense = (some.column(f) for f in ("sigs", "owners", "dense"))
+            for i in range(some.num_rows):
+                sig = np.frombuffer(packed[i].as_py(), dtype=_U)
+                members = np.frombuffer(own[i].as_py(), dtype=np.int64)
+                if kinds[i] == 2:
+                    out.add(members, int(sig.view(np.int64)[0]))
+                    yield from out.given()
                     continue
-                if key not in done:
-                    done.add(key)
-                    rows.append((2, None, None, None, None, None, None, None, key, members))
-        for key, members in lists:
-            pairs.append(np.stack([np.full(len(members) - 1, members[0]), members[1:]], axis=1))
-            rows.append((2, None, None, None, None, None, None, None, key, members))
-        if pairs:
-            for a, b in np.unique(np.concatenate(pairs), axis=0).tolist():
-                rows.append((1, None, None, None, None, None, a, b, None, None))
-        for held in (sigs, owners, dense, lists):
-            held.clear()
-        return _batch(rows, _FOUND)
-
-    for batch in batches:
-        light = []
-        cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-        for kind, part, doc, n, digest, cells, fine, sig, own, is_dense in zip(*cols):
-            if part != now:
-                if sigs or lists:
-                    yield bucketed()
-                now = part
-            if kind == 0:
-                light.append((0, doc, n, digest, cells, fine, None, None, None, None))
-            elif kind == 1:
-                sigs.append(np.frombuffer(sig, dtype=_U))
-                owners.append(np.frombuffer(own, dtype=np.int64))
-                dense.append(np.full(len(sigs[-1]), is_dense))
-            else:
-                lists.append((int(np.frombuffer(sig, dtype=np.int64)[0]), np.frombuffer(own, dtype=np.int64)))
-        yield _batch(light, _FOUND)
-    yield bucketed()
+                if parts[i] != now:
+                    yield from bucketed()
+                    now = parts[i]
+                sigs.append(sig)
+                owners.append(members)
+                dense.append(np.full(len(sig), is_dense[i].as_py()))
+                held += len(sig)
+                if held >= limit:
+                    yield from thinned()
+        yield from bucketed()
+
+    return run
 
 
 # -- verification -------------------------------------------------------------
@@ -454,7 +540,7 @@ def _across(num: int, den: int):
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 75,
                        den: int = 100, width: int = 5, flush: int = 2_000_000, dense_from: int = 64,
-                       block: int = 2048) -> DataFrame:
+                       block: int = 2048, room: int = 4_000_000) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id
     that links lead to)."""
     spark = df.sparkSession
@@ -462,7 +548,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     signed = rows.mapInArrow(_sign(num, den, width, 4 * p, flush, dense_from), SIGNED)
     found = materialize(signed.repartition(p, "part").sortWithinPartitions("part").mapInArrow(
-        _collide, FOUND), "jaccard-found")
+        _collide(dense_from, room), FOUND), "jaccard-found")
     light = found.where("kind = 0").select("doc", "n", "digest", "cells", "fine")
 
     # classes of equal sets: every member but the first points at it

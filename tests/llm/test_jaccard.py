@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from edge_rows import EDGE
 
+from locus.llm import jaccard_join
 from locus.llm.components import connected_components
 from locus.llm.jaccard_join import Scheme, jaccard_components, signatures
 from locus.llm.shingles import shingle_sets
@@ -88,3 +89,61 @@ def test_components_of_chains_and_stars(spark):
     got = {tuple(r) for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
     want = {(i, 0) for i in range(61)} | {(100 + i, 100) for i in range(40)} | {(299, 299), (300, 299)}
     assert got == want
+
+
+def _entry(kind, part, sig, owners, dense):
+    sigs = np.full(len(owners) if kind == 1 else 1, sig, dtype=np.uint64)
+    return (kind, part, None, None, None, None, None, sigs.tobytes(), np.array(owners, np.int64).tobytes(), dense)
+
+
+def test_a_hot_signature_is_given_out_in_lots(monkeypatch):
+    """Sparse entries and dense lists of one signature: no batch and nothing held grows with them."""
+    monkeypatch.setattr(jaccard_join, "LOT", 100, raising=False)
+    monkeypatch.setattr(jaccard_join, "CHUNK", 16, raising=False)
+    taken, rng = [], random.Random(5)
+    ids = list(range(3000))
+    rng.shuffle(ids)
+
+    def batches():
+        for at in range(0, 3000, 10):
+            taken.append(at)
+            mine = sorted(ids[at : at + 10])
+            rows = [_entry(1, 7, 99, mine, False)] if at % 20 else [
+                _entry(1, 7, 99, mine[:1], True), _entry(2, 7, 99, mine, True)]
+            yield jaccard_join._batch(rows, jaccard_join._SIGNED)
+
+    got = jaccard_join._collide(8, 50)(batches())
+    low, listed, early = {}, set(), 0
+    for batch in got:
+        assert batch.num_rows <= 200
+        early += bool(batch.num_rows) and len(taken) < 300
+        for r in batch.to_pylist():
+            if r["kind"] == 1:
+                low.setdefault(r["b"], r["a"])
+            else:
+                assert r["bucket"] == 99 and len(r["members"]) <= 16
+                listed.update(r["members"])
+    assert early > 10 and listed == set(ids)
+    for i in ids:
+        while i in low:
+            i = low[i]
+        assert i == 0
+
+
+@pytest.mark.parametrize("room", [1, 200])
+def test_little_room_changes_no_component(frame, room):
+    rows = varied(3)
+    got = jaccard_components(frame(rows), dense_from=4, block=8, flush=3000, room=room).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_lists_of_a_signature_go_to_many_parts():
+    docs = pa.RecordBatch.from_arrays(
+        [pa.array(range(400)), pa.array([" ".join(f"w{j}" for j in range(60)) + f" x{i}" for i in range(400)])],
+        names=["doc", "text"])
+    parts = {}
+    for batch in jaccard_join._sign(75, 100, 5, 64, 500, 4)(iter([docs])):
+        for r in batch.to_pylist():
+            if r["kind"] == 2:
+                parts.setdefault(r["sigs"], set()).add(r["part"])
+    assert max(map(len, parts.values())) > 5
