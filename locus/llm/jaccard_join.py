@@ -130,6 +130,9 @@ def histogram(features: np.ndarray, cells: int = CELLS) -> bytes:
 
 # -- signing ------------------------------------------------------------------
 
+#: Members of a list row, and entries or pairs of a batch.
+CHUNK, LOT = 4096, 1 << 18
+
 SIGNED = ("kind int, part int, doc long, n long, digest binary, cells binary, fine binary, "
           "sigs binary, owners binary, dense boolean")
 _SIGNED = [("kind", pa.int32()), ("part", pa.int32()), ("doc", pa.int64()), ("n", pa.int64()),
@@ -157,11 +160,18 @@ def _runs(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[many], lens[many]
 
 
+def _chunks(members: np.ndarray) -> Iterator[np.ndarray]:
+    """Sorted distinct members in lists that all start with the first of them,
+    so that each member is paired; one member alone gives none."""
+    for at in range(1, len(members), CHUNK - 1):
+        yield np.append(members[:1], members[at : at + CHUNK - 1])
+
+
 def _sign(num: int, den: int, width: int, parts: int, flush: int, dense_from: int):
     """Per document a light row (kind 0); packed signatures by part (kind 1).
     A signature that ``dense_from`` or more sets of a flush share: one entry,
     dealt by the signature, and its members as a list (kind 2), dealt by
-    signature and first member."""
+    signature and last member."""
     scheme = Scheme(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,11 +193,11 @@ def _sign(num: int, den: int, width: int, parts: int, flush: int, dense_from: in
                     continue
                 members = np.unique(owner[start : start + n])
                 sig = values[start : start + 1]
-                for at in range(0, len(members), 4096):
+                for chunk in _chunks(members):
                     # lists need not meet: one signature's are spread over all parts
-                    spread = mix(sig + mix(members[at : at + 1].astype(_U)))
+                    spread = mix(sig + mix(chunk[-1:].astype(_U)))
                     rows.append((2, int(_part_of(spread, parts)[0]), None, None, None, None, None, sig.tobytes(),
-                                 members[at : at + 4096].tobytes(), True))
+                                 chunk.tobytes(), True))
                 owner[start] = members[0]
                 keep[start + 1 : start + n] = False
                 thick[start] = True
@@ -238,10 +248,6 @@ _FOUND = [("kind", pa.int32()), ("doc", pa.int64()), ("n", pa.int64()), ("digest
           ("members", pa.list_(pa.int64()))]
 
 
-#: Members of a list row, and entries or pairs of a batch.
-CHUNK, LOT = 4096, 1 << 18
-
-
 def _list_key(members: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(members.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -320,8 +326,8 @@ def _collide(dense_from: int, room: int):
 
         def listed(sig: np.ndarray, members: np.ndarray) -> Iterator[pa.RecordBatch]:
             """A dense signature's members, in rows that share their first."""
-            for at in range(1, len(members), CHUNK - 1):
-                out.add(np.append(members[:1], members[at : at + CHUNK - 1]), int(sig.view(np.int64)))
+            for chunk in _chunks(members):
+                out.add(chunk, int(sig.view(np.int64)))
                 yield from out.given()
 
         def thinned() -> Iterator[pa.RecordBatch]:

@@ -147,3 +147,21 @@ def test_lists_of_a_signature_go_to_many_parts():
             if r["kind"] == 2:
                 parts.setdefault(r["sigs"], set()).add(r["part"])
     assert max(map(len, parts.values())) > 5
+
+
+@pytest.mark.parametrize("n", [33, 49, 50])
+def test_every_member_of_a_dense_list_is_paired(monkeypatch, n):
+    """4096 * j + 1 members leave no list of one (here with lists of 16)."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", 16)
+    docs = pa.RecordBatch.from_arrays(
+        [pa.array(range(n)), pa.array([" ".join(f"w{j}" for j in range(60)) + f" x{i}" for i in range(n)])],
+        names=["doc", "text"])
+    members = {}
+    for batch in jaccard_join._sign(75, 100, 5, 4, 10**6, 4)(iter([docs])):
+        for r in batch.to_pylist():
+            if r["kind"] == 2:
+                members.setdefault(r["sigs"], []).append(np.frombuffer(r["owners"], np.int64).tolist())
+    full = [lists for lists in members.values() if len(set().union(*lists)) == n]
+    assert full
+    for lists in full:
+        assert all(1 < len(m) <= 16 and m[0] == 0 for m in lists)
