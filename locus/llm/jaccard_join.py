@@ -38,9 +38,9 @@ gather in one task.
 
 Defined results: null, empty and wordless texts have an empty set and link
 with nothing; a row with a null id links with nothing and its component is
-null; rows that repeat an id count as one document for links and each give a
-row; other columns are ignored; an empty table gives an empty result. Shingles
-are told apart by 64-bit hashes.
+null; rows that repeat an id count as one document for links (those of all its
+texts) and each give a row; other columns are ignored; an empty table gives an
+empty result. Shingles are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -460,7 +460,8 @@ def _cells(column, width: int = CELLS) -> np.ndarray:
 
 
 def plausible(pairs: DataFrame, sized: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (u, v) that sizes and histograms don't rule out."""
+    """The pairs (u, v) that sizes and histograms don't rule out. An id with
+    several sets has a row in ``sized`` for each; one that leaves room is enough."""
     one, two = (sized.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("cells").alias(f"c{x}"),
                              F.col("fine").alias(f"f{x}")) for x in ("u", "v"))
 
@@ -479,7 +480,7 @@ def plausible(pairs: DataFrame, sized: DataFrame, num: int, den: int) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep])], names=["u", "v"])
 
     both = pairs.join(one, "u").join(two, "v").select("u", "v", "nu", "nv", "cu", "cv", "fu", "fv")
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(run, "u long, v long").distinct()
 
 
 def _across(num: int, den: int):
@@ -557,11 +558,18 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         _collide(dense_from, room), FOUND), "jaccard-found")
     light = found.where("kind = 0").select("doc", "n", "digest", "cells", "fine")
 
-    # classes of equal sets: every member but the first points at it
+    # classes of equal sets: every member but the first points at it; an id with
+    # several sets stays itself and is linked to the first of each one's class
     filled = light.where("n > 0 and doc is not null")
     classes = filled.groupBy("digest").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = attach_salted(filled.select("doc", "digest"), classes, ["digest"], F.col("doc"))
-    same = materialize(members.where("rep <> doc").groupBy("doc").agg(F.min("rep").alias("rep")), "jaccard-same")
+    classes = materialize(classes, "jaccard-classes")
+    sets = filled.select("doc", "digest")
+    by_doc = attach_salted(sets, classes, ["digest"], F.col("doc")).groupBy("doc").agg(
+        (F.min("digest") != F.max("digest")).alias("several"), F.min("rep").alias("rep"))
+    by_doc = materialize(by_doc.where("several or rep <> doc"), "jaccard-same")
+    same = by_doc.where("not several").select("doc", "rep")
+    own = attach_salted(sets.join(by_doc.where("several"), "doc", "left_semi"), classes, ["digest"], F.col("doc"))
+    own = materialize(own.where("rep <> doc").select(F.col("doc").alias("u"), F.col("rep").alias("v")), "jaccard-own")
 
     def to_rep(frame: DataFrame, col: str) -> DataFrame:
         named = same.select(F.col("doc").alias(col), F.col("rep").alias("_rep"))
@@ -574,8 +582,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lists = materialize(to_rep(lists, "doc").distinct(), "jaccard-lists")
     wanted = pairs.select(F.col("u").alias("doc")).union(pairs.select("v")).distinct()
     texts = materialize(rows.join(wanted, "doc", "left_semi"), "jaccard-texts")
-    sized = materialize(filled.select("doc", "n", "cells", "fine").dropDuplicates(["doc"]).join(
-        wanted, "doc", "left_semi"), "jaccard-sizes")
+    sized = materialize(filled.join(wanted, "doc", "left_semi").dropDuplicates(["doc", "digest"]).drop(
+        "digest"), "jaccard-sizes")
 
     def linked_among(some: DataFrame) -> DataFrame:
         return materialize(verified(materialize(plausible(some, sized, num, den), "jaccard-plausible"),
@@ -584,7 +592,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # every document against its smallest candidate first: of a group of near
     # copies that leaves few pairs across components
     first = materialize(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "jaccard-first")
-    links = linked_among(first)
+    links = linked_among(first).union(own)
     comps = materialize(connected_components(links), "jaccard-components")
     rest = pairs.join(first, ["u", "v"], "left_anti")
     for end in ("u", "v"):

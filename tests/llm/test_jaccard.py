@@ -165,3 +165,21 @@ def test_every_member_of_a_dense_list_is_paired(monkeypatch, n):
     assert full
     for lists in full:
         assert all(1 < len(m) <= 16 and m[0] == 0 for m in lists)
+
+
+def test_an_id_with_several_texts_has_the_links_of_all(frame):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(300))
+    c = " ".join(f"c{i}" for i in range(80))
+    # 1, 2 and 5 by equal texts; 8 and 3 by near copies of 5's and 7's larger texts
+    rows = [(1, a), (2, b), (5, a), (5, b), (5, ""), (3, c + " end"), (7, "short"), (7, c), (7, b + " end"),
+            (8, "x " + c), (9, "short"), (6, "apart")]
+    got = jaccard_components(frame(rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    assert {r["component_id"] for r in got if r["doc_id"] in (1, 2, 5, 3, 7, 8, 9)} == {1}
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_repeated_ids_match_all_pairs(frame, seed):
+    rows = [(i % 37, t) for i, t in varied(seed, groups=12, size=6)]
+    got = jaccard_components(frame(rows), dense_from=4, block=8, flush=3000).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
