@@ -543,6 +543,19 @@ def _across(num: int, den: int):
     return run
 
 
+def dealt_by_work(open_: DataFrame, block: int, blocks_per_task: int = 32) -> DataFrame:
+    """Open buckets (bucket, c0, m members) with their number of ``blocks`` and
+    ``near``, the task of their group (smallest component c0). Buckets of one
+    group meet in few tasks, where a pair that many of them hold is made once,
+    but in as many as their work takes: ``blocks_per_task`` full blocks each."""
+    size = F.least(F.col("m"), F.lit(block)).cast("double")
+    work = open_.groupBy("c0").agg(
+        F.ceil(F.sum(size * size) / (float(block) * block * blocks_per_task)).cast("int").alias("tasks"))
+    return attach_salted(open_, work, ["c0"], F.col("bucket")).select(
+        "bucket", "c0", F.ceil(F.col("m") / block).cast("int").alias("blocks"),
+        F.pmod(F.xxhash64("bucket"), F.col("tasks")).cast("int").alias("near"))
+
+
 # -- the join -----------------------------------------------------------------
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 75,
@@ -608,14 +621,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "comp", F.coalesce("component", "doc")).drop("component")
     open_ = lists.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                         F.count(F.lit(1)).alias("m")).where("c0 <> c1")
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    held = attach_salted(lists, open_.select("bucket", "c0", blocks.alias("blocks")), ["bucket"], F.col("doc")).where(
-        "blocks is not null")
-    # buckets of one group meet in few tasks, where a pair that many of them hold is made once
-    near = F.pmod(F.xxhash64("bucket"), F.lit(4))
+    open_ = dealt_by_work(materialize(open_, "jaccard-open"), block)
+    held = attach_salted(lists, open_, ["bucket"], F.col("doc")).where("blocks is not null")
     held = held.join(sized, "doc").withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = held.withColumn("near", near).select(
+    held = held.select(
         "c0", "near", "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"), "doc", "comp", "n", "cells", "fine")
     dealt = held.repartition(p, "c0", "near", "i", "j").drop("c0", "near")

@@ -183,3 +183,16 @@ def test_repeated_ids_match_all_pairs(frame, seed):
     rows = [(i % 37, t) for i, t in varied(seed, groups=12, size=6)]
     got = jaccard_components(frame(rows), dense_from=4, block=8, flush=3000).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_a_group_has_tasks_for_its_work(spark):
+    """600 full buckets of one group, three buckets of another."""
+    rows = [(i, 1, 2000) for i in range(600)] + [(1000 + i, 7, 2000) for i in range(3)] + [(2000, 8, 5000)]
+    got = jaccard_join.dealt_by_work(spark.createDataFrame(rows, "bucket long, c0 long, m long"), 2048).collect()
+    tasks, most = {}, {}
+    for r in got:
+        tasks.setdefault(r["c0"], set()).add(r["near"])
+        most[r["c0"], r["near"]] = most.get((r["c0"], r["near"]), 0) + 1
+    assert len(got) == 604 and len(tasks[1]) > 10 and len(tasks[7]) == 1
+    assert max(n for (c, _), n in most.items() if c == 1) < 100
+    assert {r["bucket"]: r["blocks"] for r in got}[2000] == 3
