@@ -4,7 +4,7 @@
 Four base kinds, leftmost and non-overlapping per kind: ``email``, ``ip``
 (parts up to 255), ``card`` (14 to 19 digits that pass Luhn) and ``phone`` (10
 to 15 digits); a match that fails its test is dropped and not tried again. The
-method adds ``iban`` (mod-97 must be 1) and ``ssn``, whose score must reach
+method adds ``iban`` (as long as its country's are; mod-97 must be 1) and ``ssn``, whose score must reach
 ``min_score``: every kind has a score of its own, which a context word within
 ``context_chars`` code points raises and a discouraging word lowers. Base
 spans always stay; their scores are reported as well.
@@ -32,7 +32,23 @@ EMAIL = f"(?:\\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++
 IP = "(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++"
 CARD = "[0-9](?:[\\x20-]?[0-9])++"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
-IBAN = "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]{4}){2,7}(?:\\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Length of an IBAN by country; other countries' end where the text lets them.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    tail = f"\\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?:\\x20?[A-Z0-9]{{4}}){{{groups}}}{tail}(?![A-Za-z0-9])"
+
+
+_ANY_IBAN = "[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]{4}){2,7}(?:\\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+IBAN = f"(?<![A-Za-z0-9])(?:{'|'.join(_iban(n, c) for n, c in IBAN_LENGTHS.items())}|{_ANY_IBAN})"
 SSN = "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 #: Score without context, words that raise it, words that lower it.

@@ -72,6 +72,21 @@ def test_checksums_and_context(spark, frame):
     assert got == {1: ("iban:5:32", 0.9), 2: ("ssn:4:15", 0.6), 3: ("", None)}
 
 
+def test_an_iban_ends_where_its_country_says(frame):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "SE45 5000 0000 0583 9825 7466",
+             "BE68 5390 0754 7034", "PL61 1090 1014 0000 0712 1981 2874", "AT61 1904 3002 3457 3201",
+             "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00"]
+    after = ["", " BIC CAIXESBB", " 17 EUR", " A", " NL91 ABNA 0417 1643 00", "."]
+    rows = [(i * 10 + j, f"IBAN {iban}{end}") for i, iban in enumerate(ibans) for j, end in enumerate(after)]
+    got = {r["doc_id"]: r["spans"] for r in find_pii(frame(rows)).collect()}
+    for i, iban in enumerate(ibans):
+        for j in range(len(after)):
+            end = 5 + len(iban)
+            second = f",iban:{end + 1}:{end + 23}" if j == 4 else ""
+            ours = ",".join(s for s in got[i * 10 + j].split(",") if s.startswith("iban"))
+            assert ours == f"iban:5:{end}{second}", (iban, after[j])
+
+
 # -- secrets ------------------------------------------------------------------
 
 def test_secrets_match_brute_force(spark, frame):
