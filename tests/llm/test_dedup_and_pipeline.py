@@ -3,6 +3,7 @@ import pytest
 import corpus_pipeline
 from edge_rows import EDGE
 from locus.llm.exact_dedup import exact_dedup, keep_exact
+from locus.llm.mixing import keep_sampled, sampling_plan
 
 
 def lower(text):
@@ -57,6 +58,19 @@ def test_stages_keep_columns_and_rows_follow(spark, frame):
     assert packed.select("doc_id").distinct().count() == docs.count()
 
 
+def test_mixing_decides_rows_without_an_id(spark, frame):
+    docs = frame([(None if i % 2 else i // 4, "word " * (1 + i % 40), "en", f"s{i % 7}") for i in range(400)])
+    plan = sampling_plan(docs, fraction=0.1)
+    want = plan.where("kept").groupBy("doc_id", "source").count().collect()
+    got = keep_sampled(docs, fraction=0.1)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.groupBy("doc_id", "source").count().collect()} == {tuple(r) for r in want}
+    # the pipeline's stage with its own parameters: one cell, whose rows without an id all share a draw
+    lost = frame([(None, "word " * 9, "en", "s")] * 40 + [(i, "word " * 9, "en", "s") for i in range(40)])
+    kept = sampling_plan(lost).where("kept")
+    assert corpus_pipeline.mixing(spark, lost, "").count() == kept.count()
+
+
 @pytest.mark.parametrize("at", range(len(corpus_pipeline.STAGES)))
 def test_stages_take_empty_tables(spark, frame, at):
     assert corpus_pipeline.STAGES[at][1](spark, frame(EDGE).limit(0), "").count() == 0
