@@ -41,20 +41,25 @@ def is_held_out(id_col: str = "doc_id") -> Column:
 
 def fit_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
                      id_col: str = "doc_id", texts_per_lang: int = 600, chars_per_text: int = 400,
-                     dictionary_bytes: int = 112_640, max_langs: int = 256) -> dict[str, bytes]:
+                     dictionary_bytes: int = 112_640, full_langs: int = 256) -> dict[str, bytes]:
     """Raw dictionary content per language, from a bounded sample of rows.
 
     Counts per language give a hash threshold that lets about
     ``texts_per_lang`` rows of each language pass, so no language's rows
-    gather anywhere. The ``max_langs`` most frequent languages (then by name)
-    are learned; at most about 1.5 * max_langs * texts_per_lang *
-    chars_per_text characters reach the driver."""
+    gather anywhere. Every language is learned; beyond ``full_langs`` of them
+    each has fewer texts and a smaller dictionary, so that about 1.5 *
+    full_langs * texts_per_lang * chars_per_text characters reach the driver
+    (a text of each language at least)."""
     usable = labelled.where(F.col(lang_col).isNotNull() & (F.trim(F.coalesce(text_col, F.lit(""))) != "")).select(
         F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
-    counts = usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang").limit(max_langs)
-    share = {r["_lang"]: 1.5 * texts_per_lang / r["n"] for r in counts.collect()}
-    if not share:
+    counts = usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
         return {}
+    if len(counts) > full_langs:
+        texts_per_lang = max(1, texts_per_lang * full_langs // len(counts))
+        dictionary_bytes = max(64, dictionary_bytes * full_langs // len(counts))
+    # a threshold for few texts could let none of a language pass
+    share = {r["_lang"]: max(1.5 * texts_per_lang, 20.0) / r["n"] for r in counts}
     order = F.pmod(F.xxhash64("_id", F.lit("fit")), F.lit(1 << 40)) / float(1 << 40)
     limit = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])
     sample = (

@@ -6,7 +6,7 @@ import pyarrow as pa
 from edge_rows import EDGE
 from pyspark.sql import functions as F
 
-from locus.llm.language_id import Classifier, identify, keep_identified
+from locus.llm.language_id import Classifier, fit_dictionaries, identify, keep_identified
 from locus.llm.mixing import DIMS, sampling_plan
 from locus.llm.packing import VOCABULARY, encoder, pack, pack_documents
 from locus.llm.pii import find_pii, luhn_ok, mod97_ok
@@ -228,6 +228,12 @@ def test_pack_balances_cost():
     assert sorted(firsts) == [0, 1, 2]  # the longest go to different sequences
 
 
+def test_every_language_is_learned(frame):
+    rows = [(i, f"words of l{i % 300} " * 3, f"l{i % 300}", "s") for i in range(600)]
+    learned = fit_dictionaries(frame(rows))
+    assert len(learned) == 300 and all(f"l{i} ".encode() in learned[f"l{i}"] for i in range(300))
+
+
 # -- mixing -------------------------------------------------------------------
 
 def test_raking_meets_the_marginals(spark, frame):
