@@ -9,7 +9,7 @@ from locus.session import materialize, scratch_path
 
 __all__ = [
     "SPACE", "WORD", "ascii_lower", "attach_salted", "documents", "materialize", "remove",
-    "scratch_path", "shuffle_partitions", "text_of",
+    "scratch_path", "shuffle_partitions", "text_of", "written",
 ]
 
 #: ASCII white space and words as the contracts define them.
@@ -40,6 +40,13 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Like ``materialize``, with the folder, for a table that is removed once superseded."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def attach_salted(rows: DataFrame, groups: DataFrame, keys: list[str], spread: Column,
                   salts: int = 16) -> DataFrame:
     """Left join ``groups`` (one row per key) to ``rows`` without sending a hot

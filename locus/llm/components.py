@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locus.llm.common import attach_salted, materialize
+from locus.llm.common import attach_salted, remove, written
 
 
 def _lowest(edges: DataFrame, salts: int) -> DataFrame:
@@ -21,9 +21,9 @@ def connected_components(links: DataFrame, salts: int = 8) -> DataFrame:
     Each round connects every node's larger neighbours to its lowest one
     (large star), then its smaller neighbours likewise (small star); rounds
     are logarithmic in the longest path. Links stay rows, a node's links are
-    never gathered, and every round is a written table. Ends when a round
+    never gathered, and every round is a written table in place of the last. Ends when a round
     changes nothing; then every node points at its component."""
-    edges = materialize(links.where("u <> v").select(
+    edges, path = written(links.where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     mark = None
     while True:
@@ -33,7 +33,9 @@ def connected_components(links: DataFrame, salts: int = 8) -> DataFrame:
         near = _lowest(large, salts)
         small = near.select("u", F.col("m").alias("v")).union(
             near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        edges = materialize(small, "links")
+        edges, newer = written(small, "links")
+        remove(edges.sparkSession, path)
+        path = newer
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
