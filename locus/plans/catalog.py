@@ -503,7 +503,7 @@ def _table_list(s: Scenario) -> DataFrame:
     store = TableStore(s.spark, scratch_path(s.spark, "created"))
     store.create_all()
     store.publish("location_lookup", s.lookup)
-    store.drop("covid_data_staging", purge=True)
+    store.drop("covid_data_staging")
     return store.list_tables()
 
 

@@ -2,27 +2,27 @@
 
 A load writes each staging table once, builds the dimension, conforms both
 scopes of each source in one pass, merges the batch into the months of the
-facts that it touches, checks what it has staged, and only then publishes:
-the dimension first, so facts never name an unknown place, then the facts'
-months. Every step is keyed, so running a load again after a failure completes
-it. Staging tables and scratch files are removed at the end.
+facts that it touches, checks what it has staged, and only then publishes all
+five tables by one commit. Every step is keyed, so running a load again after
+a failure completes it. Staging tables and scratch files go at the end.
 """
 
 from __future__ import annotations
 
+import contextvars
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from locus.functions.recode import recode
+from locus.operators.carry import CARRY_COLUMNS, carried_in, following_months, month_deltas, month_last, month_of
 from locus.operators.covid import covid_batch
-from locus.operators.deltas import refresh_deltas
 from locus.operators.dml import conform, upsert
 from locus.operators.locations import NEW_LOCATION_OFFSET, upsert_location_dim, with_missing_locations
 from locus.operators.mobility import conform_mobility_all, latest_mobility
@@ -36,7 +36,7 @@ from locus.sources.readers import (
     ensure_each_not_empty, ensure_not_empty, normalize_case_report, read_case_reports, read_psv, read_source_csv,
     source_paths,
 )
-from locus.sources.tables import TableStore
+from locus.sources.tables import Staged, TableStore
 from locus.sources.writers import land_json
 
 SCOPES = ("us", "non_us")
@@ -51,7 +51,7 @@ class SourceTemplates:
     mobility: str  # gzip PSV, e.g. .../mobility/google_mobility_{file_date}.psv.gz
 
 
-# Header names of the landed lookup file (the staging names differ).
+# Header names of the landed lookup file (the staging names differ).
 LOOKUP_SOURCE_HEADER = [
     "UID", "iso2", "iso3", "code3", "FIPS", "Admin2", "Province_State", "Country_Region",
     "Lat", "Long_", "Combined_Key", "Population",
@@ -78,130 +78,119 @@ def land_reports(spark: SparkSession, raw: str, landed: str, dates: Iterable[dt.
 # -- facts --------------------------------------------------------------------
 
 def together(jobs: Mapping[str, Callable[[], object]]) -> dict:
-    """Run independent Spark jobs side by side (the scheduler shares the cores)."""
+    """Run independent Spark jobs side by side (the scheduler shares the
+    cores), each in this context: its scratch tables are of this scope."""
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
+        running = {name: pool.submit(contextvars.copy_context().run, job) for name, job in jobs.items()}
         return {name: job.result() for name, job in running.items()}
 
 
-def _month(col: str = "file_date"):
-    return F.date_format(col, "yyyy-MM")
-
-
 def _months_of(df: DataFrame) -> list[str]:
     """The months of a batch (a few)."""
-    return sorted(r[0] for r in df.select(_month().alias("m")).distinct().collect() if r[0])
-
-
-def _span(months: list[str], known: list[str]) -> list[str]:
-    """All known months from the first to the last of ``months``."""
-    return sorted({m for m in known if months[0] <= m <= months[-1]} | set(months))
-
-
-def _months_after(store: TableStore, table: str, batch: DataFrame, first: str, known: list[str]) -> list[str]:
-    """Months of rows that follow a row of the batch in their location's
-    series: their delta changes too."""
-    later = [m for m in known if m >= first]
-    if not later:
-        return []
-    places = batch.select("location_identifier").distinct()
-    old = store.read(table, later).select(*FACT_KEY).join(places, "location_identifier", "left_semi")
-    both = old.withColumn("new", F.lit(0)).unionByName(batch.select(*FACT_KEY).withColumn("new", F.lit(1)))
-    series = both.groupBy(*FACT_KEY).agg(F.max("new").alias("new"))
-    w = Window.partitionBy("location_identifier").orderBy("file_date")
-    after = series.withColumn("prev", F.lag("new").over(w)).filter((F.col("new") == 0) & (F.col("prev") == 1))
-    return _months_of(after)
-
-
-def _context(store: TableStore, table: str, batch: DataFrame, earlier: list[str]) -> DataFrame:
-    """Each touched location's last row in the ``earlier`` months, looked for
-    in the last one, then a year, then all of the history."""
-    places = batch.select("location_identifier").distinct()
-    w = Window.partitionBy("location_identifier").orderBy(F.col("file_date").desc())
-    found = None
-    for count in (1, 12, len(earlier)):
-        months, earlier = earlier[-count:], earlier[:-count] if count else []
-        rows = store.read(table, months).join(places, "location_identifier", "left_semi")
-        rows = materialize(rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"), "context")
-        found = rows if found is None else found.unionByName(rows)
-        places = materialize(places.join(rows, "location_identifier", "left_anti"), "context")
-        if not earlier or places.isEmpty():
-            break
-    return found
-
-
-def stage_fact_months(store: TableStore, table: str, batch: DataFrame, with_deltas: bool) -> DataFrame | None:
+    return sorted(r[0] for r in df.select(month_of().alias("m")).distinct().collect() if r[0])
+
+
+def month_carry(store: TableStore, table: str) -> DataFrame:
+    """The carry rows of a fact; of months published without, from the fact."""
+    name = f"{table}_carry"
+    known, lacks = store.months(name), sorted({*store.months(table)} - {*store.months(name)})
+    if not lacks:
+        return store.read(name).select(*CARRY_COLUMNS) if known else month_last(store.read(table))
+    found = month_last(store.read(table, lacks))
+    return found.unionByName(store.read(name).select(*CARRY_COLUMNS)) if known else found
+
+
+def stage_fact_months(store: TableStore, table: str, batch: DataFrame, with_deltas: bool) -> Staged | None:
     """The new content of every month of ``table`` that ``batch`` (written,
-    de-duplicated) changes, written to scratch; None for an empty batch."""
+    de-duplicated) changes, written to a fresh folder; None for an empty batch.
+
+    With deltas these are the batch's months and each batch row's next month
+    with rows of its location; the carry rows of the same months go along."""
     if batch.isEmpty():
         return None
-    columns = batch.columns
-    touched, known = _months_of(batch), store.months(table)
+    touched = _months_of(batch)
     if not touched:  # no date at all: the gate refuses these rows
-        return batch
-    if with_deltas:
-        touched = sorted({*touched, *_months_after(store, table, batch, touched[0], known)})
-        touched = _span(touched, known)
-    merged = upsert(store.read(table, touched).select(*columns), batch, FACT_KEY, unique_keys=True)
-    if with_deltas:
-        earlier = [m for m in known if m < touched[0]]
-        if earlier:
-            merged = merged.unionByName(_context(store, table, batch, earlier).select(*columns))
-        merged = refresh_deltas(merged, batch).filter(F.col("file_date").isNull() | (_month() >= touched[0]))
-    return materialize(merged.select(*columns), f"months_{table}")
-
-
-def gate_and_publish(store: TableStore, facts: Mapping[str, DataFrame | None],
-                     dimension: DataFrame | None = None) -> None:
+        return Staged(table, batch, "", ())
+    if not with_deltas:
+        return store.stage(table, upsert(store.read(table, touched).select(*batch.columns), batch, FACT_KEY,
+                                         unique_keys=True))
+    carry = month_carry(store, table)
+    after = following_months(carry, batch).collect()  # month names
+    touched = sorted({*touched, *(r["month"] for r in after)})
+    merged = upsert(store.read(table, touched).select(*batch.columns), batch, FACT_KEY, unique_keys=True)
+    others = carry.where(~month_of().isin(touched))
+    lasts = store.stage(f"{table}_carry", month_last(merged).select(*CARRY_COLUMNS))
+    before = carried_in(others.unionByName(lasts.rows), touched)
+    months = store.stage(table, month_deltas(merged, before).select(*batch.columns))
+    return replace(months, also=(lasts,))
+
+
+def gate_and_publish(store: TableStore, facts: Mapping[str, Staged | None], dimension: Staged | None = None,
+                     keys: Mapping[str, list[str]] = TABLE_KEYS, checked: Mapping[str, DataFrame] | None = None,
+                     ledger: Mapping[str, int] | None = None, whole: bool = True) -> None:
     """Check everything that is staged (months that are not rewritten cannot
-    gain a fault: fact keys hold the date), then publish it. With a dimension
-    it is a whole load, after which no table may be empty."""
-    staged = {t: df for t, df in facts.items() if df is not None}
+    gain a fault: fact keys hold the date), then publish it by one commit.
+    With a dimension it is a whole load (unless told otherwise), after which no
+    table may be empty. ``checked`` are further tables to check, ``ledger`` the
+    stream batches that the commit completes."""
+    staged = {t: s for t, s in facts.items() if s is not None}
     if dimension is not None:
-        bare = [t for t in facts if t not in staged and store.read(t).isEmpty()]
-        if bare:
+        bare = [t for t in facts if t not in staged and not store.months(t)]
+        if bare and whole:
             raise ValueError(f"load refused by its quality gate: no rows for {', '.join(bare)}")
-    checked = staged | ({"location_lookup": dimension} if dimension is not None else {})
-    if checked:
-        assert_quality(quality_report(checked, TABLE_KEYS))
+    found = {t: s.rows for t, s in staged.items()} | dict(checked or {})
     if dimension is not None:
-        store.publish("location_lookup", dimension)
-    together({table: partial(store.replace_months, table, df) for table, df in staged.items()})
+        found.setdefault("location_lookup", dimension.rows)
+    if found:
+        assert_quality(quality_report(found, keys))
+    published = [*staged.values(), *([dimension] if dimension is not None else [])]
+    if published or ledger:
+        store.commit(published, ledger=ledger)
 
 
-def load_covid_months(store: TableStore, covid: DataFrame, dim: DataFrame) -> dict[str, DataFrame | None]:
+def load_covid_months(store: TableStore, covid: DataFrame, dim: DataFrame) -> dict[str, Staged | None]:
     """Staged months of both case facts: one routing pass, one dedup."""
     batch = materialize(covid_batch(recode(covid, "admin2"), dim), "covid_batch")
 
-    def stage(scope: str) -> DataFrame | None:
+    def stage(scope: str) -> Staged | None:
         rows = batch.filter(F.col("_scope") == scope).select(*COVID_FACT.fieldNames())
         return stage_fact_months(store, f"covid_data_{scope}", rows, with_deltas=True)
 
     return together({f"covid_data_{scope}": partial(stage, scope) for scope in SCOPES})
 
 
-def load_mobility_months(store: TableStore, mobility: DataFrame, dim: DataFrame) -> dict[str, DataFrame | None]:
-    """Staged months of both mobility facts. The conformed rows are written to
-    their two staging tables on the way."""
-    conformed = materialize(conform_mobility_all(mobility, dim), "mobility_conformed")
+def load_mobility_months(store: TableStore, mobility: DataFrame, dim: DataFrame) -> dict[str, Staged | None]:
+    """Staged months of both mobility facts: one routing pass, one dedup."""
+    batch = materialize(latest_mobility(conform_mobility_all(mobility, dim)), "mobility_batch")
 
-    def stage(scope: str) -> DataFrame | None:
-        table = f"google_mobility_data_{scope}"
-        rows = conformed.filter(F.col("_scope") == scope).drop("_scope").distinct()
-        store.publish(f"{table}_staging", conform(rows, MOBILITY_CONFORMED))
-        batch = materialize(latest_mobility(store.read(f"{table}_staging")), f"batch_{table}")
-        return stage_fact_months(store, table, batch.select(*MOBILITY_FACT.fieldNames()), with_deltas=False)
+    def stage(scope: str) -> Staged | None:
+        rows = batch.filter(F.col("_scope") == scope).select(*MOBILITY_FACT.fieldNames())
+        return stage_fact_months(store, f"google_mobility_data_{scope}", rows, with_deltas=False)
 
     return together({f"google_mobility_data_{scope}": partial(stage, scope) for scope in SCOPES})
 
 
+def publish_conformed(store: TableStore, mobility: DataFrame, dim: DataFrame) -> None:
+    """The two conformed mobility staging tables, for a load that keeps its
+    staging (the facts do not need them: their dedup drops repeats as well)."""
+    conformed = materialize(conform_mobility_all(mobility, dim), "mobility_conformed")
+    rows = {scope: conformed.filter(F.col("_scope") == scope).drop("_scope").distinct() for scope in SCOPES}
+    store.commit([store.stage(f"google_mobility_data_{scope}_staging", conform(df, MOBILITY_CONFORMED))
+                  for scope, df in rows.items()])
+
+
 # -- loads --------------------------------------------------------------------
 
-def load_staging(store: TableStore, name: str, rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Truncate and load one staging table: the source is parsed once, here.
-    The rebalance spreads what one unsplittable file put into one task."""
-    store.publish(name, conform(rows, schema).hint("rebalance"))
-    return ensure_not_empty(store.read(name), name)
+def load_staging(store: TableStore, sources: Mapping[str, tuple[DataFrame, T.StructType]]) -> dict[str, DataFrame]:
+    """Truncate and load staging tables: each source is parsed once, here, side
+    by side. The rebalance spreads what one unsplittable file put into one
+    task. A table without rows refuses the load before anything is published."""
+    staged = together({name: partial(store.stage, name, conform(rows, schema).hint("rebalance"))
+                       for name, (rows, schema) in sources.items()})
+    for name, s in staged.items():
+        ensure_not_empty(s.rows, name)
+    store.commit(list(staged.values()))
+    return {name: s.rows for name, s in staged.items()}
 
 
 def run_load(
@@ -218,17 +207,22 @@ def run_load(
     ``key_offset``: new places get ids that far above the current maximum;
     choose a smaller one before repeated loads reach the end of INT."""
     with scratch_scope(spark):
-        covid = load_staging(store, "covid_data_staging", covid, COVID_STAGING)
-        lookup = load_staging(store, "location_lookup_staging", lookup, LOOKUP_STAGING)
-        mobility = load_staging(store, "google_mobility_data_staging", mobility, MOBILITY_STAGING)
+        staging = load_staging(store, {
+            "covid_data_staging": (covid, COVID_STAGING),
+            "location_lookup_staging": (lookup, LOOKUP_STAGING),
+            "google_mobility_data_staging": (mobility, MOBILITY_STAGING),
+        })
+        mobility = staging["google_mobility_data_staging"]
         # dimension: upsert + known fixes, then places only mobility knows
-        dim = materialize(upsert_location_dim(store.read("location_lookup"), lookup), "dim_upserted")
-        dim = with_missing_locations(dim, mobility, key_offset=key_offset)
-        dim = materialize(dim.select(*LOCATION_LOOKUP.fieldNames()), "dim")
-        loads = together({"covid": partial(load_covid_months, store, covid, dim),
-                          "mobility": partial(load_mobility_months, store, mobility, dim)})
+        merged = upsert_location_dim(store.read("location_lookup"), staging["location_lookup_staging"])
+        dim = with_missing_locations(materialize(merged, "dim_upserted"), mobility, key_offset=key_offset)
+        dim = store.stage("location_lookup", dim.select(*LOCATION_LOOKUP.fieldNames()))
+        loads = together({"covid": partial(load_covid_months, store, staging["covid_data_staging"], dim.rows),
+                          "mobility": partial(load_mobility_months, store, mobility, dim.rows)})
         gate_and_publish(store, loads["covid"] | loads["mobility"], dim)
-        if not keep_staging:
+        if keep_staging:
+            publish_conformed(store, mobility, dim.rows)
+        else:
             cleanup_staging(store)
 
 
@@ -266,6 +260,5 @@ def run_historical(spark: SparkSession, store: TableStore, covid_prefix: str, lo
 
 
 def cleanup_staging(store: TableStore) -> None:
-    """DROP TABLE IF EXISTS for the staging tables, files included."""
-    for name in STAGING_TABLES:
-        store.drop(name, purge=True)
+    """DROP TABLE IF EXISTS for the staging tables."""
+    store.drop(*STAGING_TABLES)

@@ -175,6 +175,9 @@ FINAL_TABLES = {
 
 ALL_TABLES = {**STAGING_TABLES, **FINAL_TABLES}
 
+# Kept beside a case fact: each location's last row of every month.
+CARRY_TABLES = {f"{name}_carry" for name, schema in FINAL_TABLES.items() if schema is COVID_FACT}
+
 FACT_KEY = ["location_identifier", "file_date"]
 
 TABLE_KEYS = {

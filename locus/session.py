@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -66,19 +67,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-# Paths given out inside a scratch scope, innermost last.
-_SCOPES: list[list[str]] = []
+# Paths given out inside the scratch scope of this context: loads that run side
+# by side each have their own. ``together`` hands it to its worker threads.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared folder (Spark's writers
     create it)."""
     path = f"{checkpoint_root(spark)}/locus-scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    return delete_with_scope(path)
+
+
+def delete_with_scope(path: str) -> str:
+    """Have ``path`` deleted at the end of the current scratch scope, if any."""
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
+def keep_after_scope(path: str) -> None:
+    """Take ``path`` out of the current scratch scope: it is published."""
+    scope = _SCOPE.get()
+    if scope is not None and path in scope:
+        scope.remove(path)
+
+
 def file_system(spark: SparkSession, path: str):
     """(Hadoop file system, Hadoop path) of ``path``, whatever store it is in."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -99,11 +114,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Scratch tables written inside are deleted at the end: for jobs whose
     results are published elsewhere by then."""
-    _SCOPES.append([])
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        _SCOPE.reset(token)
+        for path in paths:
             remove_path(spark, path)
 
 

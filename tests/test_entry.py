@@ -40,3 +40,20 @@ def test_query_matches_oracle(spark, duck, name):
     idx = sorted(range(len(cols)), key=lambda i: cols[i])
     want = sorted((tuple(norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert got == want
+
+
+def test_the_rest_works_without_the_optional_part(tmp_path):
+    """An empty ``locus/llm`` folder, as an uninstall may leave it."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(f"{root}/locus", tmp_path / "locus", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    (tmp_path / "locus" / "llm" / "__pycache__").mkdir(parents=True)
+    code = "import __spark_entry__ as E; print(sorted(E.queries()) == sorted(E.catalog.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+                          env=os.environ | {"PYTHONPATH": str(tmp_path)})
+    assert done.stdout.strip().endswith("True"), done.stderr

@@ -101,6 +101,44 @@ def test_late_rows_change_the_delta_of_the_next_month(spark, tmp_dir):
         assert rows(got) == rows(want.select(*got.columns))
 
 
+def test_one_late_row_rewrites_two_months(spark, tmp_dir):
+    """Rows every month; a late row of an early month rewrites that month and
+    the location's next one, whatever lies in between and after."""
+    def fact(rows_):
+        df = spark.createDataFrame(rows_, "location_identifier int, file_date date, ttl_confirmed_cases long")
+        return materialize(empty_like(spark, COVID_FACT).unionByName(df, allowMissingColumns=True), "fact")
+
+    store, table = TableStore(spark, tmp_dir), "covid_data_us"
+    old = [(loc, dt.date(2020 + m // 12, m % 12 + 1, d), 10 * m + d) for loc in (1, 2, 3) for m in range(18)
+           for d in (1, 9) if not (loc == 1 and m in (3, 4))]
+    gate_and_publish(store, {table: stage_fact_months(store, table, fact(old), with_deltas=True)})
+    before = store.month_paths(table), store.month_paths(f"{table}_carry")
+    late = [(1, dt.date(2020, 3, 20), 77)]
+    gate_and_publish(store, {table: stage_fact_months(store, table, fact(late), with_deltas=True)})
+    after = store.month_paths(table), store.month_paths(f"{table}_carry")
+    for was, now in zip(before, after):
+        assert {m for m in now if now[m] != was.get(m)} == {"2020-03", "2020-06"}
+    got = store.read(table)
+    assert rows(got) == rows(daily_deltas(fact(old + late)).select(*got.columns))
+
+
+def test_a_refused_load_publishes_nothing(spark, tmp_dir):
+    """All tables switch after the gate, or none."""
+    from locus.plans.catalog import _normalized
+    from locus.plans.jobs import run_load
+    from locus.sources.readers import parse_case_reports
+
+    s = Scenario(spark, "/root/testdata/sf0.001")
+    store = TableStore(spark, tmp_dir)
+    covid = parse_case_reports(_normalized(s))
+    run_load(spark, store, covid, s.lookup_staging, s.mobility_staging)
+    before = {t: rows(store.read(t)) for t in FINAL_TABLES}
+    twice = s.lookup_staging.unionByName(s.lookup_staging.filter("uid = 1").withColumn("population", s.lookup_staging.uid * 2.0))
+    with pytest.raises(ValueError, match="check_duplicates of location_lookup gave 1"):
+        run_load(spark, store, covid, twice, s.mobility_staging)
+    assert {t: rows(store.read(t)) for t in FINAL_TABLES} == before
+
+
 def test_load_refuses_empty_tables_and_undated_rows(spark, tmp_dir):
     store = TableStore(spark, tmp_dir)
     undated = materialize(empty_like(spark, COVID_FACT).unionByName(
@@ -109,7 +147,7 @@ def test_load_refuses_empty_tables_and_undated_rows(spark, tmp_dir):
         gate_and_publish(store, {"covid_data_us": stage_fact_months(store, "covid_data_us", undated, True)})
     assert not store.exists("covid_data_us")
     with pytest.raises(ValueError, match="no rows for covid_data_us"):
-        gate_and_publish(store, {"covid_data_us": None}, empty_like(spark, LOCATION_LOOKUP))
+        gate_and_publish(store, {"covid_data_us": None}, store.stage("location_lookup", empty_like(spark, LOCATION_LOOKUP)))
 
 
 def test_landing_job(spark, tmp_dir):

@@ -19,6 +19,6 @@ def test_quality_report(spark):
     assert rep[("nulls", "check_nulls")] == (2, False)
     assert rep[("nulls", "check_duplicates")] == (0, True)
     assert rep[("dups", "check_duplicates")] == (1, False)
-    with pytest.raises(ValueError, match="dups.check_duplicates"):
+    with pytest.raises(ValueError, match="check_duplicates of dups gave 1"):
         assert_quality(quality_report(tables, keys))
     assert_quality(quality_report({"clean": tables["clean"]}, keys))

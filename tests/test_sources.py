@@ -126,44 +126,66 @@ def test_table_store_versions(spark, tmp_dir):
     assert [r[0] for r in store.list_tables().collect()] == ["t1"]
 
 
-def test_unreadable_log_is_not_an_absent_table(spark, tmp_dir):
+def test_unreadable_version_is_not_an_absent_table(spark, tmp_dir):
     store = TableStore(spark, tmp_dir)
     store.publish("t1", spark.createDataFrame([(1,)], "a int"))
-    log = [f for f in os.listdir(f"{tmp_dir}/t1/_log") if f.startswith("part")]
-    with open(f"{tmp_dir}/t1/_log/zz-damaged.json", "w") as f:
-        f.write('{"seq": ')
-    assert log
-    with pytest.raises(Exception, match="(?i)malformed"):
+    with open(f"{tmp_dir}/_versions/0000000002.json", "w") as f:
+        f.write('{"tables": ')
+    with pytest.raises(OSError, match="malformed"):
         store.read("t1")
-    with pytest.raises(Exception, match="(?i)malformed"):
-        store.list_tables().collect()
-
+    with pytest.raises(OSError, match="malformed"):
+        store.list_tables()
+
+
+def _case_rows(store, rows):
+    df = store.spark.createDataFrame(rows, "location_identifier int, file_date date, ttl_confirmed_cases long")
+    have = store.read("covid_data_us").limit(0)
+    return have.unionByName(df, allowMissingColumns=True)
+
+
+def test_months_switch_and_a_reader_goes_on(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir, keep=1)
+    day = dt.date
+    store.publish("covid_data_us", _case_rows(store, [(1, day(2020, 1, 5), 1), (1, day(2020, 2, 5), 2)]))
+    first = store.month_paths("covid_data_us")
+    reader = store.read("covid_data_us")
+    files = sorted(reader.inputFiles())
+    store.replace_months("covid_data_us", _case_rows(store, [(1, day(2020, 2, 5), 9), (1, day(2020, 3, 5), 4)]))
+    second = store.month_paths("covid_data_us")
+    assert first["2020-01"] == second["2020-01"] and first["2020-02"] != second["2020-02"]
+    # what the reader has planned is still there, and it answers
+    assert all(os.path.exists(f.removeprefix("file:").replace("///", "/")) for f in files)
+    assert reader.count() == 3
+    got = sorted((r["file_date"].month, r["ttl_confirmed_cases"]) for r in store.read("covid_data_us").collect())
+    assert got == [(1, 1), (2, 9), (3, 4)]
+    assert store.read("covid_data_us", ["2020-02"]).count() == 1
+    # the catalog's table is the same, and its months prune
+    table = spark.table(f"{store.database}.covid_data_us").where("file_month = '2020-03'")
+    assert len(table.inputFiles()) == 1 and table.count() == 1
+    # two commits later the replaced month is gone, months in use are not
+    store.replace_months("covid_data_us", _case_rows(store, [(1, day(2020, 3, 6), 5)]))
+    assert not os.path.exists(first["2020-02"]) and os.path.exists(first["2020-01"])
+    assert len(store._versions()) == 2
 
-def test_month_replacement_keeps_other_months(spark, tmp_dir):
-    store = TableStore(spark, tmp_dir)
-    cols = "location_identifier int, file_date date, ttl_confirmed_cases long"
-    full = store.schemas["covid_data_us"].fieldNames()
 
-    def fact(rows):
-        df = spark.createDataFrame(rows, cols)
-        have = store.read("covid_data_us").select(*full).limit(0)
-        return have.unionByName(df, allowMissingColumns=True)
+def test_another_session_registers_what_is_published(spark, tmp_dir):
+    from locus.sources import tables
 
-    store.publish("covid_data_us", fact([(1, dt.date(2020, 1, 5), 1), (1, dt.date(2020, 2, 5), 2)]))
-    where = store.current_path("covid_data_us")
+    store = TableStore(spark, tmp_dir)
+    store.publish("covid_data_us", _case_rows(store, [(1, dt.date(2020, 1, 5), 1)]))
+    spark.sql(f"DROP DATABASE {store.database} CASCADE")  # a catalog that knows nothing of it
+    tables._REGISTERED.clear()
+    assert TableStore(spark, tmp_dir).read("covid_data_us").count() == 1
 
-    def files():
-        return {(d, f) for d, _, names in os.walk(where) for f in names if f.startswith("part")}
 
-    before = files()
-    store.replace_months("covid_data_us", fact([(1, dt.date(2020, 2, 5), 9)]))
-    after = files()
-    assert {x for x in before if "2020-01" in x[0]} == {x for x in after if "2020-01" in x[0]}
-    assert {x for x in before if "2020-02" in x[0]}.isdisjoint(after)
-    got = sorted((r["file_date"].month, r["ttl_confirmed_cases"]) for r in store.read("covid_data_us").collect())
-    assert got == [(1, 1), (2, 9)]
-    assert store.months("covid_data_us") == ["2020-01", "2020-02"]
-    assert store.read("covid_data_us", ["2020-02"]).count() == 1
+def test_a_second_writer_fails(spark, tmp_dir, monkeypatch):
+    store = TableStore(spark, tmp_dir)
+    store.publish("t1", spark.range(1))
+    monkeypatch.setattr(store, "_current", lambda: (0, {"tables": {}, "ledger": {}}))  # read before the other's commit
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.publish("t1", spark.range(2))
+    monkeypatch.undo()
+    assert store.read("t1").count() == 1
 
 
 def test_empty_fact_is_readable(spark, tmp_dir):
