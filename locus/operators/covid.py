@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locus.functions.columns import level_key, norm_key, null_of
-from locus.operators.dedup import dedup_latest
+from locus.operators.dedup import dedup_latest, latest_load
 from locus.operators.deltas import daily_deltas, refresh_deltas
 from locus.operators.dml import upsert
-from locus.operators.routing import ROUTE_KEYS, lookup_route_keys
+from locus.operators.routing import attach_places, lookup_route_keys
+from locus.operators.validity import LOAD_DAY
 from locus.schemas import COVID_FACT, FACT_KEY
 from locus.session import materialize
 
@@ -59,9 +60,13 @@ def covid_batch(covid: DataFrame, lookup: DataFrame) -> DataFrame:
     (column ``_scope``; deltas still NULL): one scan, one join, one dedup.
 
     Dedup is per (granularity, location, file_date), i.e. per level branch.
+    Rows that carry their load day are the batches of several days at once: a
+    place is that of the day, and a later day's rows replace an earlier day's.
     """
     routed = route_covid(covid).filter(F.col("_scope").isNotNull() & F.col("_level").isNotNull())
-    rows = routed.join(lookup_route_keys(lookup, "country_region"), ROUTE_KEYS).select(
+    day = [LOAD_DAY] if LOAD_DAY in covid.columns else []
+    rows = attach_places(routed, lookup_route_keys(lookup, "country_region")).select(
+        *day,
         "_scope",
         "location_identifier",
         "file_date",
@@ -69,7 +74,9 @@ def covid_batch(covid: DataFrame, lookup: DataFrame) -> DataFrame:
         *COVID_DEDUP_ORDER,
     )
     keys = ["_scope", "location_granularity", "location_identifier", "file_date"]
-    latest = dedup_latest(rows, keys, COVID_DEDUP_ORDER)
+    latest = dedup_latest(rows, keys, [*day, *COVID_DEDUP_ORDER])
+    if day:
+        latest = latest_load(latest, ["_scope", "location_identifier", "file_date"], LOAD_DAY)
     return latest.select(
         "_scope",
         "location_identifier",

@@ -49,3 +49,11 @@ def dedup_latest(
         F.struct(*desc_nulls_first_key(full_order), F.struct(*payload).alias("_row"))
     ).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, "_best._row.*").select(*df.columns)
+
+
+def latest_load(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """The rows of each key's last load: what loads in turn leave when a later
+    one replaces the key's rows. Ranks keep ties, and are limited before the
+    shuffle like the dedup."""
+    w = Window.partitionBy(*keys).orderBy(F.col(day).desc())
+    return df.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")

@@ -23,9 +23,11 @@ NEW_LOCATION_OFFSET = 100_000_000
 INT_MAX = 2**31 - 1
 
 
-def staging_to_dimension(staging: DataFrame) -> DataFrame:
-    """Rename staged lookup columns to the dimension's names and types."""
+def staging_to_dimension(staging: DataFrame, *more: str) -> DataFrame:
+    """Rename staged lookup columns to the dimension's names and types
+    (``more`` columns go along)."""
     return staging.select(
+        *more,
         F.col("uid").cast("int").alias("location_identifier"),
         F.col("iso2").alias("iso2_code"),
         F.col("iso3").alias("iso3_code"),

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from locus.functions.columns import level_key, norm_key, to_int_rounded
 from locus.operators.dedup import dedup_latest
 from locus.operators.dml import upsert
-from locus.operators.routing import ROUTE_KEYS, granularity, lookup_route_keys
+from locus.operators.routing import ROUTE_KEYS, attach_places, granularity, lookup_route_keys
+from locus.operators.validity import LOAD_DAY
 from locus.schemas import FACT_KEY, MOBILITY_FACT, MOBILITY_MEASURES
 from locus.session import materialize
 
@@ -55,9 +56,11 @@ def route_mobility(mobility: DataFrame) -> DataFrame:
 def conform_mobility_all(mobility: DataFrame, lookup: DataFrame) -> DataFrame:
     """Attach location id and granularity, both scopes at once (column
     ``_scope``): one scan, one equi-join on the routing keys. Census codes
-    route US rows only, so one key table serves both scopes."""
+    route US rows only, so one key table serves both scopes. A load day goes
+    along."""
     routed = route_mobility(mobility).filter(F.col("_scope").isNotNull() & F.col("_level").isNotNull())
-    return routed.join(lookup_route_keys(lookup, "iso2_code", with_fips=True), ROUTE_KEYS).select(
+    return attach_places(routed, lookup_route_keys(lookup, "iso2_code", with_fips=True)).select(
+        *[c for c in (LOAD_DAY,) if c in mobility.columns],
         "_scope",
         "location_identifier",
         F.col("date").alias("last_update_dt"),
@@ -81,9 +84,10 @@ MOBILITY_DEDUP_ORDER = ["last_update_dt", "location_granularity", *MOBILITY_MEAS
 
 def latest_mobility(conformed: DataFrame) -> DataFrame:
     """Conformed rows -> one row per location and day, in fact shape (with
-    ``_scope`` if they carry it)."""
+    ``_scope`` if they carry it). Of several load days the last wins."""
     scope = [c for c in ("_scope",) if c in conformed.columns]
-    latest = dedup_latest(conformed, [*scope, "location_identifier", "last_update_dt"], MOBILITY_DEDUP_ORDER)
+    day = [c for c in (LOAD_DAY,) if c in conformed.columns]
+    latest = dedup_latest(conformed, [*scope, "location_identifier", "last_update_dt"], [*day, *MOBILITY_DEDUP_ORDER])
     return latest.withColumnRenamed("last_update_dt", "file_date").select(*scope, *MOBILITY_FACT.fieldNames())
 
 

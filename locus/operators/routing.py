@@ -13,10 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locus.functions.columns import level_key, norm_key
+from locus.operators.validity import VALIDITY, as_of
 
 ROUTE_KEYS = ["_level", "_k1", "_k2", "_k3"]
 
 
+def attach_places(routed: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows with the id of their place; rows that carry their load day, against
+    keys that carry validity, with that of the place as of that day."""
+    joined = routed.join(keys, ROUTE_KEYS)
+    return as_of(joined) if VALIDITY[0] in keys.columns else joined
+
+
 def dimension_level(province: Column, county: Column) -> Column:
     """Level of a dimension row from its null pattern."""
     return (
@@ -31,12 +39,13 @@ def lookup_route_keys(lookup: DataFrame, by: str, with_fips: bool = False) -> Da
 
     ``by`` is the country key: ``iso2_code`` (mobility) or ``country_region``
     (case reports). ``with_fips`` adds a 'fips' level keyed by the numeric
-    code, whatever the row's own level.
+    code, whatever the row's own level. Validity days go along.
     """
     prov, county = F.col("province_or_state"), F.col("county_or_city")
     level = dimension_level(prov, county)
+    validity = [c for c in VALIDITY if c in lookup.columns]
     names = lookup.select(
-        "location_identifier",
+        "location_identifier", *validity,
         level.alias("_level"),
         norm_key(by).alias("_k1"),
         F.when(level == "country", F.lit("")).otherwise(level_key(prov)).alias("_k2"),
@@ -45,7 +54,7 @@ def lookup_route_keys(lookup: DataFrame, by: str, with_fips: bool = False) -> Da
     if not with_fips:
         return names
     codes = lookup.filter(F.col("fips_code").isNotNull()).select(
-        "location_identifier",
+        "location_identifier", *validity,
         F.lit("fips").alias("_level"),
         F.col("fips_code").cast("string").alias("_k1"),
         F.lit("").alias("_k2"),

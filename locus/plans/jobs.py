@@ -27,14 +27,17 @@ from locus.operators.dml import conform, upsert
 from locus.operators.locations import NEW_LOCATION_OFFSET, upsert_location_dim, with_missing_locations
 from locus.operators.mobility import conform_mobility_all, latest_mobility
 from locus.operators.quality import assert_quality, quality_report
+from locus.operators.validity import (
+    DIMENSION, LOAD_DAY, NEVER, added_versions, dimension_versions, staged_versions,
+)
 from locus.schemas import (
     CASE_REPORT_FIELDS, COVID_FACT, COVID_STAGING, FACT_KEY, LOCATION_LOOKUP, LOOKUP_STAGING, MOBILITY_CONFORMED,
     MOBILITY_FACT, MOBILITY_STAGING, STAGING_TABLES, TABLE_KEYS,
 )
 from locus.session import materialize, scratch_scope
 from locus.sources.readers import (
-    ensure_each_not_empty, ensure_not_empty, normalize_case_report, read_case_reports, read_psv, read_source_csv,
-    source_paths,
+    ensure_each_day, ensure_each_not_empty, ensure_not_empty, normalize_case_report, read_case_reports, read_psv,
+    read_source_csv, source_paths, with_load_day,
 )
 from locus.sources.tables import Staged, TableStore
 from locus.sources.writers import land_json
@@ -58,8 +61,8 @@ LOOKUP_SOURCE_HEADER = [
 ]
 
 
-def _header_schema(names):
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def lookup_header() -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in LOOKUP_SOURCE_HEADER])
 
 
 # -- landing ------------------------------------------------------------------
@@ -227,7 +230,7 @@ def run_load(
 
 
 def read_lookup(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    rows = read_psv(spark, paths, LOOKUP_STAGING, _header_schema(LOOKUP_SOURCE_HEADER))
+    rows = read_psv(spark, paths, LOOKUP_STAGING, lookup_header())
     return ensure_each_not_empty(rows, paths)
 
 
@@ -251,6 +254,51 @@ def run_backfill(spark: SparkSession, store: TableStore, dates: Iterable[dt.date
                  read_psv(spark, mobility, MOBILITY_STAGING), key_offset)
 
 
+def run_backfill_bulk(spark: SparkSession, store: TableStore, dates: Iterable[dt.date], sources: SourceTemplates,
+                      fields: Mapping[str, str] = CASE_REPORT_FIELDS, key_offset: int = NEW_LOCATION_OFFSET) -> None:
+    """The tables that ``run_backfill`` gives, by one load of all days: the
+    number of Spark jobs does not grow with the days.
+
+    Dimension rows carry the days they hold, so each day's rows are joined
+    with the dimension as of that day (as-of join); of a key that several days
+    bring the last day's row stays. The gate looks at all days together, and
+    publishes all of them or none. Should a later lookup file bring an id that
+    an earlier day's new place was given, nothing is published: load these
+    days one after the other."""
+    days = sorted(set(dates))
+    with scratch_scope(spark):
+        def staged(name: str, rows: DataFrame, schema: T.StructType, template: str) -> DataFrame:
+            dated = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])
+            rows = materialize(conform(with_load_day(rows, template), dated).hint("rebalance"), name)
+            return ensure_each_day(rows, template, days)
+
+        paths = {t: source_paths(t, days) for t in (sources.covid, sources.lookup, sources.mobility)}
+        reports = read_case_reports(spark, paths[sources.covid], fields)
+        places = read_psv(spark, paths[sources.lookup], LOOKUP_STAGING, lookup_header())
+        moves = read_psv(spark, paths[sources.mobility], MOBILITY_STAGING)
+        staging = together({
+            "covid": partial(staged, "covid_days", reports, COVID_STAGING, sources.covid),
+            "lookup": partial(staged, "lookup_days", places, LOOKUP_STAGING, sources.lookup),
+            "mobility": partial(staged, "mobility_days", moves, MOBILITY_STAGING, sources.mobility),
+        })
+        covid, lookup, mobility = (staging[n] for n in ("covid", "lookup", "mobility"))
+        final = store.read("location_lookup")
+        versions = materialize(dimension_versions(final, lookup), "versions")
+        added = materialize(added_versions(final, versions, lookup, mobility, key_offset), "added_versions")
+        late = lookup.join(added, (F.col("uid") == F.col("location_identifier")) & (F.col(LOAD_DAY) > F.col("valid_from")),
+                           "left_semi")
+        if not late.isEmpty():
+            raise ValueError("a lookup file brings the id of a place added before it; load these days one by one")
+        versions = versions.unionByName(added)
+        current = versions.where(F.col("valid_to") == F.lit(NEVER)).select(*DIMENSION)
+        dim = store.stage("location_lookup", current)
+        loads = together({"covid": partial(load_covid_months, store, covid, versions),
+                          "mobility": partial(load_mobility_months, store, mobility, versions)})
+        gate_and_publish(store, loads["covid"] | loads["mobility"], dim,
+                         keys=TABLE_KEYS | {"lookup_days": ["location_identifier", LOAD_DAY]},
+                         checked={"lookup_days": staged_versions(lookup)})
+
+
 def run_historical(spark: SparkSession, store: TableStore, covid_prefix: str, lookup_path: str,
                    mobility_path: str, fields: Mapping[str, str] = CASE_REPORT_FIELDS) -> None:
     """All past case reports under a prefix (glob) plus one snapshot of the
