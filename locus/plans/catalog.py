@@ -19,18 +19,18 @@ from locus.operators.covid import covid_batch
 from locus.operators.quality import quality_report
 from locus.plans import oracle as O
 from locus.plans.jobs import (
-    LOOKUP_SOURCE_HEADER, SourceTemplates, read_lookup, gate_and_publish, land_reports, run_backfill, run_load,
-    stage_fact_months,
+    LOOKUP_SOURCE_HEADER, SourceTemplates, read_lookup, gate_and_publish, land_reports, run_backfill,
+    run_backfill_bulk, run_historical, run_load, stage_fact_months,
 )
 from locus.plans.scenario import SPLIT_NEW, SPLIT_OLD, Scenario
 from locus.schemas import (
     ALL_TABLES, CASE_REPORT_FIELDS, COVID_FACT, FACT_KEY, MOBILITY_MEASURES, MOBILITY_STAGING, TABLE_KEYS,
 )
-from locus.session import materialize, scratch_path
+from locus.session import file_system, materialize, scratch_path
 from locus.sources.readers import normalize_case_report, read_case_reports, read_psv
 from locus.sources.tables import TableStore
 from locus.sources.writers import land_json, land_psv
-from locus.streaming.ingest import ingest_new_reports
+from locus.streaming.ingest import ingest_new_mobility, ingest_new_reports
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -495,16 +495,26 @@ def _staging_load(s: Scenario) -> DataFrame:
     return A.table_counts({t: store.read(t) for t in ALL_TABLES})
 
 
-@register("table_list", _sql(body="SELECT table_name FROM (VALUES " + ", ".join(
-    f"('{t}')" for t in sorted(ALL_TABLES) if t != "covid_data_staging") + ") t(table_name) "
-    "WHERE EXISTS (SELECT 1 FROM location_lookup) ORDER BY table_name"))
+_LISTED = {t: FINAL_SQL.get(t) for t in sorted(ALL_TABLES) if t != "covid_data_staging"}
+
+
+@register("table_list", _sql(*FACT_CTES, body=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, " + (
+        "CAST(0 AS BIGINT) AS count_of_records, CAST(NULL AS DATE) AS max_file_date" if cte is None else
+        f"CAST(count(*) AS BIGINT) AS count_of_records, "
+        f"{'max(file_date)' if cte != 'location_lookup' else 'CAST(NULL AS DATE)'} AS max_file_date FROM {cte}")
+    for t, cte in _LISTED.items())))
 def _table_list(s: Scenario) -> DataFrame:
-    """Tables created up front, one loaded, one dropped: those that are there, by name."""
+    """Tables created up front, the finals loaded, one dropped: those that are
+    there, by name, with their rows and latest day."""
     store = TableStore(s.spark, scratch_path(s.spark, "created"))
     store.create_all()
-    store.publish("location_lookup", s.lookup)
+    store.commit([store.stage(t, df) for t, df in s.final_tables().items()])
     store.drop("covid_data_staging")
-    return store.list_tables()
+    names = [r[0] for r in store.list_tables().collect()]  # a handful
+    tables = {t: store.read(t) for t in names}
+    return store.list_tables().join(A.table_counts(tables), "table_name").join(
+        A.latest_dates(tables), "table_name", "left")
 
 
 @register("backfill_load", O.with_ctes(
@@ -540,8 +550,134 @@ def _backfill_load(s: Scenario) -> DataFrame:
     return store.read("location_lookup")
 
 
-@register("stream_ingest", _sql(body=O.deltas_sql(
-    f"({O.covid_batch_sql('covid_fixed', 'us')} UNION ALL {O.covid_batch_sql('covid_fixed', 'non_us')}) b")))
+_BOTH_CASE_FACTS = O.deltas_sql(
+    f"({O.covid_batch_sql('covid_fixed', 'us')} UNION ALL {O.covid_batch_sql('covid_fixed', 'non_us')}) b")
+BULK_DAYS = [dt.date(2021, 3, 1) + dt.timedelta(days=i) for i in range(30)]
+BULK_OFFSET = 1000
+
+
+def _landed_days(s: Scenario) -> SourceTemplates:
+    """Thirty days' files: a month's reports and mobility on one day, and on
+    each day a lookup, whose populations change on the sixteenth."""
+    root = scratch_path(s.spark, "bulk")
+
+    def dated(df: DataFrame, date) -> DataFrame:
+        month = (F.year(date) - 1992) * 12 + F.month(date) - 1
+        day = F.date_add(F.lit(BULK_DAYS[0]), F.pmod(month, F.lit(len(BULK_DAYS))).cast("int"))
+        return df.withColumn("day", F.date_format(day, "MM-dd-yyyy"))
+
+    land_json(dated(_normalized(s), F.to_date("file_date", "MM-dd-yyyy")), f"{root}/covid", partition_by="day")
+    land_psv(dated(s.mobility_staging, F.col("date")), f"{root}/mobility", partition_by="day")
+    nth = F.explode(F.sequence(F.lit(0), F.lit(len(BULK_DAYS) - 1)))
+    lookup = s.lookup_staging.withColumn("nth", nth)
+    lookup = lookup.withColumn("population", F.col("population") + (F.col("nth") >= 15).cast("int")).withColumn(
+        "day", F.date_format(F.date_add(F.lit(BULK_DAYS[0]), F.col("nth")), "MM-dd-yyyy")).drop("nth")
+    land_psv(lookup.toDF(*LOOKUP_SOURCE_HEADER, "day"), f"{root}/lookup", partition_by="day")
+    return SourceTemplates(*[f"{root}/{n}/day={{file_date}}" for n in ("covid", "lookup", "mobility")])
+
+
+def _bulk(s: Scenario) -> TableStore:
+    store = TableStore(s.spark, scratch_path(s.spark, "bulk_store"))
+    run_backfill_bulk(s.spark, store, BULK_DAYS, _landed_days(s), key_offset=BULK_OFFSET)
+    return store
+
+
+@register("backfill_bulk", _sql(body=_BOTH_CASE_FACTS))
+def _backfill_bulk(s: Scenario) -> DataFrame:
+    """Thirty days by one load: both case facts equal loads one after the other."""
+    store = _bulk(s)
+    return store.read("covid_data_us").unionByName(store.read("covid_data_non_us"))
+
+
+@register("backfill_bulk_dimension", O.with_ctes(O.ADAPTERS, O.LOOKUP_DIM, f"""
+bd_new AS ({O.missing_sql('lookup_dim', 'google_mobility_data_staging')}),
+bd_day AS (
+  SELECT country_region_code, country_region, sub_region_1, sub_region_2,
+         min(((year(date) - 1992) * 12 + month(date) - 1) % {len(BULK_DAYS)}) AS day
+  FROM google_mobility_data_staging WHERE sub_region_2 IS NOT NULL AND census_fips_code IS NULL GROUP BY ALL),
+bd_id AS (
+  SELECT (SELECT max(location_identifier) FROM lookup_dim) + {BULK_OFFSET} * dense_rank() OVER (ORDER BY day)
+           + row_number() OVER (ORDER BY day, iso2_code NULLS LAST, province_or_state NULLS LAST, county_or_city,
+                                n.country_region NULLS LAST) AS id, n.*
+  FROM bd_new n JOIN bd_day d
+    ON n.iso2_code IS NOT DISTINCT FROM d.country_region_code AND n.country_region = d.country_region
+   AND n.province_or_state IS NOT DISTINCT FROM d.sub_region_1 AND n.county_or_city = d.sub_region_2)""")
+    + """SELECT * REPLACE (location_population + 1 AS location_population) FROM lookup_dim
+UNION ALL SELECT * EXCLUDE (id) REPLACE (CAST(id AS INTEGER) AS location_identifier) FROM bd_id""")
+def _backfill_bulk_dimension(s: Scenario) -> DataFrame:
+    """The dimension after the thirty days: the last lookup's attributes, and
+    new places under the ids that each day's load would give them."""
+    return _bulk(s).read("location_lookup")
+
+
+@register("historical_load", _sql(body=_BOTH_CASE_FACTS))
+def _historical_load(s: Scenario) -> DataFrame:
+    """All past report files under one prefix, with one lookup and mobility file."""
+    root = scratch_path(s.spark, "prefix")
+    year = F.substring("file_date", -4, 4)
+    land_json(_normalized(s).withColumn("covid", year), f"{root}/covid", partition_by="covid")
+    land_psv(s.mobility_staging, f"{root}/mobility")
+    store = TableStore(s.spark, f"{root}/store")
+    run_historical(s.spark, store, f"{root}/covid/covid*", _landed_lookup(s), f"{root}/mobility")
+    return store.read("covid_data_us").unionByName(store.read("covid_data_non_us"))
+
+
+@register("refused_load", _sql(body="""SELECT 'no_reports' AS load, true AS refused, CAST(0 AS BIGINT) AS places
+UNION ALL SELECT 'place_twice', true, 0
+UNION ALL SELECT 'good', false, count(*) FROM location_lookup
+UNION ALL SELECT 'place_twice_later', true, count(*) FROM location_lookup"""))
+def _refused_load(s: Scenario) -> DataFrame:
+    """A load whose reports are empty and one whose lookup holds a place twice
+    are refused and leave the tables as they were; the good one is published."""
+    store = TableStore(s.spark, scratch_path(s.spark, "refused"))
+    covid = read_case_reports(s.spark, land_json(_normalized(s), scratch_path(s.spark, "covid_json")))
+    again = s.lookup_staging.filter("uid = 1").withColumn("latitude", F.col("latitude") + 1)
+    twice = s.lookup_staging.unionByName(again)
+    out = []
+    for name, reports, lookup in (("no_reports", covid.limit(0), s.lookup_staging), ("place_twice", covid, twice),
+                                  ("good", covid, s.lookup_staging), ("place_twice_later", covid, twice)):
+        try:
+            run_load(s.spark, store, reports, lookup, s.mobility_staging)
+            refused = False
+        except ValueError:
+            refused = True
+        out.append(store.read("location_lookup").agg(F.count(F.lit(1)).alias("places")).select(
+            F.lit(name).alias("load"), F.lit(refused).alias("refused"), "places"))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+_STREAMED = (("1", "date < DATE '1996-01-01'"), ("2", f"date >= DATE '1995-07-01' AND date < {O.SPLIT_OLD}"),
+             ("3", f"date >= {O.SPLIT_NEW}"))
+
+
+@register("stream_mobility", O.with_ctes(O.ADAPTERS, O.LOOKUP_DIM, ",".join(f"""
+mb_{n} AS (SELECT * FROM google_mobility_data_staging WHERE {drop}),
+new_{n} AS ({O.missing_sql(before, f'mb_{n}')}),
+dim_{n} AS (SELECT * FROM {before} UNION ALL SELECT * FROM new_{n})"""
+    for (n, drop), before in zip(_STREAMED, ("lookup_dim", "dim_1", "dim_2"))),
+    "location_lookup AS (SELECT * FROM dim_3)") + " UNION ALL ".join(
+    f"SELECT '{x}' AS scope, * FROM ({O.mobility_batch_sql('google_mobility_data_staging', x)})" for x in ("us", "non_us")))
+def _stream_mobility(s: Scenario) -> DataFrame:
+    """Mobility arrives in three drops that overlap. Each run of the stream
+    loads the new files: places that only they know get ids, both facts are
+    merged, and one commit publishes them with the batch's number. After the
+    second drop the stream's own note of its batch is lost, so Spark runs that
+    batch again, and the ledger knows it."""
+    root = scratch_path(s.spark, "moves")
+    store, landing, ckpt = TableStore(s.spark, f"{root}/store"), f"{root}/landing", f"{root}/checkpoint"
+    store.publish("location_lookup", s.lookup_dim)
+    for n, drop in _STREAMED:
+        land_psv(s.mobility_staging.filter(drop), f"{landing}/{n}")
+        ingest_new_mobility(s.spark, f"{landing}/*", store, ckpt)
+        if n == "2":
+            fs, note = file_system(s.spark, f"{ckpt}/commits/1")
+            fs.delete(note, False)
+            ingest_new_mobility(s.spark, f"{landing}/*", store, ckpt)
+    return store.read("google_mobility_data_us").withColumn("scope", F.lit("us")).unionByName(
+        store.read("google_mobility_data_non_us").withColumn("scope", F.lit("non_us")))
+
+
+@register("stream_ingest", _sql(body=_BOTH_CASE_FACTS))
 def _stream_ingest(s: Scenario) -> DataFrame:
     """Landed daily reports arrive in three drops, the first without a row for
     the non-US fact; each availableNow run of the stream loads only the new
