@@ -118,8 +118,9 @@ def stage_fact_months(store: TableStore, table: str, batch: DataFrame, with_delt
         return store.stage(table, upsert(store.read(table, touched).select(*batch.columns), batch, FACT_KEY,
                                          unique_keys=True))
     carry = month_carry(store, table)
-    after = following_months(carry, batch).collect()  # month names
-    touched = sorted({*touched, *(r["month"] for r in after)})
+    if any(m > touched[0] for m in store.months(table)):
+        after = following_months(carry, batch).collect()  # month names
+        touched = sorted({*touched, *(r["month"] for r in after)})
     merged = upsert(store.read(table, touched).select(*batch.columns), batch, FACT_KEY, unique_keys=True)
     others = carry.where(~month_of().isin(touched))
     lasts = store.stage(f"{table}_carry", month_last(merged).select(*CARRY_COLUMNS))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from locus.functions.recode import recode
 from locus.operators.dml import empty_like
 from locus.operators.locations import upsert_location_dim, with_missing_locations
 from locus.plans.adapters import Adapters
-from locus.plans.jobs import SCOPES, gate_and_publish, load_covid_months, load_mobility_months
+from locus.plans.jobs import SCOPES, gate_and_publish, load_covid_months, load_mobility_months, together
 from locus.schemas import LOCATION_LOOKUP
 from locus.session import file_system, materialize, scratch_path
 from locus.sources.tables import TableStore
@@ -94,34 +94,29 @@ class Scenario:
         return TableStore(self.spark, scratch_path(self.spark, "warehouse"))
 
     @cached_property
-    def covid_facts(self) -> TableStore:
-        """Both case facts, published: the history before SPLIT_OLD, then the
-        overlapping batch merged into the months it touches."""
-        for rows in (self.covid_staging.filter(F.col("file_date") < F.lit(SPLIT_OLD)),
-                     self.covid_staging.filter(F.col("file_date") >= F.lit(SPLIT_NEW))):
-            gate_and_publish(self.store, load_covid_months(self.store, rows, self.lookup))
+    def facts(self) -> TableStore:
+        """The four facts, published: the history before SPLIT_OLD, then the
+        overlapping batch merged into the months it touches. Like a load, both
+        sources go side by side and one commit publishes them."""
+        sides = ((F.lit(SPLIT_OLD), lambda day, split: day < split), (F.lit(SPLIT_NEW), lambda day, split: day >= split))
+        for split, test in sides:
+            covid = self.covid_staging.filter(test(F.col("file_date"), split))
+            mobility = self.mobility_staging.filter(test(F.col("date"), split))
+            loads = together({"covid": partial(load_covid_months, self.store, covid, self.lookup),
+                              "mobility": partial(load_mobility_months, self.store, mobility, self.lookup)})
+            gate_and_publish(self.store, loads["covid"] | loads["mobility"])
         return self.store
 
     @cached_property
-    def mobility_facts(self) -> TableStore:
-        for rows in (self.mobility_staging.filter(F.col("date") < F.lit(SPLIT_OLD)),
-                     self.mobility_staging.filter(F.col("date") >= F.lit(SPLIT_NEW))):
-            gate_and_publish(self.store, load_mobility_months(self.store, rows, self.lookup))
-        return self.store
-
-    @cached_property
-    def _covid_tables(self) -> dict[str, DataFrame]:
-        return {scope: self.covid_facts.read(f"covid_data_{scope}") for scope in SCOPES}
-
-    @cached_property
-    def _mobility_tables(self) -> dict[str, DataFrame]:
-        return {scope: self.mobility_facts.read(f"google_mobility_data_{scope}") for scope in SCOPES}
+    def _fact_tables(self) -> dict[str, DataFrame]:
+        names = [f"{kind}_{scope}" for kind in ("covid_data", "google_mobility_data") for scope in SCOPES]
+        return {name: self.facts.read(name) for name in names}
 
     def covid_fact(self, scope: str) -> DataFrame:
-        return self._covid_tables[scope]
+        return self._fact_tables[f"covid_data_{scope}"]
 
     def mobility_fact(self, scope: str) -> DataFrame:
-        return self._mobility_tables[scope]
+        return self._fact_tables[f"google_mobility_data_{scope}"]
 
     def final_tables(self) -> dict[str, DataFrame]:
         return {
