@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from locus.operators.deltas import DELTA_COLUMNS
 
 CARRIED = [total for total, _ in DELTA_COLUMNS]
-CARRY_COLUMNS = ["location_identifier", "file_date", *CARRIED]
+CARRY_COLUMNS = ["location_identifier", "file_date", "location_granularity", *CARRIED]
 
 
 def month_of(date: str = "file_date"):
@@ -27,7 +27,7 @@ def month_last(rows: DataFrame) -> DataFrame:
     """Each location's last row per month (rows without a key part carry nothing)."""
     known = rows.where(F.col("location_identifier").isNotNull() & F.col("file_date").isNotNull())
     last = known.groupBy("location_identifier", month_of().alias("_month")).agg(
-        F.max_by(F.struct("file_date", *CARRIED), "file_date").alias("_last"))
+        F.max_by(F.struct(*CARRY_COLUMNS[1:]), "file_date").alias("_last"))
     return last.select("location_identifier", "_last.*")
 
 

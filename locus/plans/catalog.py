@@ -17,9 +17,11 @@ from locus.operators.locations import missing_locations, upsert_location_dim
 from locus.operators.mobility import conform_mobility, mobility_batch, unmatched_mobility_places
 from locus.operators.covid import covid_batch
 from locus.operators.quality import quality_report
+from locus.operators.totals import avg_mobility_kept
+from locus.operators.quality import metrics_report
 from locus.plans import oracle as O
 from locus.plans.jobs import (
-    LOOKUP_SOURCE_HEADER, SourceTemplates, read_lookup, gate_and_publish, land_reports, run_backfill,
+    LOOKUP_SOURCE_HEADER, SourceTemplates, read_lookup, gate_and_publish, kept_metrics, land_reports, run_backfill,
     run_backfill_bulk, run_historical, run_load, stage_fact_months,
 )
 from locus.plans.scenario import SPLIT_NEW, SPLIT_OLD, Scenario
@@ -695,6 +697,57 @@ def _stream_ingest(s: Scenario) -> DataFrame:
     return store.read("covid_data_us").unionByName(store.read("covid_data_non_us"))
 
 
+# -- reports on what the loads keep ---------------------------------------------
+
+_FACT_SQL = {t: c for t, c in FINAL_SQL.items() if t != "location_lookup"}
+
+
+@register("top_countries_kept", _SQL["top_countries"])
+def _top_countries_kept(s: Scenario) -> DataFrame:
+    """From the sums per location and month, after an overlapping batch."""
+    return A.top_countries(s.facts.read("covid_data_non_us_totals"), s.lookup)
+
+
+@register("top_us_counties_kept", _SQL["top_us_counties"])
+def _top_us_counties_kept(s: Scenario) -> DataFrame:
+    return A.top_us_counties(s.facts.read("covid_data_us_totals"), s.lookup)
+
+
+@register("avg_mobility_kept", _SQL["avg_mobility_by_state"])
+def _avg_mobility_kept(s: Scenario) -> DataFrame:
+    totals = s.facts.read("google_mobility_data_us_totals")
+    return avg_mobility_kept(totals, s.lookup, "state", "province_or_state")
+
+
+@register("incident_rate_latest", _SQL["incident_rate_by_state"])
+def _incident_rate_latest(s: Scenario) -> DataFrame:
+    """From each location's last row per month, which a late or corrected row replaces."""
+    return A.incident_rate_by_state(s.facts.read("covid_data_us_carry"), s.lookup)
+
+
+@register("dq_report_kept", _sql(*FACT_CTES, f"m AS ({_dq_sql()})", body="""
+SELECT table_name, 'has_rows' AS check_name, n_rows AS value, n_rows >= 1 AS passed FROM m
+WHERE table_name <> 'location_lookup'
+UNION ALL SELECT table_name, 'check_nulls', null_keys, null_keys = 0 FROM m WHERE table_name <> 'location_lookup'
+UNION ALL SELECT table_name, 'check_duplicates', duplicate_keys, duplicate_keys = 0 FROM m
+WHERE table_name <> 'location_lookup'"""))
+def _dq_report_kept(s: Scenario) -> DataFrame:
+    """From what the gate found month by month, without reading the facts."""
+    return metrics_report(kept_metrics(s.facts, _FACT_SQL), list(_FACT_SQL))
+
+
+@register("table_metrics_kept", _sql(*FACT_CTES, body=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, strftime(file_date, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS count_of_records, "
+    f"CAST(count(DISTINCT (location_identifier, file_date)) AS BIGINT) AS count_of_distinct_primary_key, "
+    f"max(file_date) AS max_file_date FROM {c} GROUP BY ALL" for t, c in sorted(_FACT_SQL.items()))))
+def _table_metrics_kept(s: Scenario) -> DataFrame:
+    """Rows, distinct keys and latest date per table and month, as the loads kept them."""
+    return kept_metrics(s.facts, _FACT_SQL).select(
+        "table_name", "month", F.col("rows").alias("count_of_records"),
+        F.col("distinct_keys").alias("count_of_distinct_primary_key"),
+        F.col("latest").cast("date").alias("max_file_date"))
+
+
 # -- single statements on data that meets their cases --------------------------
 
 @register("patch_rows", _sql(body="""SELECT * REPLACE (

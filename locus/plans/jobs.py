@@ -26,7 +26,8 @@ from locus.operators.covid import covid_batch
 from locus.operators.dml import conform, upsert
 from locus.operators.locations import NEW_LOCATION_OFFSET, upsert_location_dim, with_missing_locations
 from locus.operators.mobility import conform_mobility_all, latest_mobility
-from locus.operators.quality import assert_quality, quality_report
+from locus.operators.quality import assert_quality, metrics_report, month_metrics
+from locus.operators.totals import month_totals
 from locus.operators.validity import (
     DIMENSION, LOAD_DAY, NEVER, added_versions, dimension_versions, staged_versions,
 )
@@ -115,8 +116,9 @@ def stage_fact_months(store: TableStore, table: str, batch: DataFrame, with_delt
     if not touched:  # no date at all: the gate refuses these rows
         return Staged(table, batch, "", ())
     if not with_deltas:
-        return store.stage(table, upsert(store.read(table, touched).select(*batch.columns), batch, FACT_KEY,
-                                         unique_keys=True))
+        months = store.stage(table, upsert(store.read(table, touched).select(*batch.columns), batch, FACT_KEY,
+                                           unique_keys=True))
+        return replace(months, also=(_totals(store, months),))
     carry = month_carry(store, table)
     if any(m > touched[0] for m in store.months(table)):
         after = following_months(carry, batch).collect()  # month names
@@ -126,7 +128,49 @@ def stage_fact_months(store: TableStore, table: str, batch: DataFrame, with_delt
     lasts = store.stage(f"{table}_carry", month_last(merged).select(*CARRY_COLUMNS))
     before = carried_in(others.unionByName(lasts.rows), touched)
     months = store.stage(table, month_deltas(merged, before).select(*batch.columns))
-    return replace(months, also=(lasts,))
+    return replace(months, also=(lasts, _totals(store, months)))
+
+
+def _totals(store: TableStore, months: Staged) -> Staged:
+    """Every location's sums of the staged months, to be published with them."""
+    return store.stage(f"{months.table}_totals", month_totals(months.rows))
+
+
+def check(tables: Mapping[str, DataFrame], keys: Mapping[str, list[str]]) -> dict[str, dict[str | None, dict]]:
+    """The metrics of every table by month (a row per table and month comes to
+    the driver); raises when a check fails."""
+    found = None
+    for name, df in sorted(tables.items()):
+        part = month_metrics(df, keys[name], month_of() if "file_date" in keys[name] else None).select(
+            F.lit(name).alias("table_name"), "*")
+        found = part if found is None else found.unionByName(part)
+    rows = found.collect()
+    local = df.sparkSession.createDataFrame(rows, found.schema)
+    assert_quality(metrics_report(local, list(tables)))
+    out: dict[str, dict[str | None, dict]] = {name: {} for name in tables}
+    for r in rows:
+        out[r["table_name"]][r["month"]] = {c: r[c] for c in found.columns[2:]}
+    return out
+
+
+def kept_metrics(store: TableStore, tables: Iterable[str], keys: Mapping[str, list[str]] = TABLE_KEYS) -> DataFrame:
+    """(table_name, month, rows, null_keys, duplicate_keys, distinct_keys,
+    latest) as the loads kept them; a table that was published without a check
+    is scanned."""
+    spark, rows, scanned = store.spark, [], []
+    for name in sorted(tables):
+        known = store.metrics(name)
+        if known is None:
+            month = month_of() if "file_date" in keys[name] else None
+            scanned.append(month_metrics(store.read(name), keys[name], month).select(F.lit(name).alias("table_name"), "*"))
+            continue
+        rows += [(name, m or None, x.get("rows", 0), x.get("null_keys", 0), x.get("duplicate_keys", 0),
+                  x.get("distinct_keys", 0), x.get("latest")) for m, x in sorted(known.items())]
+    out = spark.createDataFrame(rows, "table_name string, month string, rows long, null_keys long, "
+                                      "duplicate_keys long, distinct_keys long, latest string")
+    for part in scanned:
+        out = out.unionByName(part)
+    return out
 
 
 def gate_and_publish(store: TableStore, facts: Mapping[str, Staged | None], dimension: Staged | None = None,
@@ -134,8 +178,8 @@ def gate_and_publish(store: TableStore, facts: Mapping[str, Staged | None], dime
                      ledger: Mapping[str, int] | None = None, whole: bool = True) -> None:
     """Check everything that is staged (months that are not rewritten cannot
     gain a fault: fact keys hold the date), then publish it by one commit.
-    With a dimension it is a whole load (unless told otherwise), after which no
-    table may be empty. ``checked`` are further tables to check, ``ledger`` the
+    What the check finds is kept by month with the tables. With a dimension it
+    is a whole load (unless told otherwise), after which no table may be empty. ``checked`` are further tables to check, ``ledger`` the
     stream batches that the commit completes."""
     staged = {t: s for t, s in facts.items() if s is not None}
     if dimension is not None:
@@ -145,9 +189,10 @@ def gate_and_publish(store: TableStore, facts: Mapping[str, Staged | None], dime
     found = {t: s.rows for t, s in staged.items()} | dict(checked or {})
     if dimension is not None:
         found.setdefault("location_lookup", dimension.rows)
-    if found:
-        assert_quality(quality_report(found, keys))
-    published = [*staged.values(), *([dimension] if dimension is not None else [])]
+    metrics = check(found, keys) if found else {}
+    published = [replace(s, metrics=metrics[s.table]) for s in staged.values()]
+    if dimension is not None:
+        published.append(replace(dimension, metrics=metrics["location_lookup"]))
     if published or ledger:
         store.commit(published, ledger=ledger)
 

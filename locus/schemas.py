@@ -175,8 +175,11 @@ FINAL_TABLES = {
 
 ALL_TABLES = {**STAGING_TABLES, **FINAL_TABLES}
 
-# Kept beside a case fact: each location's last row of every month.
+# Kept beside the facts: of a case fact each location's last row of every month
+# (carry), of every fact each location's sums of every month (totals).
 CARRY_TABLES = {f"{name}_carry" for name, schema in FINAL_TABLES.items() if schema is COVID_FACT}
+TOTALS_TABLES = {f"{name}_totals" for name, schema in FINAL_TABLES.items() if schema is not LOCATION_LOOKUP}
+HELPER_TABLES = CARRY_TABLES | TOTALS_TABLES
 
 FACT_KEY = ["location_identifier", "file_date"]
 
