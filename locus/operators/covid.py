@@ -28,10 +28,11 @@ COVID_DEDUP_ORDER = [
 ]
 
 
-def route_covid(covid: DataFrame) -> DataFrame:
+def route_covid(covid: DataFrame, exclude_us_country: bool = False) -> DataFrame:
     """Level and scope per case-report row.
 
-    country (no province, no county) -> non-US fact, US included;
+    country (no province, no county) -> non-US fact, US included (as in the
+    original; ``exclude_us_country`` leaves that row out);
     state (province, no county) -> US or non-US fact by country = 'US';
     county (province and county) -> US fact only, non-US counties dropped.
     """
@@ -42,7 +43,7 @@ def route_covid(covid: DataFrame) -> DataFrame:
         .when(prov.isNotNull() & county.isNotNull() & (country == "US"), F.lit("county"))
     )
     scope = (
-        F.when(level == "country", F.lit("non_us"))
+        F.when((level == "country") & (F.lit(not exclude_us_country) | (country != "US")), F.lit("non_us"))
         .when(level == "county", F.lit("us"))
         .when((level == "state") & (country == "US"), F.lit("us"))
         .when((level == "state") & (country != "US"), F.lit("non_us"))
@@ -55,7 +56,7 @@ def route_covid(covid: DataFrame) -> DataFrame:
     )
 
 
-def covid_batch(covid: DataFrame, lookup: DataFrame) -> DataFrame:
+def covid_batch(covid: DataFrame, lookup: DataFrame, exclude_us_country: bool = False) -> DataFrame:
     """Conformed, de-duplicated fact rows of one batch for both scopes
     (column ``_scope``; deltas still NULL): one scan, one join, one dedup.
 
@@ -63,7 +64,7 @@ def covid_batch(covid: DataFrame, lookup: DataFrame) -> DataFrame:
     Rows that carry their load day are the batches of several days at once: a
     place is that of the day, and a later day's rows replace an earlier day's.
     """
-    routed = route_covid(covid).filter(F.col("_scope").isNotNull() & F.col("_level").isNotNull())
+    routed = route_covid(covid, exclude_us_country).filter(F.col("_scope").isNotNull() & F.col("_level").isNotNull())
     day = [LOAD_DAY] if LOAD_DAY in covid.columns else []
     rows = attach_places(routed, lookup_route_keys(lookup, "country_region")).select(
         *day,

@@ -61,3 +61,13 @@ def test_mobility_levels(spark):
     ])
     assert ids(conform_mobility(m, dim(spark), "us")) == [(1, "country"), (2, "state"), (3, "county")]
     assert ids(conform_mobility(m, dim(spark), "non_us")) == [(4, "country"), (5, "state"), (6, "county")]
+
+
+def test_the_us_country_row_can_be_left_out(spark):
+    from locus.operators.covid import route_covid
+
+    df = spark.createDataFrame([("US", None, None), ("France", None, None), ("US", "Ohio", None), (None, None, None)],
+                               "country_region string, province_state string, admin2 string")
+    scopes = lambda **kw: [r["_scope"] for r in route_covid(df, **kw).collect()]
+    assert scopes() == ["non_us", "non_us", "us", "non_us"]
+    assert scopes(exclude_us_country=True)[:3] == [None, "non_us", "us"]

@@ -4,6 +4,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locus.schemas import LOOKUP_STAGING
 from locus.sources.readers import (
@@ -193,3 +194,21 @@ def test_empty_fact_is_readable(spark, tmp_dir):
     store.create_all()
     assert store.read("covid_data_non_us").count() == 0 and store.months("covid_data_non_us") == []
     assert store.list_tables().count() == 10
+
+
+def test_landed_tables_are_read_in_parts(spark, tmp_dir):
+    """Gzip files don't split: a table lands as files of a bounded number of rows."""
+    df = spark.range(1000).coalesce(1).selectExpr("id as a", "cast(id as string) as b")
+    land_psv(df, tmp_dir, rows_per_file=100)
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    back = read_psv(spark, tmp_dir, schema)
+    per_file = back.groupBy(F.col("_metadata.file_name")).count().agg(F.max("count"), F.count("*")).first()
+    assert per_file[0] <= 100 and per_file[1] >= 10 and back.distinct().count() == 1000
+
+
+def test_na_is_text_unless_named(spark, tmp_dir):
+    df = spark.createDataFrame([("NA", 1.0), ("N/A", 2.0), ("x", None), (None, 3.0)], "code string, n double")
+    land_psv(df, tmp_dir)
+    got = lambda **kw: sorted((r["code"] or "") for r in read_psv(spark, tmp_dir, df.schema, **kw).collect())
+    assert got() == ["", "N/A", "NA", "x"]
+    assert got(na_tokens=("NA", "N/A")) == ["", "", "", "x"]
