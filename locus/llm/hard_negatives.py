@@ -227,6 +227,7 @@ def mine_hard_negatives(
     window: tuple[int, int] = (30, 90),
     group_bytes: int = 16_000_000,
     slice_rows: int = 1 << 24,
+    least_rows: int = 4096,
 ) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
 
@@ -251,7 +252,8 @@ def mine_hard_negatives(
     base = residue_base(math.ceil((most or 1.0) * 1.000001))
     groups = max(1, math.ceil(n_anchors * max(width, 1) * 8 / group_bytes))
     tasks = shuffle_partitions(spark)
-    spread = max(1, math.ceil(tasks / groups), math.ceil(n / slice_rows))
+    # slices for every task, but none of a few rows: each gives candidates of its own
+    spread = max(1, min(math.ceil(tasks / groups), math.ceil(n / least_rows)), math.ceil(n / slice_rows))
     nothing = F.lit(None).cast("array<long>")
     slices = rows.select(
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"),
