@@ -113,7 +113,8 @@ def rule_votes() -> dict[str, Column]:
         "repeats": vote(share("n_repeat_words", words) > 0.35),
         "letters": vote(letters < 0.7),
         "upper": vote(upper > 0.4),
-        "variety": vote((share("n_distinct_words", words) < 0.1) & (words < 5000)),
+        # distinct words grow with about the root of a text's length
+        "variety": vote(F.pow(F.col("n_distinct_words").cast("double"), 2) < 2 * words),
         "plain": vote(F.lit(False), (symbols < 0.02) & (upper < 0.1) & (letters > 0.8)),
     }
 
