@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locus.llm.common import attach_salted, materialize, shuffle_partitions
+from locus.llm.common import attach_salted, materialize, remove, shuffle_partitions, written
 from locus.llm.components import connected_components
 from locus.llm.shingles import mix, shingle_sets
 
@@ -401,12 +401,13 @@ def _collide(dense_from: int, room: int):
 
 def verified(pairs: DataFrame, texts: DataFrame, num: int, den: int, width: int,
              portion: int = 256) -> DataFrame:
-    """The pairs (u, v) whose texts' sets are linked. ``texts``: (doc, text)."""
+    """The pairs (u, v) whose texts' sets are linked, as a written table.
+    ``texts``: (doc, text)."""
     parts = shuffle_partitions(pairs.sparkSession)
     fans = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / portion).cast("int").alias("portions"))
     dealt = attach_salted(pairs, fans, ["u"], F.col("v")).select(
         "u", "v", F.pmod(F.xxhash64("v"), F.col("portions")).cast("int").alias("portion"))
-    dealt = materialize(dealt, "pairs")
+    dealt, path = written(dealt, "jaccard-dealt")
     none = F.lit(None).cast("long")
     asked = dealt.select("u", "portion").distinct().select("u", "portion", none.alias("v"), F.col("u").alias("doc"))
     asked = asked.unionByName(dealt.withColumn("doc", F.col("v")))
@@ -428,7 +429,9 @@ def verified(pairs: DataFrame, texts: DataFrame, num: int, den: int, width: int,
 
     meet = told.repartition(parts, "u", "portion").sortWithinPartitions(
         "u", "portion", F.col("v").asc_nulls_first())
-    return meet.mapInArrow(run, "u long, v long").distinct()
+    links = materialize(meet.mapInArrow(run, "u long, v long").distinct(), "jaccard-links")
+    remove(pairs.sparkSession, path)
+    return links
 
 
 def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
@@ -559,23 +562,33 @@ def dealt_by_work(open_: DataFrame, block: int, blocks_per_task: int = 32) -> Da
 # -- the join -----------------------------------------------------------------
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 75,
-                       den: int = 100, width: int = 5, flush: int = 2_000_000, dense_from: int = 64,
-                       block: int = 2048, room: int = 4_000_000) -> DataFrame:
+                       den: int = 100, width: int = 5, flush: int = 500_000, dense_from: int = 64,
+                       block: int = 2048, room: int = 1_000_000) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id
-    that links lead to)."""
+    that links lead to). Tables in between go as soon as nothing reads them."""
     spark = df.sparkSession
+    folders: dict[str, str] = {}
+
+    def table(frame: DataFrame, name: str) -> DataFrame:
+        out, folders[name] = written(frame, f"jaccard-{name}")
+        return out
+
+    def drop(*names: str) -> None:
+        for name in names:
+            remove(spark, folders.pop(name))
+
     p = shuffle_partitions(spark)
     rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     signed = rows.mapInArrow(_sign(num, den, width, 4 * p, flush, dense_from), SIGNED)
-    found = materialize(signed.repartition(p, "part").sortWithinPartitions("part").mapInArrow(
-        _collide(dense_from, room), FOUND), "jaccard-found")
+    found = table(signed.repartition(p, "part").sortWithinPartitions("part").mapInArrow(
+        _collide(dense_from, room), FOUND), "found")
     light = found.where("kind = 0").select("doc", "n", "digest", "cells", "fine")
 
     # classes of equal sets: every member but the first points at it; an id with
     # several sets stays itself and is linked to the first of each one's class
     filled = light.where("n > 0 and doc is not null")
     classes = filled.groupBy("digest").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    classes = materialize(classes, "jaccard-classes")
+    classes = table(classes, "classes")
     sets = filled.select("doc", "digest")
     by_doc = attach_salted(sets, classes, ["digest"], F.col("doc")).groupBy("doc").agg(
         (F.min("digest") != F.max("digest")).alias("several"), F.min("rep").alias("rep"))
@@ -589,22 +602,25 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return frame.join(named, col, "left").withColumn(col, F.coalesce("_rep", col)).drop("_rep")
 
     pairs = to_rep(to_rep(found.where("kind = 1").select("a", "b"), "a"), "b")
-    pairs = materialize(pairs.where("a <> b").select(
-        F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "jaccard-pairs")
+    pairs = table(pairs.where("a <> b").select(
+        F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "pairs")
     lists = found.where("kind = 2").select("bucket", F.explode("members").alias("doc"))
-    lists = materialize(to_rep(lists, "doc").distinct(), "jaccard-lists")
+    lists = table(to_rep(lists, "doc").distinct(), "lists")
     wanted = pairs.select(F.col("u").alias("doc")).union(pairs.select("v")).distinct()
-    texts = materialize(rows.join(wanted, "doc", "left_semi"), "jaccard-texts")
-    sized = materialize(filled.join(wanted, "doc", "left_semi").dropDuplicates(["doc", "digest"]).drop(
-        "digest"), "jaccard-sizes")
+    texts = table(rows.join(wanted, "doc", "left_semi"), "texts")
+    sized = table(filled.join(wanted, "doc", "left_semi").dropDuplicates(["doc", "digest"]).drop(
+        "digest"), "sizes")
+    light = materialize(light.select("doc", "n"), "jaccard-docs")
+    drop("found", "classes")
 
     def linked_among(some: DataFrame) -> DataFrame:
-        return materialize(verified(materialize(plausible(some, sized, num, den), "jaccard-plausible"),
-                                    texts, num, den, width), "jaccard-links")
+        links = verified(table(plausible(some, sized, num, den), "plausible"), texts, num, den, width)
+        drop("plausible")
+        return links
 
     # every document against its smallest candidate first: of a group of near
     # copies that leaves few pairs across components
-    first = materialize(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "jaccard-first")
+    first = table(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "first")
     links = linked_among(first).union(own)
     comps = materialize(connected_components(links), "jaccard-components")
     rest = pairs.join(first, ["u", "v"], "left_anti")
@@ -612,6 +628,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         named = comps.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
         rest = rest.join(named, end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
     more = linked_among(rest.where("c_u <> c_v").select("u", "v"))
+    drop("first")
     if not more.isEmpty():
         links = links.union(more)
         comps = materialize(connected_components(links), "jaccard-components")
@@ -621,7 +638,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "comp", F.coalesce("component", "doc")).drop("component")
     open_ = lists.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                         F.count(F.lit(1)).alias("m")).where("c0 <> c1")
-    open_ = dealt_by_work(materialize(open_, "jaccard-open"), block)
+    open_ = dealt_by_work(table(open_, "open"), block)
     held = attach_salted(lists, open_, ["bucket"], F.col("doc")).where("blocks is not null")
     held = held.join(sized, "doc").withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -631,12 +648,14 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     dealt = held.repartition(p, "c0", "near", "i", "j").drop("c0", "near")
     more = dealt.sortWithinPartitions("bucket", "i", "j").mapInArrow(
         _across(num, den), "u long, v long").distinct()
-    more = materialize(more.join(pairs, ["u", "v"], "left_anti"), "jaccard-pairs")
+    more = table(more.join(pairs, ["u", "v"], "left_anti"), "more")
+    drop("pairs", "lists", "open", "sizes")
     if not more.isEmpty():
-        links = links.union(materialize(verified(more, texts, num, den, width), "jaccard-links"))
+        links = links.union(verified(more, texts, num, den, width))
         comps = materialize(connected_components(links), "jaccard-components")
+    drop("more", "texts")
 
-    ends = light.select("doc", "n").join(same, "doc", "left").withColumn("rep", F.coalesce("rep", "doc"))
+    ends = light.join(same, "doc", "left").withColumn("rep", F.coalesce("rep", "doc"))
     ends = ends.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
     return ends.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"),
                        F.coalesce("component", "rep").alias("component_id"))
