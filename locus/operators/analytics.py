@@ -173,3 +173,12 @@ def covid_mobility_trend(covid: DataFrame, mobility: DataFrame) -> DataFrame:
     c = covid.select(*FACT_KEY, "location_granularity", "ttl_confirmed_cases", "new_confirmed_cases")
     m = mobility.select(*FACT_KEY, *MOBILITY_MEASURES)
     return c.join(m, FACT_KEY, "inner")
+
+
+def covid_mobility_trend_colocated(covid: Sequence[DataFrame], mobility: Sequence[DataFrame]) -> DataFrame:
+    """``covid_mobility_trend`` of facts in several tables that are bucketed
+    alike by location (read in a ``colocated_session``): every pair of tables
+    joins bucket by bucket, since a union would lose the buckets. No fact is
+    shuffled; each is scanned once per table of the other kind."""
+    pairs = [covid_mobility_trend(c, m) for c in covid for m in mobility]
+    return reduce(DataFrame.unionByName, pairs)

@@ -20,14 +20,16 @@ from locus.operators.locations import upsert_location_dim, with_missing_location
 from locus.plans.adapters import Adapters
 from locus.plans.jobs import SCOPES, gate_and_publish, load_covid_months, load_mobility_months, together
 from locus.schemas import LOCATION_LOOKUP
-from locus.session import file_system, materialize, scratch_path
-from locus.sources.tables import TableStore
+from locus.session import colocated_session, file_system, materialize, scratch_path
+from locus.sources.tables import TableStore, bucket_number
 
 # The fact built from reports before SPLIT_OLD is the existing table; the
 # batch holds every report from SPLIT_NEW on (half a year of overlap).
 SPLIT_OLD = dt.date(2000, 1, 1)
 SPLIT_NEW = dt.date(1999, 7, 1)
 
+FACTS = tuple(f"{kind}_{scope}" for kind in ("covid_data", "google_mobility_data") for scope in SCOPES)
+
 
 _SHARED: dict[tuple, "Scenario"] = {}
 
@@ -95,22 +97,34 @@ class Scenario:
 
     @cached_property
     def facts(self) -> TableStore:
-        """The four facts, published: the history before SPLIT_OLD, then the
-        overlapping batch merged into the months it touches. Like a load, both
-        sources go side by side and one commit publishes them."""
+        """The four facts, published."""
+        return self._load(self.store)
+
+    @cached_property
+    def bucketed(self) -> TableStore:
+        """The same loads into facts bucketed by location, read in a session
+        that joins them bucket by bucket. The buckets follow the size of the
+        larger source and are the same for all, so that the facts can meet."""
+        n = max(bucket_number(self.covid_staging), bucket_number(self.mobility_staging))
+        loaded = self._load(TableStore(self.spark, scratch_path(self.spark, "bucketed"), buckets={t: n for t in FACTS}))
+        return TableStore(colocated_session(self.spark), loaded.root, buckets=loaded.buckets)
+
+    def _load(self, store: TableStore) -> TableStore:
+        """The history before SPLIT_OLD, then the overlapping batch merged into
+        the months it touches. Both sources go side by side and one commit
+        publishes them."""
         sides = ((F.lit(SPLIT_OLD), lambda day, split: day < split), (F.lit(SPLIT_NEW), lambda day, split: day >= split))
         for split, test in sides:
             covid = self.covid_staging.filter(test(F.col("file_date"), split))
             mobility = self.mobility_staging.filter(test(F.col("date"), split))
-            loads = together({"covid": partial(load_covid_months, self.store, covid, self.lookup),
-                              "mobility": partial(load_mobility_months, self.store, mobility, self.lookup)})
-            gate_and_publish(self.store, loads["covid"] | loads["mobility"])
-        return self.store
+            loads = together({"covid": partial(load_covid_months, store, covid, self.lookup),
+                              "mobility": partial(load_mobility_months, store, mobility, self.lookup)})
+            gate_and_publish(store, loads["covid"] | loads["mobility"])
+        return store
 
     @cached_property
     def _fact_tables(self) -> dict[str, DataFrame]:
-        names = [f"{kind}_{scope}" for kind in ("covid_data", "google_mobility_data") for scope in SCOPES]
-        return {name: self.facts.read(name) for name in names}
+        return {name: self.facts.read(name) for name in FACTS}
 
     def covid_fact(self, scope: str) -> DataFrame:
         return self._fact_tables[f"covid_data_{scope}"]

@@ -110,6 +110,19 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def colocated_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` (same application, catalog and settings) that
+    plans a join of bucketed tables without a shuffle when their bucket column
+    is only one of the join's keys. For keys that no value of the bucket column
+    makes hot: one bucket is one task."""
+    session = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            session.conf.set(k, v)
+    session.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return session
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Scratch tables written inside are deleted at the end: for jobs whose
