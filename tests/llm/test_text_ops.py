@@ -7,7 +7,7 @@ from edge_rows import EDGE
 from pyspark.sql import functions as F
 
 from locus.llm.language_id import Classifier, fit_dictionaries, identify, keep_identified
-from locus.llm.mixing import DIMS, sampling_plan
+from locus.llm.mixing import DIMS, keep_sampled, sampling_plan
 from locus.llm.packing import VOCABULARY, encoder, pack, pack_documents
 from locus.llm.pii import find_pii, luhn_ok, mod97_ok
 from locus.llm.quality_votes import judge_quality
@@ -280,3 +280,62 @@ def test_raking_meets_the_marginals(spark, frame):
 def test_mixing_edges(frame):
     got = sampling_plan(frame([*EDGE, (50, "x", None, None)])).collect()
     assert len(got) == len(EDGE) + 1 and all(0 <= r["probability"] <= 1 for r in got)
+
+
+def test_topics_tell_themes_apart(spark, frame):
+    import random
+
+    themes = {"space": "orbit planet rocket comet telescope galaxy moon launch", "food": "butter onion simmer flour oven garlic pan salt"}
+    glue = {"en": "the and of with a to in from", "de": "der und von mit ein zu in aus"}
+    rng = random.Random(3)
+    rows, theme_of = [], {}
+    for i in range(400):
+        theme, lang = rng.choice(sorted(themes)), rng.choice(sorted(glue))
+        words = [rng.choice(themes[theme].split()) if rng.random() < 0.5 else rng.choice(glue[lang].split()) for _ in range(60)]
+        rows.append((i, " ".join(words), lang, "s"))
+        theme_of[i] = theme
+    got = sampling_plan(frame([*rows, (400, None, "en", "s"), (401, "", None, "s")])).collect()
+    seen = {}
+    for r in got:
+        if r["doc_id"] < 400:
+            seen.setdefault(r["topic"], []).append((theme_of[r["doc_id"]], r["lang"]))
+    assert len(seen) > 1
+    pure = sum(max(sum(t == x for t, _ in found) for x in themes) for found in seen.values())
+    assert pure >= 0.95 * 400
+    # not a second language label: the large topics hold both languages
+    assert all(len({lang for _, lang in found}) == 2 for found in seen.values() if len(found) >= 40)
+    assert {r["topic"] for r in got if r["doc_id"] >= 400} == {"(none)"}
+
+
+def test_mixing_counts_the_tokenizers_tokens(spark, frame):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["", None, "one  two", "漢字かな交じり文 " * 50, "строка текста " * 30, "x = [1, 2, 3]\n" * 200, "word " * 30_000]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    plan = sampling_plan(frame(rows))
+    for r in plan.collect():
+        text = texts[r["doc_id"]] or ""
+        assert r["tokens"] == len(whole.encode(text, add_special_tokens=False).ids) + 1
+    own = sampling_plan(frame(rows), topic=F.when(F.col("doc_id") < 3, "low")).collect()
+    assert {(r["doc_id"] < 3, r["topic"]) for r in own} == {(True, "low"), (False, "(none)")}
+
+
+def test_mixing_keeps_columns_of_any_name(spark, frame):
+    docs = frame([(i, f"text number {i}", "en", "s") for i in range(50)]).withColumns({
+        "topic": F.lit(1), "tokens": F.lit("t"), "_draw": F.lit(None).cast("date"), "a b.c": F.array(F.lit(1.5))})
+    got = keep_sampled(docs)
+    assert got.schema == docs.schema and 20 < got.count() < 50
+    assert sampling_plan(docs).where("kept").count() == got.count()
+
+
+def test_shares_of_true_tokens_are_met(spark, frame):
+    rows = [(i, f"text number {i} " * (1 + i % 9), ["en", "de"][i % 2], "hot" if i % 3 else f"s{i % 5}") for i in range(6000)]
+    shares = {"source": spark.createDataFrame([("hot", 0.4), *[(f"s{k}", 0.12) for k in range(5)]], "source string, share double")}
+    got = sampling_plan(frame(rows), fraction=0.4, shares=shares).collect()
+    expected = sum(r["tokens"] * r["probability"] for r in got)
+    hot = sum(r["tokens"] * r["probability"] for r in got if r["source"] == "hot")
+    assert abs(hot / expected - 0.4) < 0.01
+    kept = [r["tokens"] for r in got if r["kept"]]
+    assert abs(sum(kept) / expected - 1) < 0.05
