@@ -127,10 +127,16 @@ def trigram_query(pattern: str, most: int = 64) -> Query:
     return clauses
 
 
+def document_key(id_col: str, text_col: str) -> Column:
+    """An id alone may be null or repeat for any share of the rows: with a hash
+    of the text such rows spread by their texts, and each has its own rules."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text"))
+
+
 def build_index(df: DataFrame, id_col: str, text_col: str, grams: list[str]) -> DataFrame:
-    """Postings: one row (gram, id) per trigram of ``grams`` in a text."""
+    """Postings: one row (gram, document key) per trigram of ``grams`` in a text."""
     low = F.lower(text_of(text_col))
-    rows = df.select(F.col(id_col).alias("id"), low.alias("low"))
+    rows = df.select(document_key(id_col, text_col).alias("id"), low.alias("low"))
     held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams]))
     return rows.select("id", F.explode(held).alias("gram"))
 
@@ -161,9 +167,9 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     indexed = {k: q for k, q in queries.items() if q}
     grams = sorted({g for q in indexed.values() for clause in q for alternative in clause for g in alternative})
     found = candidates(build_index(df, id_col, text_col, grams), indexed)
-    rows = df.select(F.col(id_col), text_of(text_col).alias("_t"))
+    rows = df.select(F.col(id_col), text_of(text_col).alias("_t"), document_key(id_col, text_col).alias("_key"))
     rows = rows.join(found.select(F.col("id").alias("_id"), F.col("rules").alias("_rules")),
-                     F.col(id_col).eqNullSafe(F.col("_id")), "left").drop("_id")
+                     F.col("_key").eqNullSafe(F.col("_id")), "left").drop("_id", "_key")
     for rank, rule in enumerate(rules):
         where = F.coalesce(F.array_contains("_rules", rule.kind), F.lit(False)) if rule.kind in indexed else None
         rows = with_spans(rows, "_t", f"_{rule.kind}", rule.pattern, rule.kind, rank, where, rule.group)
