@@ -14,8 +14,11 @@ is dropped and not tried again. The method adds the kinds of ``RULES`` beyond
 these. Lower-casing can only add candidates, so none is lost; a posting list
 is rows, never an array, so a frequent trigram is spread over tasks.
 
-Defined results: a null text is empty; rows that share an id share their
-candidate rules and are verified each; null ids likewise; other columns are
+Postings name a document by its id and a hash of its text, so rows without an
+id, or with one repeated id, spread like others.
+
+Defined results: a null text is empty; rows alike in id and text share their
+candidate rules and are verified each; null ids are ids; other columns are
 ignored; an empty table gives an empty result.
 """
 
