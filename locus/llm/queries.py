@@ -125,6 +125,22 @@ FROM v JOIN e USING (r), h"""
 
 
 ORACLE_SQL: dict[str, str] = {
+    # every two documents with a shingle in common (x), links (l), and all that links lead to (c)
+    "op1_ngram_jaccard_join": rf"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s
+  FROM w),
+x AS MATERIALIZED (SELECT r, len(s) AS n, unnest(s) AS g FROM s),
+l AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM x a JOIN x b ON a.g = b.g AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+c AS (SELECT r, r AS o FROM s UNION SELECT c.r, l.b FROM c JOIN l ON c.o = l.a)
+SELECT s.doc_id, CAST(len(any_value(s.s)) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id
+FROM s JOIN c USING (r) JOIN s t ON c.o = t.r GROUP BY s.r, s.doc_id
+""",
     "op11_hard_negatives": f"""
 WITH q AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
