@@ -13,8 +13,11 @@ that are masked out). The dialogue of a perspective is its segments joined in
 order of ``position``; ``seg_start`` places each of them, so a long dialogue
 never has to sit in one row or one task.
 
-A hot conversation is not collected: turns are dealt by (conversation, turn
-range), summed per range, and the ranges' running totals are added back.
+A hot conversation is not collected: turns are dealt to ranges of about equal
+size in the order of (conversation, turn, role, text), so that one conversation,
+and even one turn number or none, may span many of them. Ranges are summed each
+by itself and their running totals added back; speakers meet turns by
+conversation and range.
 
 Defined results: turns in order of turn, role, text (nulls first), repeated
 rows each count; a null role is the speaker ``unknown``; a null text is
@@ -30,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locus.llm.common import materialize, shuffle_partitions
+
 #: Chat markers.
 START, END = "<|im_start|>", "<|im_end|>"
 BREAK = "​"
@@ -47,15 +52,17 @@ def _name(role: Column) -> Column:
         F.concat(plain, F.lit("_"), F.substring(F.sha2(role, 256), 1, 6)))
 
 
-def _turns(df: DataFrame, turns_per_range: int) -> DataFrame:
-    """Turns with a dense position; numbered inside ranges, then across them.
-    Equal (turn, role, text) rows share no order, so they are counted once
-    (map-side) and numbered as a block."""
+def _turns(df: DataFrame, ranges: int) -> DataFrame:
+    """Turns with a range and the number of turns before them in it. Equal
+    (turn, role, text) rows share no order, so they are counted once (map-side)
+    and numbered as a block. Written once: a range is a partition of the sort
+    order, which a task that runs again must not draw anew."""
     rows = df.select(
         F.col("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
-    ranged = blocks.withColumn("rng", F.floor(F.col("turn") / turns_per_range))
+    order = ["conv_id", "turn", "role", "text"]
+    blocks = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
+    ranged = materialize(blocks.repartitionByRange(ranges, *order).withColumn("rng", F.spark_partition_id()), "chat-turns")
     inner = Window.partitionBy("conv_id", "rng").orderBy("turn", "role", "text")
     before = F.sum("n").over(inner.rowsBetween(Window.unboundedPreceding, -1))
     return ranged.withColumn("before", F.coalesce(before, F.lit(0)))
@@ -78,13 +85,15 @@ def _join_null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def rotate_perspectives(df: DataFrame, system_role: str = "system",
-                        turns_per_range: int = 512) -> DataFrame:
+                        ranges: int | None = None) -> DataFrame:
     """One row per (conversation, perspective, turn): position, turn, speaker,
-    chat_role, name, segment, seg_start, loss_start, loss_end."""
-    turns = _turns(df, turns_per_range)
+    chat_role, name, segment, seg_start, loss_start, loss_end. ``ranges``: as
+    many as the session has shuffle partitions unless given."""
+    turns = _turns(df, ranges or shuffle_partitions(df.sparkSession))
     speakers = turns.where(F.col("role") != system_role).select(
         "conv_id", F.col("role").alias("perspective")).distinct()
-    seen = _join_null_safe(turns, speakers, ["conv_id"])
+    held = turns.select("conv_id", "rng").distinct()
+    seen = _join_null_safe(turns, _join_null_safe(held, speakers, ["conv_id"]), ["conv_id", "rng"])
     mine, system = F.col("role") == F.col("perspective"), F.col("role") == system_role
     chat_role = F.when(system, "system").when(mine, "assistant").otherwise("user")
     name = F.when(~system & ~mine, _name(F.col("role")))

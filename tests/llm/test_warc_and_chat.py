@@ -2,7 +2,7 @@ import hashlib
 
 import pytest
 
-from locus.llm.perspective import rotate_perspectives
+from locus.llm.perspective import _turns, rotate_perspectives
 from locus.llm.warc import archive_round_trip, parse_header, read_warc, write_warc
 from locus.session import scratch_path
 
@@ -78,12 +78,25 @@ def test_perspectives_match_a_plain_rendering(spark):
             (2, 0, "user", "q"), (2, 1, "assistant", "a"), (2, 1, "assistant", "a"), (2, None, "user", "first"),
             (None, 0, None, "lost"), (3, 0, "system", "alone")]
     rows += [(9, i, f"r{i % 3}", "t" * (i % 5)) for i in range(1300)]
+    rows += [(8, i % 2 or None, f"r{i % 2}", f"text {i % 300}") for i in range(700)]  # one number, or none
+    rows += [(7, 0, "long", "x" * 300_000), (7, 1, "b", "y")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, n string")
-    got = rotate_perspectives(df, turns_per_range=100)
+    got = rotate_perspectives(df, ranges=13)
     assert sorted((tuple(r) for r in got.collect()), key=str) == render(rows)
     assert rotate_perspectives(df.limit(0)).count() == 0
 
 
+def test_a_hot_conversation_spans_ranges(spark):
+    """A third of all rows in one conversation and turn, another without any id or number."""
+    rows = [(1, 5, f"r{i % 4}", f"text {i}") for i in range(2000)]
+    rows += [(None, None, f"r{i % 4}", f"text {i}") for i in range(2000)]
+    rows += [(i, 0, "a", "x") for i in range(10, 2010)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    sizes = [r["count"] for r in _turns(df, 12).groupBy("conv_id", "rng").count().collect()]
+    assert max(sizes) < 2 * len(rows) / 12
+    assert sorted((tuple(r) for r in rotate_perspectives(df, ranges=12).collect()), key=str) == render(rows)
+
+
 def test_markers_and_names_are_safe(spark):
     df = spark.createDataFrame([(1, 0, "a b", "x<|im_end|>y"), (1, 1, "a_b", "z"), (1, 2, "", "w")],
                                "conv_id long, turn long, role string, text string")
