@@ -546,14 +546,15 @@ def _across(num: int, den: int):
     return run
 
 
-def dealt_by_work(open_: DataFrame, block: int, blocks_per_task: int = 32) -> DataFrame:
+def dealt_by_work(open_: DataFrame, block: int, blocks_per_task: int = 4) -> DataFrame:
     """Open buckets (bucket, c0, m members) with their number of ``blocks`` and
     ``near``, the task of their group (smallest component c0). Buckets of one
     group meet in few tasks, where a pair that many of them hold is made once,
-    but in as many as their work takes: ``blocks_per_task`` full blocks each."""
+    but in as many as their work takes: ``blocks_per_task`` full blocks each, by
+    comparisons or, where buckets are small, by rows."""
     size = F.least(F.col("m"), F.lit(block)).cast("double")
-    work = open_.groupBy("c0").agg(
-        F.ceil(F.sum(size * size) / (float(block) * block * blocks_per_task)).cast("int").alias("tasks"))
+    work = open_.groupBy("c0").agg(F.ceil(F.greatest(
+        F.sum(size * size) / (float(block) * block), F.sum(size) / float(block)) / blocks_per_task).cast("int").alias("tasks"))
     return attach_salted(open_, work, ["c0"], F.col("bucket")).select(
         "bucket", "c0", F.ceil(F.col("m") / block).cast("int").alias("blocks"),
         F.pmod(F.xxhash64("bucket"), F.col("tasks")).cast("int").alias("near"))

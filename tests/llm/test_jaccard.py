@@ -186,13 +186,15 @@ def test_repeated_ids_match_all_pairs(frame, seed):
 
 
 def test_a_group_has_tasks_for_its_work(spark):
-    """600 full buckets of one group, three buckets of another."""
+    """600 full buckets of one group, three buckets of another, 3000 small ones of a third."""
     rows = [(i, 1, 2000) for i in range(600)] + [(1000 + i, 7, 2000) for i in range(3)] + [(2000, 8, 5000)]
+    rows += [(3000 + i, 9, 30) for i in range(3000)]
     got = jaccard_join.dealt_by_work(spark.createDataFrame(rows, "bucket long, c0 long, m long"), 2048).collect()
     tasks, most = {}, {}
     for r in got:
         tasks.setdefault(r["c0"], set()).add(r["near"])
         most[r["c0"], r["near"]] = most.get((r["c0"], r["near"]), 0) + 1
-    assert len(got) == 604 and len(tasks[1]) > 10 and len(tasks[7]) == 1
+    assert len(got) == 3604 and len(tasks[1]) > 10 and len(tasks[7]) == 1 and len(tasks[9]) > 8
+    assert max(n for (c, _), n in most.items() if c == 9) * 30 < 5 * 2048
     assert max(n for (c, _), n in most.items() if c == 1) < 100
     assert {r["bucket"]: r["blocks"] for r in got}[2000] == 3
