@@ -13,7 +13,7 @@ others in proportion. Where the three marginals cannot hold at once the
 weights are those of the round after which the misses stop shrinking; ``marginal_gap`` measures by how much.
 
 Tokens are the ids that the tokenizer gives a text, plus an end id. Topics are
-learned (see ``topics.py``); pass another column for topics of one's own.
+learned from all texts (see ``topics.py``); pass another column for topics of one's own.
 
 Scale: texts are encoded where they are read, and only cells, counted map-side,
 are shuffled. Raking sums the cells by each marginal with partial sums and joins
@@ -33,9 +33,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locus.llm.common import attach_salted, materialize
+from locus.llm.common import attach_salted, materialize, remove, written
 from locus.llm.packing import VOCABULARY
-from locus.llm.topics import fit_topics, with_tokens_and_topic
+from locus.llm.topics import Topics, fit_topics, topic_column, with_features, with_topic
 
 DIMS = ("source", "lang", "topic")
 NONE = "(none)"
@@ -108,15 +108,21 @@ def _draw(id_col: str, text_col: str, seed: int) -> Column:
 
 
 def _placed(df: DataFrame, columns: list[Column], id_col: str, text_col: str, source_col: str, lang_col: str,
-            topic: Column | None, seed: int, vocabulary: str) -> DataFrame:
-    """Per row ``columns``, its draw, source, lang, topic and tokens."""
+            topic: Column | None, seed: int) -> DataFrame:
+    """Per row ``columns``, its draw, source, lang, topic (null: to be learned) and text."""
     source, lang = (F.coalesce(F.col(c).cast("string"), F.lit(NONE)) for c in (source_col, lang_col))
-    rows = df.select(*columns, _draw(id_col, text_col, seed).alias("_draw"), source.alias("source"),
+    return df.select(*columns, _draw(id_col, text_col, seed).alias("_draw"), source.alias("source"),
                      lang.alias("lang"), F.coalesce(topic.cast("string"), F.lit(NONE)).alias("topic")
                      if topic is not None else F.lit(None).cast("string").alias("topic"),
                      F.col(text_col).alias("_text"))
-    model = None if topic is not None else fit_topics(rows, "_text", "lang", "_draw", vocabulary=vocabulary)
-    return with_tokens_and_topic(rows, model, "_text", "lang", vocabulary, none=NONE)
+
+
+def _learned(placed: DataFrame, learn: bool, vocabulary: str) -> tuple[DataFrame, Topics | None, str]:
+    """The rows without their texts, with tokens and topic; the topics; and the
+    folder that the rows are read from."""
+    sketches, path = written(with_features(placed, "_text", vocabulary), "mixing-sketches")
+    model = fit_topics(sketches, "lang", "_draw") if learn else None
+    return with_topic(sketches, model, "lang", none=NONE), model, path
 
 
 def _probabilities(rows: DataFrame, fraction: float, temper: float,
@@ -137,9 +143,11 @@ def sampling_plan(df: DataFrame, fraction: float = 0.8, temper: float = 0.7, id_
                   topic: Column | None = None, shares: dict[str, DataFrame] | None = None,
                   seed: int = 17, vocabulary: str = VOCABULARY) -> DataFrame:
     """Per row: id, source, lang, topic, tokens, probability, kept, marginal_gap."""
-    # documents' cells are written once, without their texts
-    placed = _placed(df, [F.col(id_col).alias("_id")], id_col, text_col, source_col, lang_col, topic, seed, vocabulary)
-    rows = materialize(placed, "mixing-rows")
+    placed = _placed(df, [F.col(id_col).alias("_id")], id_col, text_col, source_col, lang_col, topic, seed)
+    found, _, path = _learned(placed, topic is None, vocabulary)
+    # documents' cells are written once, without texts and features
+    rows = materialize(found, "mixing-rows")
+    remove(df.sparkSession, path)
     plan, gap = _probabilities(rows, fraction, temper, shares)
     drawn = attach_salted(rows, plan, list(DIMS), F.col("_draw"))
     return drawn.select(F.col("_id").alias(id_col), *DIMS, "tokens", "probability",
@@ -152,9 +160,15 @@ def keep_sampled(df: DataFrame, fraction: float = 0.8, temper: float = 0.7, id_c
                  seed: int = 17, vocabulary: str = VOCABULARY) -> DataFrame:
     """The rows that ``sampling_plan`` marks as kept, with their columns as they
     were. Decided row by row, so ids may be null or repeat across cells. Texts
-    are encoded once to count the cells and once more to place the rows."""
+    are encoded once to learn the topics and count the cells and, unless topics
+    are given, once more to place the rows, which do not go to Python whole."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    placed = _placed(df, [row], id_col, text_col, source_col, lang_col, topic, seed, vocabulary)
-    plan, _ = _probabilities(placed, fraction, temper, shares)
-    drawn = attach_salted(placed, plan, list(DIMS), F.col("_draw"))
+    placed = _placed(df, [row], id_col, text_col, source_col, lang_col, topic, seed)
+    found, model, path = _learned(placed.drop("row"), topic is None, vocabulary)
+    plan, _ = _probabilities(found, fraction, temper, shares)
+    remove(df.sparkSession, path)
+    if topic is None:
+        own = topic_column(model, F.col("_text"), F.col("lang"), F.col("topic"), vocabulary, NONE)
+        placed = placed.withColumn("topic", own)
+    drawn = attach_salted(placed.drop("_text"), plan, list(DIMS), F.col("_draw"))
     return drawn.where("_draw < probability").select("row.*")

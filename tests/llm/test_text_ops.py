@@ -320,6 +320,38 @@ def test_topics_tell_themes_apart(spark, frame):
     assert {r["topic"] for r in got if r["doc_id"] >= 400} == {"(none)"}
 
 
+def test_topics_are_learned_from_all_texts(spark, frame):
+    import numpy as np
+
+    from locus.llm.topics import KEPT, _matrix, fit_topics, with_features, with_topic
+
+    # two large languages, and one with a single text
+    rows = [(i, f"w{i * 7919 % 613} w{i % 89} w{i % 5} " * 2, ["en", "de"][i % 2], "s") for i in range(5000)]
+    docs = frame([*rows, (5000, "ein wort", "xx", "s"), (5001, "", "en", "s"), (5002, None, "en", "s")])
+    placed = docs.select("doc_id", "lang", F.lit(None).cast("string").alias("topic"), "text", (F.col("doc_id") / 6000).alias("draw"))
+    written = with_features(placed, "text").cache()
+    model = fit_topics(written, "lang", "draw", topics=4)
+    known = written.where("features is not null").orderBy("doc_id").collect()
+    assert len(known) == 5001
+    langs, found = [r["lang"] for r in known], _matrix([bytes(r["features"]) for r in known])
+    assert np.allclose(model.mean, found.mean(axis=0) / KEPT, atol=1e-6) and set(model.means) == {"en", "de"}
+    for lang, mean in model.means.items():
+        assert np.allclose(mean, found[np.array(langs) == lang].mean(axis=0) / KEPT, atol=1e-6)
+    # each centre is the direction of all texts that are nearest to it
+    points = model.less_mean(langs, found)
+    points /= np.sqrt((points * points).sum(axis=1, keepdims=True))
+    nearest = (points @ model.centres.T).argmax(axis=1)
+    for c in range(4):
+        total = points[nearest == c].sum(axis=0)
+        assert np.abs(total / np.sqrt((total * total).sum()) - model.centres[c]).max() < 5e-3
+    # however the rows are dealt
+    again = fit_topics(written.repartition(7, "doc_id"), "lang", "draw", topics=4)
+    assert (again.centres == model.centres).all()
+    topics = {r["doc_id"]: r["topic"] for r in with_topic(written, model, "lang").collect()}
+    assert [topics[r["doc_id"]] for r in known] == [f"topic-{c}" for c in nearest]
+    assert topics[5001] == topics[5002] == "(none)"
+
+
 def test_mixing_counts_the_tokenizers_tokens(spark, frame):
     import public_tokenizers
     from tokenizers import Tokenizer
