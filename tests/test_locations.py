@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from locus.operators.keys import global_row_number
 from locus.operators.locations import missing_locations, upsert_location_dim, with_missing_locations
+from locus.operators.mobility import unmatched_mobility_places
 from locus.schemas import LOCATION_LOOKUP, LOOKUP_STAGING, MOBILITY_STAGING
 
 
@@ -71,3 +72,19 @@ def test_dimension_upsert_patches_known_issue(spark):
     ny = out[1]
     assert (ny["county_or_city"], ny["location_name"], ny["fips_code"]) == (
         "New York City", "New York, New York City, US", 36061)
+
+
+def test_unmatched_places_are_counted_before_the_join(spark):
+    lk = lookup(spark, [dim_row(10, "FR", "France", "Ile", "Paris"), dim_row(20, "FR", "France", None, None)])
+    mob = mobility(spark, [
+        *[("FR", "France", None, None, None)] * 5, *[("FR", "France", "Ile", "Paris", None)] * 3,
+        *[("FR", "France", "Ile", "Lyon", None)] * 4, *[("FR", "France", "Nord", None, None)] * 2,
+        ("US", "US", "Ohio", None, 39001.0), (None, "Nowhere", "a", "b", None)])
+    got = unmatched_mobility_places(mob.repartition(4), lk)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        ("non_us", "county", "FR", "Ile", "Lyon", 4), ("non_us", "state", "FR", "Nord", None, 2),
+        ("us", "county", "US", "Ohio", None, 1)], key=str)
+    assert got.schema["row_count"].dataType.simpleString() == "bigint" and not got.schema["row_count"].nullable
+    # what meets the dimension's keys is one row per place
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("Join LeftAnti", 1)[1].splitlines()
+    assert "Aggregate" in plan[1]
