@@ -1,7 +1,7 @@
 import datetime as dt
 
-from locus.operators.covid import conform_covid
-from locus.operators.mobility import conform_mobility
+from locus.operators.covid import conform_covid, covid_batch
+from locus.operators.mobility import conform_mobility, conform_mobility_all, latest_mobility, latest_mobility_all
 from locus.schemas import COVID_STAGING, LOCATION_LOOKUP, MOBILITY_STAGING
 
 D = dt.date
@@ -71,3 +71,28 @@ def test_the_us_country_row_can_be_left_out(spark):
     scopes = lambda **kw: [r["_scope"] for r in route_covid(df, **kw).collect()]
     assert scopes() == ["non_us", "non_us", "us", "non_us"]
     assert scopes(exclude_us_country=True)[:3] == [None, "non_us", "us"]
+
+
+def test_places_of_one_name_meet_a_days_first_report_only(spark):
+    """Each of twenty counties of one name gets the day's row; not all reports meet all of them."""
+    rows = [(i, "FR", None, "France", "Ile", "Paris", None) for i in range(20)] + [
+        (30, "US", None, "US", "Texas", "Travis", 48453), (31, "US", None, "US", "Texas", "Travis", 48453),
+        (31, "US", None, "US", "Texas", None, None)]
+    places = spark.createDataFrame([r + (None, None, None, None) for r in rows], LOCATION_LOOKUP)
+    reports = [("FR", None, "Ile", "paris" if n % 2 else "Paris", None, None, None, D(2020, 1, 1 + n % 3), float(n) if n % 5
+                else None, *([1.0] * 5)) for n in range(60)]
+    reports += [("US", None, "Texas", None, None, None, f, D(2020, 1, 1), float(n), *([1.0] * 5))
+                for n in range(6) for f in (None, 48453.0)]
+    moves = spark.createDataFrame(reports, MOBILITY_STAGING)
+    latest = latest_mobility_all(moves, places)
+    got = latest.collect()
+    assert sorted(map(str, got)) == sorted(map(str, latest_mobility(conform_mobility_all(moves, places)).collect()))
+    paris = {(r["location_identifier"], r["file_date"]) for r in got if r["_scope"] == "non_us"}
+    assert paris == {(i, D(2020, 1, d)) for i in range(20) for d in (1, 2, 3)}
+    cv = covid(spark, [("US", "Texas", "Travis")] * 9 + [("US", "Texas", None)] * 9)
+    cases = covid_batch(cv, places)
+    assert sorted((r["location_identifier"], r["location_granularity"]) for r in cases.collect()) == [
+        (30, "county"), (31, "county"), (31, "state")]
+    for df in (latest, cases):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert any("Window [" in line for line in plan[next(i for i, line in enumerate(plan) if "Join " in line):])
