@@ -2,7 +2,10 @@ import datetime as dt
 
 from locus.operators.covid import conform_covid, covid_batch
 from locus.operators.mobility import conform_mobility, conform_mobility_all, latest_mobility, latest_mobility_all
+from locus.plans import jobs
 from locus.schemas import COVID_STAGING, LOCATION_LOOKUP, MOBILITY_STAGING
+from locus.session import materialize
+from locus.sources.tables import TableStore
 
 D = dt.date
 
@@ -96,3 +99,20 @@ def test_places_of_one_name_meet_a_days_first_report_only(spark):
     for df in (latest, cases):
         plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
         assert any("Window [" in line for line in plan[next(i for i, line in enumerate(plan) if "Join " in line):])
+
+
+def test_conformed_staging_is_distinct_before_reports_meet_their_places(spark, tmp_dir, monkeypatch):
+    rows = [(i, "FR", None, "France", "Ile", "Paris", None) for i in range(20)] + [
+        (30, "US", None, "US", "Texas", "Travis", 48453), (31, "US", None, "US", "Texas", "Travis", 48453)]
+    places = spark.createDataFrame([r + (None, None, None, None) for r in rows], LOCATION_LOOKUP)
+    moves = mob(spark, [("FR", "Ile", "Paris", None, None, None), ("FR", "ILE", "paris", None, None, None)] * 5
+                + [("US", "Texas", "Travis", None, None, 48453.0), ("US", "Texas", "Travis", None, None, 48453.4)] * 5)
+    written = []
+    monkeypatch.setattr(jobs, "materialize", lambda df, name: written.append(materialize(df, name)) or written[-1])
+    store = TableStore(spark, tmp_dir)
+    jobs.publish_conformed(store, moves, places)
+    assert [df.count() for df in written] == [2]  # not twenty or more
+    for scope, n in (("us", 2), ("non_us", 20)):
+        got = store.read(f"google_mobility_data_{scope}_staging")
+        want = conform_mobility(moves, places, scope).select(*got.columns)
+        assert got.count() == n and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
