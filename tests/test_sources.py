@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from locus.plans.jobs import load_staging
 from locus.schemas import LOOKUP_STAGING
 from locus.sources.readers import (
     ensure_each_not_empty,
@@ -17,7 +18,7 @@ from locus.sources.readers import (
     source_paths,
 )
 from locus.sources.tables import TableStore
-from locus.sources.writers import land_json, land_psv
+from locus.sources.writers import dealt_evenly, land_json, land_psv
 
 
 def test_source_paths():
@@ -212,3 +213,22 @@ def test_na_is_text_unless_named(spark, tmp_dir):
     got = lambda **kw: sorted((r["code"] or "") for r in read_psv(spark, tmp_dir, df.schema, **kw).collect())
     assert got() == ["", "N/A", "NA", "x"]
     assert got(na_tokens=("NA", "N/A")) == ["", "", "", "x"]
+
+
+def test_rows_of_many_files_are_not_dealt_anew(spark, tmp_dir):
+    """A source of as many files as cores is landed and staged without a shuffle
+    of its rows; the rows of one file are still spread."""
+    n = spark.sparkContext.defaultParallelism
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    rows = spark.range(50 * n).selectExpr("id as a", "cast(id as string) as b")
+    for name, files in (("many", n), ("one", 1)):
+        rows.repartition(files).write.parquet(f"{tmp_dir}/{name}")
+    many, one = (spark.read.schema(schema).parquet(f"{tmp_dir}/{name}") for name in ("many", "one"))
+    landed = read_psv(spark, land_psv(many, f"{tmp_dir}/landed"), schema)
+    assert len(landed.inputFiles()) == n
+    store = TableStore(spark, f"{tmp_dir}/store", schemas={"x": schema})
+    staged = load_staging(store, {"x": (landed, schema)})["x"]
+    assert len(staged.inputFiles()) == n
+    assert sorted(staged.collect()) == sorted(rows.collect())
+    plan = lambda df: df._jdf.queryExecution().toString()
+    assert "REBALANCE" in plan(dealt_evenly(one)) and "REBALANCE" not in plan(dealt_evenly(many))
