@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from locus.functions.columns import or_raise, parse_number
 from locus.plans.jobs import load_staging
 from locus.schemas import LOOKUP_STAGING
 from locus.sources.readers import (
@@ -232,3 +233,20 @@ def test_rows_of_many_files_are_not_dealt_anew(spark, tmp_dir):
     assert sorted(staged.collect()) == sorted(rows.collect())
     plan = lambda df: df._jdf.queryExecution().toString()
     assert "REBALANCE" in plan(dealt_evenly(one)) and "REBALANCE" not in plan(dealt_evenly(many))
+
+
+def test_parsed_text_is_evaluated_once(spark):
+    """The check for unreadable text does not parse it again."""
+    rows = spark.range(1).select(F.col("id").cast("string").alias("t"))
+    plan = rows.select(or_raise(F.col("t"), F.try_to_timestamp("t", F.lit("yyyy")), "time").alias("x"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("gettimestamp") == 1
+
+
+def test_counts_are_read_as_before(spark):
+    texts = ["7", " 7 ", "+7", "-7", "5.0", "1e3", "", "  ", None, "9223372036854775807"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["n"] for r in rows.select("i", parse_number("t", T.LongType()).alias("n")).orderBy("i").collect()]
+    assert got == [7, 7, 7, -7, 5, 1000, None, None, None, 9223372036854775807]
+    for text in ("x", "1.5", "9223372036854775808", "0x10", "1L"):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(text,)], "t string").select(parse_number("t", T.LongType())).collect()
