@@ -51,14 +51,15 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 class Encoder:
     """Batches of texts to ids, each distinct word of a batch being encoded once."""
 
-    def __init__(self, vocabulary: str, cache_words: int = 300_000, cached_chars: int = 48):
+    def __init__(self, vocabulary: str, cache_words: int = 300_000, cached_chars: int = 48,
+                 slice_texts: int = 2048):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.cache: dict[str, bytes] = {}
-        self.cache_words, self.cached_chars = cache_words, cached_chars
+        self.cache_words, self.cached_chars, self.slice_texts = cache_words, cached_chars, slice_texts
 
     def _encode(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -78,15 +79,20 @@ class Encoder:
         return ids
 
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of each text (nulls: none), as uint32 arrays."""
+        """The ids of each text (nulls: none), as uint32 arrays. ``slice_texts``
+        texts are held in pieces at a time, however large a batch is."""
+        for at in range(0, len(texts), self.slice_texts):
+            yield from self._of_slice(texts.slice(at, self.slice_texts))
+
+    def _of_slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         pieces = pc.split_pattern(texts, " ")
-        coded = pieces.values.dictionary_encode()
+        coded = pieces.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         # a piece with space at an end: the text is cut between words only, by the slower way
         odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        bounds = pieces.offsets.to_numpy()
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy(zero_copy_only=False))])
         odd_before = np.concatenate([[0], np.cumsum(odd[codes])])
         is_odd = odd_before[bounds[1:]] > odd_before[bounds[:-1]]
         used = np.ones(len(words), bool)
@@ -100,6 +106,9 @@ class Encoder:
         pool = np.frombuffer(b"".join(flat), dtype="<u4")
         lens = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
         starts = np.cumsum(lens) - lens
+        # the first word has no space before it
+        firsts = list(dict.fromkeys(codes[bounds[:-1][~is_odd]].tolist()))
+        first_ids = dict(zip(firsts, self._encode([words[i] for i in firsts]))) if firsts else {}
         for doc in range(len(texts)):
             if is_odd[doc]:
                 first, *rest = BETWEEN_WORDS.split(texts[doc].as_py())
@@ -108,8 +117,7 @@ class Encoder:
                 yield np.frombuffer(b"".join([*self._encode([first]), *map(ids_of.__getitem__, rest)]), "<u4")
                 continue
             own = codes[bounds[doc] + 1 : bounds[doc + 1]]
-            # the first word has no space before it
-            first = np.frombuffer(self._encode([words[codes[bounds[doc]]]])[0], "<u4")
+            first = np.frombuffer(first_ids[codes[bounds[doc]]], "<u4")
             n = lens[own]
             begins = np.cumsum(n) - n
             at = np.repeat(starts[own] - begins, n) + np.arange(n.sum())

@@ -87,6 +87,13 @@ def with_features(rows: DataFrame, text_col: str, vocabulary: str = VOCABULARY)
     return source.mapInArrow(run, schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose points, as floats, stay small and near the processor."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _matrix(found: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(found), np.uint16).reshape(-1, FEATURES)
 
@@ -97,7 +104,7 @@ def _summed(rows: DataFrame, of: Callable[[list[str], np.ndarray], tuple[np.ndar
     sums its own rows first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((groups, FEATURES))
-        for batch in batches:
+        for batch in _slices(batches):
             group, values = of(batch.column(0).to_pylist(), _matrix(batch.column(2).to_pylist()))
             sums += (group == np.arange(groups)[:, None]).astype(np.float64) @ values  # whole numbers below 2**53: exact
         there = np.flatnonzero(sums.any(axis=1))
@@ -134,7 +141,7 @@ def _drawn(rows: DataFrame, model: Topics, step: int) -> np.ndarray | None:
     which a row's time is exponential with that rate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
-        for batch in batches:
+        for batch in _slices(batches):
             points, differs = _points(model, batch.column(0).to_pylist(), _matrix(batch.column(2).to_pylist()))
             far = 1 - (points @ model.centres.T).max(axis=1) if len(model.centres) else np.ones(len(points))
             time = np.full(len(points), np.inf)

@@ -384,3 +384,27 @@ def test_shares_of_true_tokens_are_met(spark, frame):
     assert abs(hot / expected - 0.4) < 0.01
     kept = [r["tokens"] for r in got if r["kept"]]
     assert abs(sum(kept) / expected - 1) < 0.05
+
+
+def test_a_batch_is_encoded_and_clustered_in_slices():
+    """However many rows a batch has, few of them are held in pieces at a time;
+    the ids and the order of rows do not depend on the slices."""
+    import pyarrow as pa
+
+    from locus.llm.packing import VOCABULARY, Encoder
+    from locus.llm.topics import _slices
+
+    texts = pa.array(["one two three", None, "", " odd  spaces ", "one two", "line\nbreak x", "three"] * 3)
+    whole = [ids.tolist() for ids in Encoder(VOCABULARY, slice_texts=len(texts))(texts)]
+    cut = [ids.tolist() for ids in Encoder(VOCABULARY, slice_texts=2)(texts)]
+    tokenizer = Encoder(VOCABULARY).tokenizer
+    assert whole == cut == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    # a batch that is itself a slice of a larger one
+    part = [ids.tolist() for ids in Encoder(VOCABULARY, slice_texts=4)(texts.slice(3, 9))]
+    assert part == whole[3:12]
+    assert Encoder(VOCABULARY).slice_texts < 10_000
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500))], names=["x"])
+    found = list(_slices(iter([batch, batch.slice(0, 0)]), 1024))
+    assert [b.num_rows for b in found] == [1024, 1024, 452]
+    assert [x for b in found for x in b.column(0).to_pylist()] == list(range(2500))
