@@ -12,14 +12,14 @@ are powers of two, so no sequence is padded.
 Each task tokenises and packs its own rows in one pass, ``pack_docs``
 remainders at a time: no shuffle, no group that grows with the data. Sequence
 ids are unique by (task's partition, sequence in it), and a task that runs
-again makes the same ones. Memory is bounded by one Arrow batch, one pack and
-the word cache.
+again makes the same ones. Memory is bounded by one Arrow batch, one slice and
+one pack; nothing but the vocabulary stays in a worker after its task.
 
 Tokenising: at a single space between two non-space characters this
-tokenizer's pattern always starts a new word, so texts are cut there and the
-ids of each distinct word of a batch come from a bounded cache or, where that
-does not know the word, from the tokenizer itself. Equality with encoding whole
-texts is tested.
+tokenizer's pattern always starts a new word, so texts are cut there and each
+distinct word of a slice of texts is encoded once. Words are encoded in lines
+of many, which costs half of encoding each by itself; an id that begins with a
+space begins a word. Equality with encoding whole texts is tested.
 
 Defined results: null and empty texts are the end id alone; repeated rows and
 repeated or null ids are packed each; extra columns are ignored; an empty
@@ -28,7 +28,6 @@ table gives no rows.
 
 from __future__ import annotations
 
-import array
 import functools
 import os
 import re
@@ -44,89 +43,104 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.json"
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
+#: How a byte-level vocabulary writes a space.
+SPACE_TOKEN = "\u0120"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
+def _spaced(words: pa.Array, also: pa.Array) -> np.ndarray:
+    """Which words have space at an end, or are marked in ``also``."""
+    return pc.or_(pc.not_equal(pc.utf8_trim_whitespace(words), words), also).to_numpy(zero_copy_only=False).copy()
+
+
 class Encoder:
-    """Batches of texts to ids, each distinct word of a batch being encoded once."""
+    """Batches of texts to ids, each distinct word of a slice of them being encoded once."""
 
-    def __init__(self, vocabulary: str, cache_words: int = 300_000, cached_chars: int = 48,
-                 slice_texts: int = 2048):
+    def __init__(self, vocabulary: str, slice_texts: int = 4096, slice_bytes: int = 16 << 20, line_words: int = 512):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.cache: dict[str, bytes] = {}
-        self.cache_words, self.cached_chars, self.slice_texts = cache_words, cached_chars, slice_texts
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array.array("I", e.ids).tobytes() for e in found]
-
-    def _ids_of(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words; the cache keeps those that came first (the common ones)."""
-        known = self.cache
-        ids = list(map(known.get, words))
-        missing = [i for i, found in enumerate(ids) if found is None]
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            for i, fresh in zip(some, self._encode([words[i] for i in some])):
-                ids[i] = fresh
-                if len(known) < self.cache_words and len(words[i]) <= self.cached_chars:
-                    known[words[i]] = fresh
-        return ids
+        self.slice_texts, self.slice_bytes, self.line_words = slice_texts, slice_bytes, line_words
+        self.after_space = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.after_space[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(SPACE_TOKEN)]] = True
+
+    def _encode(self, texts: list[str], at_once: int) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), at_once):
+            for e in self.tokenizer.encode_batch_fast(texts[at : at + at_once], add_special_tokens=False):
+                yield np.array(e.ids, "<u4")
+
+    def _pool(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of distinct words that follow a space, and where each word's
+        begin and how many they are. Words go to the tokenizer in lines; each begins
+        at an id that begins with a space. Those with space of their own go alone."""
+        alone = _spaced(words, pc.match_substring(words, " "))
+        plain = words.filter(pa.array(~alone))
+        cuts = pa.array([*range(0, len(plain), self.line_words), len(plain)], pa.int32())
+        space = pa.scalar(" ", pa.large_string())
+        lines = pc.binary_join(pa.ListArray.from_arrays(cuts, plain), space).to_pylist() if len(plain) else []
+        found = list(self._encode([" " + x for x in lines], 32))
+        ids = np.concatenate([np.zeros(0, "<u4"), *found])
+        begins = np.flatnonzero(self.after_space[ids])
+        if len(begins) != len(plain):  # the vocabulary has no such ids
+            alone[:], ids, begins = True, ids[:0], begins[:0]
+        rest = list(self._encode([" " + x for x in words.filter(pa.array(alone)).to_pylist()], 1024))
+        starts, lens = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        starts[~alone], lens[~alone] = begins, np.diff(np.append(begins, len(ids)))
+        lens[alone] = [len(x) for x in rest]
+        starts[alone] = len(ids) + np.cumsum(lens[alone]) - lens[alone]
+        return np.concatenate([ids, *rest]), starts, lens
 
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text (nulls: none), as uint32 arrays. ``slice_texts``
-        texts are held in pieces at a time, however large a batch is."""
-        for at in range(0, len(texts), self.slice_texts):
-            yield from self._of_slice(texts.slice(at, self.slice_texts))
+        texts of ``slice_bytes`` together (or one) are held in pieces at a time,
+        however large a batch is."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + self.slice_bytes, "right"))
+            n = min(max(full - at, 1), self.slice_texts)
+            yield from self._of_slice(texts.slice(at, n))
+            at += n
 
     def _of_slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         pieces = pc.split_pattern(texts, " ")
-        coded = pieces.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        # a piece with space at an end: the text is cut between words only, by the slower way
-        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
-        codes = coded.indices.to_numpy(zero_copy_only=False)
+        words = pieces.flatten()
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy(zero_copy_only=False))])
-        odd_before = np.concatenate([[0], np.cumsum(odd[codes])])
+        # a piece with space at an end: the text is cut between words only, by the slower way
+        odd = _spaced(words, pc.equal(pc.binary_length(words), 0))
+        odd_before = np.concatenate([[0], np.cumsum(odd)])
         is_odd = odd_before[bounds[1:]] > odd_before[bounds[:-1]]
-        used = np.ones(len(words), bool)
         if is_odd.any():
-            used[:] = False
-            used[codes[~np.repeat(is_odd, np.diff(bounds))]] = True
-        plain = np.flatnonzero(used)
-        flat = [b""] * len(words)
-        for i, ids in zip(plain, self._ids_of([" " + words[i] for i in plain])):
-            flat[i] = ids
-        pool = np.frombuffer(b"".join(flat), dtype="<u4")
-        lens = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
-        starts = np.cumsum(lens) - lens
-        # the first word has no space before it
-        firsts = list(dict.fromkeys(codes[bounds[:-1][~is_odd]].tolist()))
-        first_ids = dict(zip(firsts, self._encode([words[i] for i in firsts]))) if firsts else {}
-        for doc in range(len(texts)):
-            if is_odd[doc]:
-                first, *rest = BETWEEN_WORDS.split(texts[doc].as_py())
-                distinct = list(dict.fromkeys(rest))
-                ids_of = dict(zip(distinct, self._ids_of([" " + w for w in distinct])))
-                yield np.frombuffer(b"".join([*self._encode([first]), *map(ids_of.__getitem__, rest)]), "<u4")
-                continue
-            own = codes[bounds[doc] + 1 : bounds[doc + 1]]
-            first = np.frombuffer(first_ids[codes[bounds[doc]]], "<u4")
+            cut = [BETWEEN_WORDS.split(x) for x in texts.filter(pa.array(is_odd)).to_pylist()]
+            n = np.diff(bounds)
+            kept = pa.array(np.repeat(~is_odd, n))
+            # the other texts' words first, then theirs; begins and ends say where a text's words are
+            words = pa.concat_arrays([words.filter(kept), pa.array([w for x in cut for w in x], pa.large_string())])
+            n = np.concatenate([n[~is_odd], np.array([len(x) for x in cut], n.dtype)])
+            order = np.argsort(np.concatenate([np.flatnonzero(~is_odd), np.flatnonzero(is_odd)]))
+            begins, ends = (np.cumsum(n) - n)[order], np.cumsum(n)[order]
+        else:
+            begins, ends = bounds[:-1], bounds[1:]
+        coded = words.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        pool, starts, lens = self._pool(coded.dictionary)
+        # the first word of a text has no space before it
+        distinct, slots = np.unique(codes[begins], return_inverse=True)
+        firsts = list(self._encode(coded.dictionary.take(pa.array(distinct)).to_pylist(), 1024))
+        for begin, end, slot in zip(begins.tolist(), ends.tolist(), slots.tolist()):
+            own = codes[begin + 1 : end]
             n = lens[own]
-            begins = np.cumsum(n) - n
-            at = np.repeat(starts[own] - begins, n) + np.arange(n.sum())
-            yield np.concatenate([first, pool[at]])
+            at = np.repeat(starts[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield np.concatenate([firsts[slot], pool[at]])
 
 
 @functools.lru_cache(maxsize=1)
 def encoder(vocabulary: str) -> Encoder:
-    """One encoder, with its word cache, per Python worker."""
+    """One encoder per Python worker; it holds the vocabulary, and no words."""
     return Encoder(vocabulary)
 
 

@@ -408,3 +408,37 @@ def test_a_batch_is_encoded_and_clustered_in_slices():
     found = list(_slices(iter([batch, batch.slice(0, 0)]), 1024))
     assert [b.num_rows for b in found] == [1024, 1024, 452]
     assert [x for b in found for x in b.column(0).to_pylist()] == list(range(2500))
+
+
+def test_words_are_encoded_in_lines_and_none_are_kept():
+    """Distinct words go to the tokenizer many at a time, and a worker holds none of them afterwards."""
+    import pyarrow as pa
+
+    from locus.llm.packing import VOCABULARY, Encoder
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.given = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **kw):
+            self.given += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **kw)
+
+    enc = Encoder(VOCABULARY)
+    whole, kept = enc.tokenizer, {k: v for k, v in vars(enc).items() if isinstance(v, (dict, list))}
+    enc.tokenizer = Counted(whole)
+    texts = [" ".join(f"w{i}x{k}é" for k in range(200)) for i in range(50)]
+    texts += ["", None, " ", " a  b ", "x\n\ny \nz ", "end\n", "　a 　 b", "a<|endoftext|> b <|endoftext|>c", "it's 'tis 's"]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in enc(pa.array(texts))] == want
+    assert enc.tokenizer.given < 500  # of 10000 distinct words
+    assert {k: v for k, v in vars(enc).items() if isinstance(v, (dict, list))} == kept
+    # texts are taken by their size as well: one that is larger than a slice goes alone
+    small = Encoder(VOCABULARY, slice_bytes=2000, line_words=3)
+    sizes, of_slice = [], small._of_slice
+    small._of_slice = lambda part: (sizes.append(len(part)), of_slice(part))[1]
+    assert [ids.tolist() for ids in small(pa.array(texts))] == want
+    assert sizes[:49] == [1] * 49 and sum(sizes) == len(texts)
+    # a vocabulary without ids that begin with a space
+    small.after_space[:] = False
+    assert [ids.tolist() for ids in small(pa.array(texts))] == want
