@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locus.llm.common import attach_salted, materialize, remove, shuffle_partitions, written
+from locus.llm.common import attach_salted, lean, materialize, remove, shuffle_partitions, written
 from locus.llm.components import connected_components
 from locus.llm.shingles import mix, shingle_sets
 
@@ -429,7 +429,7 @@ def verified(pairs: DataFrame, texts: DataFrame, num: int, den: int, width: int,
 
     meet = told.repartition(parts, "u", "portion").sortWithinPartitions(
         "u", "portion", F.col("v").asc_nulls_first())
-    links = materialize(meet.mapInArrow(run, "u long, v long").distinct(), "jaccard-links")
+    links = materialize(meet.mapInArrow(lean(run), "u long, v long").distinct(), "jaccard-links")
     remove(pairs.sparkSession, path)
     return links
 
@@ -483,7 +483,7 @@ def plausible(pairs: DataFrame, sized: DataFrame, num: int, den: int) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep])], names=["u", "v"])
 
     both = pairs.join(one, "u").join(two, "v").select("u", "v", "nu", "nv", "cu", "cv", "fu", "fv")
-    return both.mapInArrow(run, "u long, v long").distinct()
+    return both.mapInArrow(lean(run), "u long, v long").distinct()
 
 
 def _across(num: int, den: int):
@@ -580,9 +580,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     p = shuffle_partitions(spark)
     rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    signed = rows.mapInArrow(_sign(num, den, width, 4 * p, flush, dense_from), SIGNED)
+    signed = rows.mapInArrow(lean(_sign(num, den, width, 4 * p, flush, dense_from)), SIGNED)
     found = table(signed.repartition(p, "part").sortWithinPartitions("part").mapInArrow(
-        _collide(dense_from, room), FOUND), "found")
+        lean(_collide(dense_from, room)), FOUND), "found")
     light = found.where("kind = 0").select("doc", "n", "digest", "cells", "fine")
 
     # classes of equal sets: every member but the first points at it; an id with
@@ -648,7 +648,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         (F.col("mine") > F.col("other")).cast("int").alias("side"), "doc", "comp", "n", "cells", "fine")
     dealt = held.repartition(p, "c0", "near", "i", "j").drop("c0", "near")
     more = dealt.sortWithinPartitions("bucket", "i", "j").mapInArrow(
-        _across(num, den), "u long, v long").distinct()
+        lean(_across(num, den)), "u long, v long").distinct()
     more = table(more.join(pairs, ["u", "v"], "left_anti"), "more")
     drop("pairs", "lists", "open", "sizes")
     if not more.isEmpty():

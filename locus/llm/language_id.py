@@ -28,6 +28,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locus.llm.common import lean
+
 UNKNOWN = "und"
 #: Calibrated on labelled training rows; see README.
 MIN_MARGIN = 0.002
@@ -110,8 +112,11 @@ def predict_language(df: DataFrame, dictionaries: dict[str, bytes], text_col: st
     ``names`` (existing columns of these names are replaced). Only
     ``text_col`` is looked at."""
     out_cols = [c for c in df.columns if c not in names]
-    source = df.select(*[F.col(f"`{c}`") for c in out_cols], F.col(text_col).alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema][:-1])
+    kept = df.select(*[F.col(f"`{c}`") for c in out_cols])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    # a text that is kept goes to Python once
+    text_at = out_cols.index(text_col) if text_col in out_cols else len(out_cols)
+    source = kept if text_col in out_cols else df.select(*[F.col(f"`{c}`") for c in out_cols], F.col(text_col).alias("__text"))
     pred, score, rejected = names
     small = 512  # rows that are predicted at a time
 
@@ -120,16 +125,15 @@ def predict_language(df: DataFrame, dictionaries: dict[str, bytes], text_col: st
         for batch in batches:
             for at in range(0, batch.num_rows, small):
                 part = batch.slice(at, small)
-                texts = part.column(part.num_columns - 1)
-                found = [model.predict(t.as_py()) for t in texts]
-                cols = [part.column(i) for i in range(part.num_columns - 1)]
+                found = [model.predict(t.as_py()) for t in part.column(text_at)]
+                cols = [part.column(i) for i in range(len(out_cols))]
                 yield pa.RecordBatch.from_arrays(
                     [*cols, pa.array([l for l, _ in found], pa.string()),
                      pa.array([s for _, s in found], pa.float64()),
                      pa.array([l == UNKNOWN or s < min_margin for l, s in found], pa.bool_())],
                     names=[*out_cols, *names])
 
-    return source.mapInArrow(run, f"{schema}, `{pred}` string, `{score}` double, `{rejected}` boolean")
+    return source.mapInArrow(lean(run), f"{schema}, `{pred}` string, `{score}` double, `{rejected}` boolean")
 
 
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -41,6 +41,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locus.llm.common import lean
+
 VOCABULARY = "byte_bpe_50k.json"
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 #: How a byte-level vocabulary writes a space.
@@ -232,4 +234,4 @@ def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         flush_pack()
         yield emit()
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(lean(run), SCHEMA)

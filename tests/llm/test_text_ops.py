@@ -442,3 +442,34 @@ def test_words_are_encoded_in_lines_and_none_are_kept():
     # a vocabulary without ids that begin with a space
     small.after_space[:] = False
     assert [ids.tolist() for ids in small(pa.array(texts))] == want
+
+
+def test_a_kept_text_goes_to_python_once(spark, frame):
+    """The rows that come back hold the text; it is not sent a second time to be read."""
+    from locus.llm.language_id import predict_language
+
+    rows = frame([(1, "the cat and the dog"), (2, None), (3, "der Hund und die Katze")])
+    dictionaries = {"en": b"the cat and the dog is on the mat", "de": b"der Hund und die Katze ist auf der Matte"}
+    found = predict_language(rows, dictionaries, "text")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "__text" not in plan
+    got = sorted((r["doc_id"], r["text"], r["lang_pred"]) for r in found.collect())
+    assert got == [(1, "the cat and the dog", "en"), (2, None, "und"), (3, "der Hund und die Katze", "de")]
+    # a text under a name that the prediction takes is read, and replaced
+    own = predict_language(rows.select("doc_id", F.col("text").alias("lang_pred")), dictionaries, "lang_pred")
+    assert own.columns == ["doc_id", "lang_pred", "score", "rejected"]
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in own.collect()) == [(1, "en"), (2, "und"), (3, "de")]
+
+
+def test_a_task_gives_back_what_it_has_freed(monkeypatch):
+    """Also when it is not read to its end; a worker that waits does not hold it."""
+    from locus.llm import common
+
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    task = common.lean(lambda batches: (x + 1 for x in batches))
+    assert list(task(iter([1, 2]))) == [2, 3] and given == [1]
+    early = task(iter([1, 2]))
+    assert next(early) == 2
+    early.close()
+    assert given == [1, 1]
