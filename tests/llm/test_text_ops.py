@@ -444,6 +444,39 @@ def test_words_are_encoded_in_lines_and_none_are_kept():
     assert [ids.tolist() for ids in small(pa.array(texts))] == want
 
 
+def test_rounds_of_topics_read_blocks_of_texts(spark):
+    """A round reads one row for many texts of a language, whatever their order; all texts and draws are there."""
+    from locus.llm.topics import BLOCK, FEATURES, ROWS, Topics, _blocked, _several, _summed
+
+    n = 3000
+    rng = np.random.default_rng(5)
+    rows = [(f"l{i % 3}" if i % 100 else f"rare{i}", i / n, rng.integers(0, 9000, FEATURES).astype(np.uint16).tobytes())
+            for i in range(n)]
+    blocks = _blocked(spark.createDataFrame(rows, "lang string, draw double, features binary").coalesce(2))
+    found = blocks.collect()
+    assert len(found) < n // BLOCK + 2 * 3 + 40
+    got = [(r["lang"], d, bytes(r["features"][i * 2 * FEATURES : (i + 1) * 2 * FEATURES]))
+           for r in found for i, d in enumerate(np.frombuffer(r["draws"]).tolist())]
+    assert sorted(got) == sorted(rows)
+
+    sizes = []
+    for langs, counts, draws, features in _several(iter(blocks.toArrow().to_batches())):
+        sizes.append(len(draws))
+        assert counts.sum() == len(draws) == len(features) and len(langs) == len(counts)
+    assert sum(sizes) == n and max(sizes) <= ROWS and len(sizes) < 8
+
+    names = sorted({lang for lang, _, _ in rows})
+    sums = _summed(blocks, lambda langs, counts, found: (np.repeat([names.index(x) for x in langs], counts), found.astype(float)), len(names))
+    for i, name in enumerate(names):
+        own = [np.frombuffer(f, np.uint16).astype(int) for lang, _, f in rows if lang == name]
+        assert (sums[i] == np.sum(own, axis=0)).all()
+
+    model = Topics(np.eye(2, FEATURES, dtype=np.float32), {"l0": np.ones(FEATURES, np.float32)}, np.zeros(FEATURES, np.float32))
+    few = np.stack([np.frombuffer(f, np.uint16) for _, _, f in rows[:5]])
+    each = model.less_mean(["l0", "l0", "l0", "x", "x"], few)
+    assert (model.less_mean(["l0", "x"], few, np.array([3, 2])) == each).all()
+
+
 def test_a_kept_text_goes_to_python_once(spark, frame):
     """The rows that come back hold the text; it is not sent a second time to be read."""
     from locus.llm.language_id import predict_language
