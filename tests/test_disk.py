@@ -131,3 +131,37 @@ def test_landed_json_may_be_compressed(spark, tmp_dir):
     back = read_case_reports(spark, path)
     assert len(back.inputFiles()) == 3 and all(f.endswith(".json.gz") for f in back.inputFiles())
     assert sorted(r[0] for r in back.select("confirmed").collect()) == list(range(25))
+
+
+def test_replaced_staging_goes_at_once(spark, tmp_dir):
+    """Other tables stay for two further commits, for their readers."""
+    store, paths = TableStore(spark, tmp_dir), {}
+    for name, schema in (("covid_data_staging", COVID_STAGING), ("location_lookup", LOCATION_LOOKUP)):
+        rows = covid_rows(spark) if schema is COVID_STAGING else places(spark)
+        store.publish(name, rows)
+        paths[name] = store.current_path(name)
+        store.publish(name, rows.limit(1))
+        assert store.read(name).count() == 1
+    assert not path_exists(spark, paths["covid_data_staging"])
+    assert path_exists(spark, paths["location_lookup"])
+    last = store.current_path("covid_data_staging")
+    store.drop("covid_data_staging")
+    assert not path_exists(spark, last) and store.read("covid_data_staging").count() == 0
+
+
+@pytest.mark.parametrize("query", ["refused_load"])
+def test_loads_land_compressed_reports(spark, monkeypatch, query):
+    from locus.plans import catalog
+
+    seen = []
+
+    def spied(spark, store, covid, lookup, mobility, **kw):
+        seen.extend(covid.inputFiles())
+        raise ValueError("refused")
+
+    monkeypatch.setattr(catalog, "run_load", spied)
+    try:
+        catalog.queries()[query](spark, "/root/testdata/sf0.001")
+    except ValueError:
+        pass
+    assert seen and all(f.endswith(".json.gz") for f in seen)
