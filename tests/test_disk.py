@@ -149,7 +149,7 @@ def test_replaced_staging_goes_at_once(spark, tmp_dir):
     assert not path_exists(spark, last) and store.read("covid_data_staging").count() == 0
 
 
-@pytest.mark.parametrize("query", ["refused_load"])
+@pytest.mark.parametrize("query", ["refused_load", "staging_load"])
 def test_loads_land_compressed_reports(spark, monkeypatch, query):
     from locus.plans import catalog
 
