@@ -165,3 +165,16 @@ def test_loads_land_compressed_reports(spark, monkeypatch, query):
     except ValueError:
         pass
     assert seen and all(f.endswith(".json.gz") for f in seen)
+
+
+def test_versions_shuffle_the_days_once(spark):
+    """Of thirty days' lookups, by far the largest table of a backfill, each
+    wide row moves once: by id (the others are sums per id, and rows without one)."""
+    from pyspark.sql import types as T
+
+    from locus.operators.validity import LOAD_DAY, dimension_versions
+
+    staging = frame(spark, T.StructType([*LOOKUP_STAGING.fields, T.StructField(LOAD_DAY, T.DateType())]))
+    plan = dimension_versions(places(spark), staging)._jdf.queryExecution().executedPlan().toString()
+    wide = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "REPARTITION_BY_COL" in x]
+    assert len(wide) == 1 and plan.count("Exchange hashpartitioning") <= 4
